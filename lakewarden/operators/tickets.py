@@ -134,66 +134,73 @@ def actor(system: Column, instance_id: Column, approver: Column) -> Column:
     )
 
 
-def ticket_transitions(
-    checked: DataFrame, instances: DataFrame, requests: DataFrame, delivery_id: str
-) -> DataFrame:
-    """Outcome of every delivery and the new state of the request it changes.
+def bind_requests(checked: DataFrame, instances: DataFrame, requests: DataFrame) -> DataFrame:
+    """Adds tenant, request and its status; deliveries that can have no effect get a reason.
 
     `instances`: `instance_id`, `tenant_id`. `requests`: `request_id`, `ticket_id`,
-    `tenant_id`, `status`. Requests are looked up within the tenant bound to the instance. Of
-    several effective deliveries for one request the earliest counts (a combined minimum); the
-    others find the request already decided.
+    `tenant_id`, `status`. Requests are looked up within the tenant bound to the instance.
     """
     tenants = instances.select(
-        F.lower("instance_id").alias("__instance"), F.col("tenant_id").alias("__tenant")
+        F.lower("instance_id").alias("__instance"), F.col("tenant_id").alias("tenant_id")
     )
     asked = requests.select(
         "request_id",
         F.col("ticket_id").alias("__ticket"),
         F.col("tenant_id").alias("__owner"),
-        F.col("status").alias("__status"),
+        F.upper("status").alias("request_status"),
     )
     bound = checked.join(tenants, F.lower("instance_id") == F.col("__instance"), "left").join(
         asked,
-        (F.col("ticket_id") == F.col("__ticket")) & (F.col("__tenant") == F.col("__owner")),
+        (F.col("ticket_id") == F.col("__ticket")) & (F.col("tenant_id") == F.col("__owner")),
         "left",
     )
-    known_action = F.upper("action").isin("APPROVE", "REJECT")
-    pending = F.upper("__status") == PENDING_REQUEST
-    candidate = (
-        F.col("reject_reason").isNull() & F.col("request_id").isNotNull() & pending & known_action
+    undecided = F.col("request_status") == PENDING_REQUEST
+    reason = (
+        F.when(F.col("tenant_id").isNull(), F.lit("UNMAPPED_INSTANCE"))
+        .when(F.col("request_id").isNull(), F.lit("UNKNOWN_TICKET"))
+        .when(undecided & ~F.upper("action").isin("APPROVE", "REJECT"), F.lit("UNKNOWN_ACTION"))
+    )
+    return bound.withColumn("reject_reason", F.coalesce("reject_reason", reason)).drop(
+        "__instance", "__ticket", "__owner"
     )
-    order = F.struct("received_at", delivery_id)
+
+
+def decide_requests(bound: DataFrame, delivery_id: str) -> DataFrame:
+    """Outcome of every delivery and the new state of the request it changes.
+
+    Of several effective deliveries for one request the earliest counts (a combined minimum);
+    the others find the request already decided.
+    """
+    effective = F.col("reject_reason").isNull() & (F.col("request_status") == PENDING_REQUEST)
     first = (
-        bound.where(candidate)
+        bound.where(effective)
         .groupBy("request_id")
-        .agg(F.min(order)[delivery_id].alias("__first"))
-        .select(F.col("__first").alias(delivery_id), F.lit(True).alias("__takes"))
+        .agg(F.min(F.struct("received_at", delivery_id))[delivery_id].alias(delivery_id))
+        .select(delivery_id, F.lit(True).alias("__takes"))
     )
     decided = bound.join(first, delivery_id, "left")
+    taken = F.col("__takes").isNotNull()
+    approved = F.upper("action") == "APPROVE"
     outcome = (
         F.when(F.col("reject_reason").isNotNull(), F.col("reject_reason"))
-        .when(F.col("__tenant").isNull(), F.lit("UNMAPPED_INSTANCE"))
-        .when(F.col("request_id").isNull(), F.lit("UNKNOWN_TICKET"))
-        .when(~pending, F.lit("ALREADY_DECIDED"))
-        .when(~known_action, F.lit("UNKNOWN_ACTION"))
-        .when(F.col("__takes").isNull(), F.lit("ALREADY_DECIDED"))
-        .when(F.upper("action") == "APPROVE", F.lit("APPROVED"))
+        .when(~taken, F.lit("ALREADY_DECIDED"))
+        .when(approved, F.lit("APPROVED"))
         .otherwise(F.lit("REJECTED"))
     )
-    taken = F.col("__takes").isNotNull()
     default_reason = F.concat(F.lit("Rejected via "), F.col("system"), F.lit(" webhook"))
     return decided.select(
         delivery_id,
-        F.col("__tenant").alias("tenant_id"),
+        "tenant_id",
         "request_id",
         "ticket_id",
         outcome.alias("outcome"),
-        F.when(taken, F.when(F.upper("action") == "APPROVE", F.lit("ACTIVE")).otherwise(F.lit("REJECTED")))
-        .alias("new_status"),
-        F.when(taken & (F.upper("action") == "REJECT"), F.coalesce("reason", default_reason))
-        .alias("reject_text"),
-        F.when(taken, actor(F.col("system"), F.col("instance_id"), F.col("approver"))).alias("actor"),
+        F.when(taken, F.when(approved, F.lit("ACTIVE")).otherwise(F.lit("REJECTED"))).alias(
+            "new_status"
+        ),
+        F.when(taken & ~approved, F.coalesce("reason", default_reason)).alias("reject_text"),
+        F.when(taken, actor(F.col("system"), F.col("instance_id"), F.col("approver"))).alias(
+            "actor"
+        ),
     )
 
 

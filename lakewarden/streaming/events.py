@@ -57,7 +57,7 @@ def ticket_event_stream(
 ) -> DataFrame:
     """Checked status changes of a stream, each signature once.
 
-    Joining them with the requests (`ticket_transitions`) belongs in `foreachBatch`, where the
+    Joining them with the requests (`bind_requests`, `decide_requests`) belongs in `foreachBatch`, where the
     transition and the request table change together.
     """
     checked = replay_keys(check_status_changes(parse_status_changes(deliveries), keys))
