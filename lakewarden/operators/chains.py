@@ -1,10 +1,11 @@
 """Greedy time chains: the events that count when each must be `gap` after the previous one.
 
 Time-to-live de-duplication and refill clocks both follow such a chain. It is sequential per
-key, and one key may hold a third of all rows, so a key is cut into time chunks. Each chunk is
-reduced to the function "earliest allowed time on entry -> earliest allowed time on exit", a
-monotone step function. The functions are walked in order with a constant-size state, and then
-every chunk is resolved on its own, knowing its entry.
+key with a constant-size state, so ordinary keys are streamed in time order, many per task. One
+key may hold a third of all rows. Such a hot key is cut into time chunks: each chunk is reduced
+to the function "earliest allowed time on entry -> earliest allowed time on exit", a monotone
+step function with few steps, the functions are walked in order, and every chunk is then
+resolved on its own, knowing its entry.
 """
 
 from __future__ import annotations
@@ -16,103 +17,112 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_NEVER = np.iinfo(np.int64).min
+HOT_POINTS = 2_000_000
+_NEVER = -(2**62)
 
 
-def _type_of(df: DataFrame, name: str) -> str:
-    return df.schema[name].dataType.simpleString()
+def _leaving(ts: np.ndarray, heads: np.ndarray, step: int) -> np.ndarray:
+    """Earliest allowed time after the chunk for a chain entering at each of the heads."""
+    following = np.searchsorted(ts, ts + step, side="left")
+    at = heads.copy()
+    while (inside := following[at] < len(ts)).any():
+        at = np.where(inside, following[at], at)
+    return ts[at] + step
 
 
-def _follow(ts: np.ndarray, start: np.ndarray, step: int) -> np.ndarray:
-    """Index of the last chain element inside the chunk for each starting index."""
-    nxt = np.searchsorted(ts, ts + step, side="left")
-    at = start.copy()
-    while True:
-        ahead = nxt[at]
-        more = ahead < len(ts)
-        if not more.any():
-            return at
-        at = np.where(more, ahead, at)
+def _chunk_entries(points: DataFrame, keys: list[str], types: str, step: int, width: int):
+    """`(keys, __chunk, __entry)` for the chunks of hot keys."""
 
+    def summarise(pdf: pd.DataFrame) -> pd.DataFrame:
+        t = np.sort(pdf["__ts"].to_numpy(dtype=np.int64))
+        start = int(pdf["__chunk"].iloc[0]) * width
+        # an entry bound lies at most one step into the chunk, so only these can come first
+        heads = np.arange(min(np.searchsorted(t, start + step, side="left") + 1, len(t)))
+        leave = _leaving(t, heads, step)
+        last = np.append(leave[1:] != leave[:-1], True)
+        out = pd.DataFrame({"__head": t[heads][last], "__leave": leave[last]})
+        for name in [*keys, "__chunk"]:
+            out[name] = pdf[name].iloc[0]
+        return out[[*keys, "__chunk", "__head", "__leave"]]
+
+    steps = points.groupBy(*keys, "__chunk").applyInPandas(
+        summarise, f"{types}, __chunk bigint, __head bigint, __leave bigint"
+    )
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, chunk, allowed, taken = None, None, _NEVER, False
+        for pdf in batches:
+            rows = []
+            for *this, at, head, leave in pdf.itertuples(index=False, name=None):
+                if this != key:
+                    key, chunk, allowed = this, None, _NEVER
+                if at != chunk:
+                    chunk, taken = at, False
+                    rows.append((*this, at, allowed))
+                if not taken and head >= allowed:
+                    allowed, taken = leave, True
+            if rows:
+                yield pd.DataFrame(rows, columns=[*keys, "__chunk", "__entry"])
+
+    return (
+        steps.repartition(*keys)
+        .sortWithinPartitions(*keys, "__chunk", "__head")
+        .mapInPandas(walk, f"{types}, __chunk bigint, __entry bigint")
+    )
 
-def greedy_chain(
+
+def chain_anchors(
     times: DataFrame,
     keys: Sequence[str],
     ts: str,
     gap_us: int,
     strict: bool,
-    chunk_gaps: int = 64,
+    hot_points: int = HOT_POINTS,
+    chunk_gaps: int = 256,
 ) -> DataFrame:
     """Distinct `(keys, ts)` with `anchor`, the last chain element at or before `ts`.
 
     The first event of a key starts its chain; the next element is the first event more than
     (`strict`) or at least `gap_us` microseconds later. Elements are the rows `ts = anchor`.
+    Keys with more than `hot_points` distinct times are worked on in chunks of `chunk_gaps`.
     """
     keys = list(keys)
     step = gap_us + 1 if strict else gap_us
     width = step * chunk_gaps
-    key_types = ", ".join(f"`{k}` {_type_of(times, k)}" for k in keys)
-    points = (
-        times.select(*keys, F.col(ts).cast("bigint").alias("__ts"))
-        .distinct()
-        .withColumn("__chunk", F.floor(F.col("__ts") / F.lit(width)).cast("bigint"))
+    types = ", ".join(f"`{k}` {times.schema[k].dataType.simpleString()}" for k in keys)
+    points = times.select(*keys, F.col(ts).cast("bigint").alias("__ts")).distinct()
+    hot = (
+        points.groupBy(*keys)
+        .count()
+        .where(F.col("count") > hot_points)
+        .select(*keys, F.lit(True).alias("__hot"))
     )
-
-    def summarise(pdf: pd.DataFrame) -> pd.DataFrame:
-        t = np.sort(pdf["__ts"].to_numpy(dtype=np.int64))
-        chunk_start = int(pdf["__chunk"].iloc[0]) * width
-        # an entry bound lies at most one step into the chunk, so only these can come first
-        heads = np.arange(min(np.searchsorted(t, chunk_start + step, side="left") + 1, len(t)))
-        leave = t[_follow(t, heads, step)] + step
-        last_of_step = np.append(leave[1:] != leave[:-1], True)
-        out = pd.DataFrame({k: [pdf[k].iloc[0]] * int(last_of_step.sum()) for k in keys})
-        out["__chunk"] = int(pdf["__chunk"].iloc[0])
-        out["__head"] = t[heads][last_of_step]
-        out["__leave"] = leave[last_of_step]
-        return out
-
-    summary = points.groupBy(*keys, "__chunk").applyInPandas(
-        summarise, f"{key_types}, __chunk bigint, __head bigint, __leave bigint"
+    chunk = F.floor(F.col("__ts") / F.lit(width)).cast("bigint")
+    chunked = points.join(hot, keys, "left").withColumn(
+        "__chunk", F.when(F.col("__hot"), chunk).otherwise(F.lit(0).cast("bigint"))
+    )
+    hot_points_only = chunked.where(F.col("__hot")).select(*keys, "__ts", "__chunk")
+    entries = _chunk_entries(hot_points_only, keys, types, step, width)
+    placed = chunked.join(entries, [*keys, "__chunk"], "left").select(
+        *keys, "__ts", "__chunk", F.coalesce("__entry", F.lit(_NEVER)).alias("__entry")
     )
 
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, chunk, allowed, done = None, None, _NEVER, False
+    def follow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, allowed, anchor = None, _NEVER, _NEVER
         for pdf in batches:
-            rows = []
-            for row in pdf.itertuples(index=False):
-                this = tuple(row[: len(keys)])
+            names = zip(*[pdf[k].tolist() for k in [*keys, "__chunk"]])
+            anchors = []
+            for this, t, entry in zip(names, pdf["__ts"].tolist(), pdf["__entry"].tolist()):
                 if this != key:
-                    key, chunk, allowed = this, None, _NEVER
-                if row[len(keys)] != chunk:
-                    chunk, done = row[len(keys)], False
-                    rows.append((*this, chunk, allowed))
-                if not done and row[len(keys) + 1] >= allowed:
-                    allowed, done = row[len(keys) + 2], True
-            if rows:
-                yield pd.DataFrame(rows, columns=[*keys, "__chunk", "__entry"])
-
-    entries = (
-        summary.repartition(*keys)
-        .sortWithinPartitions(*keys, "__chunk", "__head")
-        .mapInPandas(walk, f"{key_types}, __chunk bigint, __entry bigint")
-    )
-
-    def resolve(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("__ts", kind="stable")
-        t = pdf["__ts"].to_numpy(dtype=np.int64)
-        entry = int(pdf["__entry"].iloc[0])
-        anchors = [entry - step] if entry != _NEVER else []
-        at = int(np.searchsorted(t, entry, side="left"))
-        while at < len(t):
-            anchors.append(int(t[at]))
-            at = int(np.searchsorted(t, t[at] + step, side="left"))
-        anchors = np.asarray(anchors, dtype=np.int64)
-        pdf["anchor"] = anchors[np.searchsorted(anchors, t, side="right") - 1]
-        return pdf[[*keys, "__ts", "anchor"]]
-
-    resolved = (
-        points.join(entries, [*keys, "__chunk"])
-        .groupBy(*keys, "__chunk")
-        .applyInPandas(resolve, f"{key_types}, __ts bigint, anchor bigint")
+                    key, allowed, anchor = this, entry, entry - step
+                if t >= allowed:
+                    anchor, allowed = t, t + step
+                anchors.append(anchor)
+            yield pdf[[*keys, "__ts"]].assign(anchor=anchors)
+
+    anchored = (
+        placed.repartition(*keys, "__chunk")
+        .sortWithinPartitions(*keys, "__chunk", "__ts")
+        .mapInPandas(follow, f"{types}, __ts bigint, anchor bigint")
     )
-    return resolved.withColumnRenamed("__ts", ts)
+    return anchored.withColumnRenamed("__ts", ts)

@@ -8,13 +8,12 @@ from pyspark.sql import functions as F
 from lakewarden.fixed_values import EVENT_DEDUPE_SECONDS, EVENT_ID_FIELDS
 from lakewarden.functions.crypto import clean_signature
 from lakewarden.functions.text import blank_to_null, json_kind, json_text
-from lakewarden.operators.chains import greedy_chain
+from lakewarden.operators.chains import chain_anchors
 
 
 def dedupe_key(payload: Column, signature: Column, sent_at: Column) -> Column:
     """`id:<event id>` (ids of an array joined), else `sig:<seconds>:<signature>`, else null."""
     document = F.try_parse_json(payload)
-    fields = ",".join(f"`{f}`:string" for f in EVENT_ID_FIELDS)
     elements = F.transform(
         F.from_json(payload, "array<string>"),
         lambda e: json_text(F.try_parse_json(e), *EVENT_ID_FIELDS),
@@ -23,7 +22,6 @@ def dedupe_key(payload: Column, signature: Column, sent_at: Column) -> Column:
     event_id = F.when(json_kind(document) == "ARRAY", of_array).otherwise(
         json_text(document, *EVENT_ID_FIELDS)
     )
-    del fields
     by_signature = F.concat(
         F.lit("sig:"),
         F.unix_seconds(sent_at.cast("timestamp")).cast("string"),
@@ -48,21 +46,28 @@ def mark_duplicates(
     With a time to live a key may be accepted again once more than that has passed since it was
     last accepted; without one only the first delivery counts. Deliveries without a key are
     always accepted. Copies of one key are reduced per task and instant before any shuffle, and
-    the flags come back over the unique `(key, instant, tie)`, so a hot key stays spread out.
+    the flags come back over the unique `tie`, so a hot key stays spread out. Keys seen only
+    within one time to live, nearly all of them, are settled by a minimum; the rest follow
+    their chain.
     """
     at_us = F.unix_micros(F.col(at).cast("timestamp"))
-    rows = deliveries.withColumn("__at", at_us)
-    keyed = rows.where(F.col(key).isNotNull())
+    keyed = deliveries.where(F.col(key).isNotNull()).select(key, at_us.alias("__at"), tie)
     if ttl_seconds is None:
         first = keyed.groupBy(key).agg(F.min(F.struct("__at", tie)).alias("f"))
-        accepted = first.select(key, "f.__at", F.col(f"f.{tie}"))
+        accepted = first.select(F.col(f"f.{tie}").alias("__ok"))
     else:
+        ttl_us = ttl_seconds * 1_000_000
         instants = keyed.groupBy(key, "__at").agg(F.min(tie).alias(tie))
-        chain = greedy_chain(instants, [key], "__at", ttl_seconds * 1_000_000, strict=True)
-        accepted = instants.join(
-            chain.where(F.col("__at") == F.col("anchor")).select(key, "__at"), [key, "__at"]
+        spans = instants.groupBy(key).agg(
+            F.min(F.struct("__at", tie)).alias("f"), F.max("__at").alias("last")
         )
-    accepted = accepted.withColumn("__ok", F.lit(True))
-    flagged = rows.join(accepted, [key, "__at", tie], "left")
+        short = F.col("last") - F.col("f.__at") <= ttl_us
+        settled = spans.where(short).select(F.col(f"f.{tie}").alias("__ok"))
+        lasting = instants.join(spans.where(~short).select(key), key, "left_semi")
+        chain = chain_anchors(lasting, [key], "__at", ttl_us, strict=True)
+        elements = chain.where(F.col("__at") == F.col("anchor")).select(key, "__at")
+        followed = lasting.join(elements, [key, "__at"]).select(F.col(tie).alias("__ok"))
+        accepted = settled.unionByName(followed)
+    flagged = deliveries.join(accepted, F.col(tie) == F.col("__ok"), "left")
     duplicate = F.col(key).isNotNull() & F.col("__ok").isNull()
     return flagged.select(*deliveries.columns, duplicate.alias("is_duplicate"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakewarden.fixed_values import BUCKET_SECONDS, BUCKET_TOKENS
-from lakewarden.operators.chains import greedy_chain
+from lakewarden.operators.chains import chain_anchors
 
 
 def refill(tokens: int, last_us: int, now_us: int, size: int, seconds: int) -> tuple[int, int]:
@@ -41,9 +41,7 @@ def limit_calls(
         F.unix_micros(F.col(at).cast("timestamp")).alias("__at"),
         F.col(call_id).alias("__call"),
     )
-    clock = greedy_chain(
-        timed.select("__caller", "__at"), ["__caller"], "__at", interval_us, strict=False
-    )
+    clock = chain_anchors(timed, ["__caller"], "__at", interval_us, strict=False)
     placed = timed.join(clock, ["__caller", "__at"])
     periods = placed.groupBy("__caller", "anchor").agg(F.count(F.lit(1)).alias("n"))
     caller_type = calls.schema[caller].dataType.simpleString()
@@ -52,11 +50,11 @@ def limit_calls(
         who, tokens, last = None, size, 0
         for pdf in batches:
             granted = []
-            for row in pdf.itertuples(index=False):
-                if row[0] != who:
-                    who, tokens, last = row[0], size, row[1]
-                tokens, last = refill(tokens, last, row[1], size, seconds)
-                granted.append(min(tokens, row[2]))
+            for caller_id, start, asked in pdf.itertuples(index=False, name=None):
+                if caller_id != who:
+                    who, tokens, last = caller_id, size, start
+                tokens, last = refill(tokens, last, start, size, seconds)
+                granted.append(min(tokens, asked))
                 tokens -= granted[-1]
             yield pdf[["__caller", "anchor"]].assign(granted=granted)
 

@@ -23,6 +23,7 @@ from lakewarden.operators.tickets import (
 )
 from lakewarden.operators.triage import triage
 from lakewarden.operators.verify import rejection, verify_timestamped
+from lakewarden.session import checkpoint
 
 
 def process_catalog_events(
@@ -33,23 +34,28 @@ def process_catalog_events(
     legacy_payload_only: bool = False,
     ttl_seconds: int = EVENT_DEDUPE_SECONDS,
 ) -> DataFrame:
-    """Adds `status`, `dedupe_key` and `tables` to every delivery.
+    """`status`, `dedupe_key` and `tables` of every delivery, without its payload.
 
     Only deliveries that passed the checks and speak of a table take part in de-duplication,
-    so a rejected or useless one never blocks a later good one.
+    so a rejected or useless one never blocks a later good one. The checked deliveries are
+    stored once in their short form, so no payload is parsed or signed twice.
     """
-    checked = verify_timestamped(deliveries, keys, key_id, legacy_payload_only).withColumns(
-        {
-            "rejected": rejection(),
-            "dedupe_key": dedupe_key(F.col("payload"), F.col("signature"), F.col("sent_at")),
-            "tables": affected_tables(F.col("payload")),
-        }
+    checked = checkpoint(
+        verify_timestamped(deliveries, keys, key_id, legacy_payload_only).select(
+            delivery_id,
+            "received_at",
+            rejection().alias("rejected"),
+            dedupe_key(F.col("payload"), F.col("signature"), F.col("sent_at")).alias("dedupe_key"),
+            affected_tables(F.col("payload")).alias("tables"),
+        )
     )
     useful = F.col("rejected").isNull() & (F.size("tables") > 0)
     counted = checked.withColumn("__key", F.when(useful, F.col("dedupe_key")))
     marked = mark_duplicates(counted, "__key", "received_at", delivery_id, ttl_seconds)
     status = delivery_status(F.col("rejected"), F.col("is_duplicate"), F.col("tables"))
-    return marked.withColumn("status", status).drop("__key", "rejected", "is_duplicate")
+    return marked.select(
+        delivery_id, "received_at", "dedupe_key", "tables", status.alias("status")
+    )
 
 
 def catalog_epochs(processed: DataFrame) -> DataFrame:
@@ -68,10 +74,27 @@ def process_ticket_events(
     """Outcome of every ticket delivery; replays by event id or signature have no effect.
 
     Deliveries that cannot take effect are sorted out before replays are looked for, so a
-    failed one may be sent again.
+    failed one may be sent again. The bound deliveries are stored once without payload.
     """
     checked = replay_keys(check_status_changes(parse_status_changes(deliveries), keys))
-    bound = bind_requests(checked, instances, requests)
+    bound = checkpoint(
+        bind_requests(checked.drop("payload", "signature"), instances, requests).select(
+            delivery_id,
+            "received_at",
+            "replay_event",
+            "replay_signature",
+            "tenant_id",
+            "request_id",
+            "request_status",
+            "ticket_id",
+            "instance_id",
+            "action",
+            "reason",
+            "system",
+            "approver",
+            "reject_reason",
+        )
+    )
     for key in ("replay_event", "replay_signature"):
         usable = F.when(F.col("reject_reason").isNull(), F.col(key))
         marked = mark_duplicates(

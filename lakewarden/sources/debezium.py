@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _BODY = (
     "op:string, before:map<string,string>, after:map<string,string>,"
     "source:struct<name:string,`schema`:string,`table`:string,ts_ms:bigint>"
 )
-_ENVELOPE = f"payload:struct<{_BODY}>, {_BODY}, __corrupt:string"
+_ENVELOPE = f"struct<payload:struct<{_BODY}>, {_BODY}, __corrupt:string>"
 
 
 def _tenant(row: Column) -> Column:
@@ -75,5 +76,11 @@ def parse_envelopes(
 
 
 def typed_row(row: Column, schema: str) -> Column:
-    """A before/after map as a typed struct of the caller's schema."""
-    return F.from_json(F.to_json(row), schema, {"mode": "PERMISSIVE"})
+    """A before/after map as a typed struct of the caller's schema; what does not fit is null."""
+    fields = []
+    for f in T.StructType.fromDDL(schema).fields:
+        text = F.try_element_at(row, F.lit(f.name))
+        nested = isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType))
+        value = F.from_json(text, f.dataType) if nested else text.try_cast(f.dataType)
+        fields.append(value.alias(f.name))
+    return F.struct(*fields)

@@ -18,11 +18,14 @@ def cdc_events(raw: DataFrame, json: str = "value", received_at: str = "received
     return parse_envelopes(raw, json, received_at).where(~F.col("malformed"))
 
 
-def typed_changes(events: DataFrame, row_schema: str, keys: Sequence[str]) -> DataFrame:
-    """Events as flat rows of the caller's schema; deletes take their key from `before`."""
+def typed_changes(events: DataFrame, row_schema: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Events as flat rows of the caller's schema, plus the columns to `keep`.
+
+    Deletes take their key from `before`.
+    """
     row = typed_row(F.coalesce("after", "before"), row_schema)
     return events.withColumn("__row", row).select(
-        "operation", "tenant_id", "ts_ms", "event_id", "__row.*"
+        "operation", "tenant_id", "ts_ms", "event_id", *keep, "__row.*"
     )
 
 
