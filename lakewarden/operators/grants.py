@@ -208,47 +208,51 @@ def reconcile_grants(
     `held`: `id`, `marker`, GRANT_KEY, `valid_to`. Only grants with the sync marker and of a
     managed tenant (`tenant_id`) are touched. Of several held copies of one grant the one with
     the smallest id stays; it is found by a combined minimum, never by gathering the copies.
+    Both sides of the one comparison join then hold a grant once, so no key is hot in it.
     """
     at = F.lit(now).cast("timestamp")
     minutes = 2 * max(1, config.interval_minutes)
     allow_to = at + F.make_interval(mins=F.lit(minutes))
     deny_to = at + F.make_interval(days=F.lit(DENY_VALID_DAYS))
     refresh = at + F.make_interval(days=F.lit(DENY_REFRESH_DAYS))
-    valid_from = at - F.make_interval(mins=F.lit(GRANT_BACKDATE_MINUTES))
-    target = F.when(F.col("effect") == "Deny", deny_to).otherwise(allow_to)
+    from_time = at - F.make_interval(mins=F.lit(GRANT_BACKDATE_MINUTES))
 
     scoped = (
         held.where((F.col("marker") == config.marker) & (F.col("valid_to") > at))
         .join(managed_tenants.select("tenant_id").distinct(), "tenant_id", "left_semi")
-        .withColumn("grantee", F.upper("grantee"))
+        .select("id", *GRANT_KEY[:-2], F.upper("grantee").alias("grantee"), "effect", "valid_to")
     )
-    keepers = scoped.groupBy(*GRANT_KEY).agg(F.min("id").alias("keep_id"))
-    wanted = effective.join(keepers, GRANT_KEY, "left")
-    matched = scoped.join(
-        wanted.where(F.col("keep_id").isNotNull()).select(F.col("keep_id").alias("id"), F.lit(True).alias("__keep")),
-        "id",
-        "left",
-    )
-    is_kept = F.col("__keep").isNotNull()
-    refreshed = is_kept & ((F.col("effect") == "Allow") | (F.col("valid_to") < refresh))
-    existing = matched.select(
-        F.when(~is_kept, F.lit("revoke"))
+    keepers = scoped.groupBy(*GRANT_KEY).agg(F.min(F.struct("id", "valid_to")).alias("held"))
+    copies = scoped.join(keepers.select(F.col("held.id").alias("id")), "id", "left_anti")
+    wanted = effective.select(*GRANT_KEY, F.lit(True).alias("wanted"))
+    compared = keepers.join(wanted, GRANT_KEY, "full_outer")
+
+    refreshed = (F.col("effect") == "Allow") | (F.col("held.valid_to") < refresh)
+    action = (
+        F.when(F.col("held").isNull(), F.lit("create"))
+        .when(F.col("wanted").isNull(), F.lit("revoke"))
         .when(refreshed, F.lit("extend"))
         .otherwise(F.lit("keep"))
-        .alias("action"),
-        "id",
+    )
+    target = F.when(F.col("effect") == "Deny", deny_to).otherwise(allow_to)
+    decided = compared.withColumn("action", action).select(
+        "action",
+        F.col("held.id").alias("id"),
         *GRANT_KEY,
-        F.lit(None).cast("timestamp").alias("valid_from"),
-        F.when(~is_kept, at).when(refreshed, target).otherwise(F.col("valid_to")).alias("valid_to"),
+        F.when(F.col("action") == "create", from_time).alias("valid_from"),
+        F.when(F.col("action") == "revoke", at)
+        .when(F.col("action") == "keep", F.col("held.valid_to"))
+        .otherwise(target)
+        .alias("valid_to"),
     )
-    created = wanted.where(F.col("keep_id").isNull()).select(
-        F.lit("create").alias("action"),
-        F.lit(None).cast(held.schema["id"].dataType).alias("id"),
+    revoked = copies.select(
+        F.lit("revoke").alias("action"),
+        "id",
         *GRANT_KEY,
-        valid_from.alias("valid_from"),
-        target.alias("valid_to"),
+        F.lit(None).cast("timestamp").alias("valid_from"),
+        at.alias("valid_to"),
     )
-    return existing.unionByName(created)
+    return decided.unionByName(revoked)
 
 
 def affected_tables(actions: DataFrame) -> DataFrame:

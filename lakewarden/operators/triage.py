@@ -10,7 +10,6 @@ from lakewarden.fixed_values import (
     EXFILTRATION_PHRASES,
     INCIDENT_PHRASES,
     INJECTION_PHRASES,
-    TRIAGE_MAX_CHARS,
     TRIAGE_MIN_CHARS,
     TRIAGE_REASONS,
     UNJUSTIFIED_PHRASES,
@@ -21,13 +20,14 @@ from lakewarden.functions.text import clean_justification, contains_any, hash_pr
 def triage(
     requests: DataFrame,
     text: str,
-    max_chars: int | None = TRIAGE_MAX_CHARS,
+    max_chars: int | None = None,
     whole_words: bool = False,
     limited: str | None = None,
 ) -> DataFrame:
     """Adds `category`, `confidence`, `triage_reason`, `auto_grant` and `text_hash`.
 
-    `max_chars=None` reads whole texts. `limited` names a flag column of rate-limited
+    Whole texts are read; `max_chars` is for callers that cap justifications on entry, as an
+    interactive form does (`TRIAGE_MAX_CHARS`). `limited` names a flag column of rate-limited
     requests, which go to manual review unclassified. Nothing is ever granted automatically.
     The cascade is one projection; the cleaned text is computed once per row.
     """

@@ -610,7 +610,7 @@ def limited_triage(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""
     SELECT conv_id, turn, {_CATEGORY} AS category, CAST({_CONFIDENCE} AS DOUBLE) AS confidence,
       {_HASH} AS text_hash
-    FROM ({_cleaned("conversations", "conv_id, turn", "substr(text, 1, 500)")}) t"""
+    FROM ({_cleaned("conversations", "conv_id, turn", "text")}) t"""
 )
 def triage_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = load(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
@@ -624,6 +624,6 @@ def triage_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def triage_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = load(spark, sf_dir, "documents").select("doc_id", "text")
-    return triage(rows, "text", max_chars=None).select(
+    return triage(rows, "text").select(
         "doc_id", "category", "confidence", "text_hash"
     )

@@ -39,10 +39,11 @@ def catalog_columns(d) -> str:
       SELECT l_partkey AS p_partkey,
         {_COLUMN_NAME.format(n="l_linenumber")} AS column_name,
         {_COLUMN_TYPE.format(n="l_linenumber")} AS data_type,
-        CASE l_linenumber WHEN 1 THEN 'contact,PII.Email'
-          WHEN 2 THEN CASE WHEN max(l_returnflag) = 'R' THEN 'GDPR.Art9.Health'
-                           ELSE 'PersonalData.Id' END
-          WHEN 3 THEN CASE WHEN max(l_linestatus) = 'F' THEN 'pseudonym' ELSE 'key' END
+        CASE l_linenumber
+          WHEN 1 THEN CASE WHEN max(l_discount) >= 0.1 THEN 'contact,PII.Email' ELSE 'mail' END
+          WHEN 2 THEN CASE WHEN max(l_discount) >= 0.1 THEN 'GDPR.Art9.Health'
+                           WHEN max(l_discount) < 0.05 THEN 'PersonalData.Id' ELSE 'ref' END
+          WHEN 3 THEN CASE WHEN min(l_quantity) < 5 THEN 'pseudonym' ELSE 'key' END
           WHEN 5 THEN CASE WHEN max(l_tax) > 0.07 THEN 'pii' ELSE 'geo' END
           ELSE 'plain' END AS tag_text,
         count(*) AS uses

@@ -35,6 +35,7 @@ from lakewarden.operators.lineage import lineage_edges, lineage_nodes
 from lakewarden.operators.principals import resolve_teams, resolve_users
 from lakewarden.operators.proposals import ingest_summary, new_proposals
 from lakewarden.operators.tagging import TagConfig, map_columns, map_tables
+from lakewarden.session import checkpoint
 from lakewarden.sources.catalog_pages import require_complete
 from lakewarden.sources.dbt_manifest import model_columns, model_dependencies, parse_models
 
@@ -131,7 +132,8 @@ def sync_policies(
         .withColumn("is_active", F.coalesce("__active", "is_active"))
         .drop("__id", "__sens", "__eyes", "__active")
     )
-    columns = protected.join(accepted.select("entity_id", *ID), "entity_id")
+    tables = checkpoint(tables)
+    columns = protected.join(tables.select("entity_id", *ID), "entity_id")
     reject_rows = rejects.select("entity_id", "reason").unionByName(
         collided.select("entity_id", "reason")
     )
