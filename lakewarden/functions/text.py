@@ -65,26 +65,27 @@ def contains_any(text: Column, phrases: Iterable[str], whole_words: bool = False
     return hit
 
 
-def json_text(document: Column, *fields: str) -> Column:
-    """First non-blank string or number among top-level fields of a parsed VARIANT."""
-    return first_non_blank(*[_scalar(document, f"$.{f}") for f in fields])
+def json_object(text: Column) -> Column:
+    """Top-level fields of a JSON object as text, parsed in one pass.
 
+    Null for arrays, scalars and malformed text. Nested values keep their JSON text; a field
+    that is JSON null is present with a null value.
+    """
+    return F.from_json(text, "map<string,string>")
 
-def _scalar(document: Column, path: str) -> Column:
-    kind = F.schema_of_variant(F.try_variant_get(document, path, "variant"))
-    text = F.try_variant_get(document, path, "string")
-    return F.when(kind.rlike("^(STRING|BIGINT|DECIMAL|DOUBLE|FLOAT|TINYINT|SMALLINT|INT)"), text)
 
+def json_objects(text: Column) -> Column:
+    """The objects of a JSON array, each as by `json_object`; null for anything else."""
+    return F.when(text.rlike("^\\s*\\["), F.from_json(text, "array<map<string,string>>"))
 
-def json_string(document: Column, path: str) -> Column:
-    """Text at `path`, also for numbers; objects and arrays come back as JSON text."""
-    return F.try_variant_get(document, path, "string")
 
+def json_scalar(fields: Column, *names: str) -> Column:
+    """First of the named fields that is a non-blank string or a number."""
 
-def json_kind(document: Column, path: str = "$") -> Column:
-    """`OBJECT`, `ARRAY`, `STRING`, ... of the element at `path`; null when absent."""
-    schema = F.schema_of_variant(F.try_variant_get(document, path, "variant"))
-    return F.regexp_extract(schema, "^([A-Z]+)", 1)
+    def scalar(value: Column) -> Column:
+        return F.when(~value.rlike("^\\s*([{\\[]|(true|false)$)"), value)
+
+    return first_non_blank(*[scalar(fields[n]) for n in names])
 
 
 def epoch_to_timestamp(value: Column) -> Column:

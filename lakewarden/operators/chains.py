@@ -72,57 +72,56 @@ def _chunk_entries(points: DataFrame, keys: list[str], types: str, step: int, wi
 
 
 def chain_anchors(
-    times: DataFrame,
+    points: DataFrame,
     keys: Sequence[str],
     ts: str,
+    size: str,
     gap_us: int,
     strict: bool,
     hot_points: int = HOT_POINTS,
     chunk_gaps: int = 256,
 ) -> DataFrame:
-    """Distinct `(keys, ts)` with `anchor`, the last chain element at or before `ts`.
+    """Adds `anchor`, the last chain element at or before `ts`, to distinct `(keys, ts)`.
 
     The first event of a key starts its chain; the next element is the first event more than
     (`strict`) or at least `gap_us` microseconds later. Elements are the rows `ts = anchor`.
-    Keys with more than `hot_points` distinct times are worked on in chunks of `chunk_gaps`.
+    `size` names the column with the number of points of the key; keys with more than
+    `hot_points` are worked on in chunks of `chunk_gaps` gaps. Further columns pass through.
     """
     keys = list(keys)
     step = gap_us + 1 if strict else gap_us
     width = step * chunk_gaps
-    types = ", ".join(f"`{k}` {times.schema[k].dataType.simpleString()}" for k in keys)
-    points = times.select(*keys, F.col(ts).cast("bigint").alias("__ts")).distinct()
-    hot = (
-        points.groupBy(*keys)
-        .count()
-        .where(F.col("count") > hot_points)
-        .select(*keys, F.lit(True).alias("__hot"))
+    types = ", ".join(f"`{k}` {points.schema[k].dataType.simpleString()}" for k in keys)
+    at = F.col(ts)
+    chunk = ((at - F.pmod(at, F.lit(width))) / F.lit(width)).cast("bigint")
+    is_hot = F.col(size) > hot_points
+    chunked = points.withColumn(
+        "__chunk", F.when(is_hot, chunk).otherwise(F.lit(0).cast("bigint"))
     )
-    chunk = F.floor(F.col("__ts") / F.lit(width)).cast("bigint")
-    chunked = points.join(hot, keys, "left").withColumn(
-        "__chunk", F.when(F.col("__hot"), chunk).otherwise(F.lit(0).cast("bigint"))
-    )
-    hot_points_only = chunked.where(F.col("__hot")).select(*keys, "__ts", "__chunk")
-    entries = _chunk_entries(hot_points_only, keys, types, step, width)
-    placed = chunked.join(entries, [*keys, "__chunk"], "left").select(
-        *keys, "__ts", "__chunk", F.coalesce("__entry", F.lit(_NEVER)).alias("__entry")
+    of_hot_keys = chunked.where(is_hot).select(*keys, at.alias("__ts"), "__chunk")
+    entries = _chunk_entries(of_hot_keys, keys, types, step, width)
+    placed = chunked.join(entries, [*keys, "__chunk"], "left").withColumn(
+        "__entry", F.coalesce("__entry", F.lit(_NEVER))
     )
 
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in points.schema)
+    kept = points.columns
+
     def follow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, allowed, anchor = None, _NEVER, _NEVER
         for pdf in batches:
             names = zip(*[pdf[k].tolist() for k in [*keys, "__chunk"]])
             anchors = []
-            for this, t, entry in zip(names, pdf["__ts"].tolist(), pdf["__entry"].tolist()):
+            for this, t, entry in zip(names, pdf[ts].tolist(), pdf["__entry"].tolist()):
                 if this != key:
                     key, allowed, anchor = this, entry, entry - step
                 if t >= allowed:
                     anchor, allowed = t, t + step
                 anchors.append(anchor)
-            yield pdf[[*keys, "__ts"]].assign(anchor=anchors)
+            yield pdf[kept].assign(anchor=anchors)
 
-    anchored = (
+    return (
         placed.repartition(*keys, "__chunk")
-        .sortWithinPartitions(*keys, "__chunk", "__ts")
-        .mapInPandas(follow, f"{types}, __ts bigint, anchor bigint")
+        .sortWithinPartitions(*keys, "__chunk", ts)
+        .mapInPandas(follow, f"{columns}, anchor bigint")
     )
-    return anchored.withColumnRenamed("__ts", ts)

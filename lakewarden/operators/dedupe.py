@@ -7,21 +7,18 @@ from pyspark.sql import functions as F
 
 from lakewarden.fixed_values import EVENT_DEDUPE_SECONDS, EVENT_ID_FIELDS
 from lakewarden.functions.crypto import clean_signature
-from lakewarden.functions.text import blank_to_null, json_kind, json_text
+from lakewarden.functions.text import blank_to_null, json_scalar
 from lakewarden.operators.chains import chain_anchors
 
 
-def dedupe_key(payload: Column, signature: Column, sent_at: Column) -> Column:
-    """`id:<event id>` (ids of an array joined), else `sig:<seconds>:<signature>`, else null."""
-    document = F.try_parse_json(payload)
-    elements = F.transform(
-        F.from_json(payload, "array<string>"),
-        lambda e: json_text(F.try_parse_json(e), *EVENT_ID_FIELDS),
-    )
-    of_array = blank_to_null(F.array_join(F.array_compact(elements), ","))
-    event_id = F.when(json_kind(document) == "ARRAY", of_array).otherwise(
-        json_text(document, *EVENT_ID_FIELDS)
-    )
+def dedupe_key(fields: Column, items: Column, signature: Column, sent_at: Column) -> Column:
+    """`id:<event id>` (ids of an array joined), else `sig:<seconds>:<signature>`, else null.
+
+    `fields` and `items` are the payload parsed by `json_object` and `json_objects`.
+    """
+    ids = F.transform(items, lambda item: json_scalar(item, *EVENT_ID_FIELDS))
+    of_items = blank_to_null(F.array_join(F.array_compact(ids), ","))
+    event_id = F.coalesce(json_scalar(fields, *EVENT_ID_FIELDS), of_items)
     by_signature = F.concat(
         F.lit("sig:"),
         F.unix_seconds(sent_at.cast("timestamp")).cast("string"),
@@ -59,14 +56,15 @@ def mark_duplicates(
         ttl_us = ttl_seconds * 1_000_000
         instants = keyed.groupBy(key, "__at").agg(F.min(tie).alias(tie))
         spans = instants.groupBy(key).agg(
-            F.min(F.struct("__at", tie)).alias("f"), F.max("__at").alias("last")
+            F.min(F.struct("__at", tie)).alias("f"),
+            F.max("__at").alias("last"),
+            F.count(F.lit(1)).alias("__n"),
         )
         short = F.col("last") - F.col("f.__at") <= ttl_us
         settled = spans.where(short).select(F.col(f"f.{tie}").alias("__ok"))
-        lasting = instants.join(spans.where(~short).select(key), key, "left_semi")
-        chain = chain_anchors(lasting, [key], "__at", ttl_us, strict=True)
-        elements = chain.where(F.col("__at") == F.col("anchor")).select(key, "__at")
-        followed = lasting.join(elements, [key, "__at"]).select(F.col(tie).alias("__ok"))
+        lasting = instants.join(spans.where(~short).select(key, "__n"), key)
+        chain = chain_anchors(lasting, [key], "__at", "__n", ttl_us, strict=True)
+        followed = chain.where(F.col("__at") == F.col("anchor")).select(F.col(tie).alias("__ok"))
         accepted = settled.unionByName(followed)
     flagged = deliveries.join(accepted, F.col(tie) == F.col("__ok"), "left")
     duplicate = F.col(key).isNotNull() & F.col("__ok").isNull()

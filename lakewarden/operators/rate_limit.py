@@ -41,9 +41,12 @@ def limit_calls(
         F.unix_micros(F.col(at).cast("timestamp")).alias("__at"),
         F.col(call_id).alias("__call"),
     )
-    clock = chain_anchors(timed, ["__caller"], "__at", interval_us, strict=False)
-    placed = timed.join(clock, ["__caller", "__at"])
-    periods = placed.groupBy("__caller", "anchor").agg(F.count(F.lit(1)).alias("n"))
+    points = timed.groupBy("__caller", "__at").agg(F.count(F.lit(1)).alias("n"))
+    sizes = points.groupBy("__caller").agg(F.count(F.lit(1)).alias("__n"))
+    sized = points.join(sizes, "__caller")
+    clock = chain_anchors(sized, ["__caller"], "__at", "__n", interval_us, strict=False)
+    periods = clock.groupBy("__caller", "anchor").agg(F.sum("n").alias("n"))
+    placed = timed.join(clock.select("__caller", "__at", "anchor"), ["__caller", "__at"])
     caller_type = calls.schema[caller].dataType.simpleString()
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from lakewarden.functions.text import (
     blank_to_null,
     epoch_to_timestamp,
-    json_kind,
-    json_string,
-    json_text,
+    json_object,
+    json_objects,
+    json_scalar,
 )
 from lakewarden.operators.identity import ID
 from lakewarden.operators.verify import within_tolerance
@@ -24,48 +24,45 @@ def _table(domain: Column, schema_name: Column, table_name: Column) -> Column:
     )
 
 
-def affected_tables(payload: Column) -> Column:
+def with_parsed_payload(deliveries: DataFrame) -> DataFrame:
+    """Adds `fields` and `items`, the payload parsed once as an object or array of objects."""
+    payload = F.col("payload")
+    return deliveries.withColumns({"fields": json_object(payload), "items": json_objects(payload)})
+
+
+def affected_tables(fields: Column, items: Column) -> Column:
     """Array of tables a payload speaks of, for its three shapes; malformed JSON gives none.
 
     A change event of a table by full name, an asset with its domain, or an array of
-    notifications with a slash-separated qualified name.
+    notifications with a slash-separated qualified name. `fields` and `items` are the payload
+    parsed by `json_object` and `json_objects`.
     """
-    document = F.try_parse_json(payload)
     none = F.array().cast(f"array<{_TABLE}>")
-    is_table = F.lower(json_string(document, "$.entityType")) == "table"
-    parts = F.split(blank_to_null(json_string(document, "$.entityFullyQualifiedName")), "\\.")
+    is_table = F.lower(fields["entityType"]) == "table"
+    parts = F.split(blank_to_null(fields["entityFullyQualifiedName"]), "\\.")
     n = F.size(parts)
     by_name = F.when(
         is_table & (n >= 3),
         F.array(_table(F.get(parts, 0), F.get(parts, n - 2), F.get(parts, n - 1))),
     ).when(is_table & (n == 2), F.array(_table(F.get(parts, 0), F.lit("public"), F.get(parts, 1))))
-    asset = blank_to_null(json_string(document, "$.assetName"))
-    has_domain = json_kind(document, "$.domainName").isNotNull()
-    domain = F.coalesce(json_string(document, "$.domainName"), F.lit("default"))
+    asset = blank_to_null(fields["assetName"])
+    domain = F.coalesce(fields["domainName"], F.lit("default"))
     by_asset = F.when(
-        asset.isNotNull() & has_domain, F.array(_table(domain, F.lit("public"), asset))
-    )
-    items = F.from_json(
-        payload, "array<struct<eventType:string,data:struct<qualifiedName:string>>>"
+        asset.isNotNull() & F.map_contains_key(fields, "domainName"),
+        F.array(_table(domain, F.lit("public"), asset)),
     )
-    named = F.filter(
-        items,
-        lambda i: i["eventType"].isNotNull()
-        & (F.size(F.split(blank_to_null(i["data"]["qualifiedName"]), "/")) >= 2),
+    names = F.transform(
+        F.filter(items, lambda i: F.map_contains_key(i, "eventType")),
+        lambda i: F.get_json_object(i["data"], "$.qualifiedName"),
     )
-    by_array = F.transform(
-        named,
-        lambda i: _table(
-            F.substring_index(i["data"]["qualifiedName"], "/", 1),
-            F.lit("public"),
-            F.substring_index(i["data"]["qualifiedName"], "/", -1),
+    by_items = F.transform(
+        F.filter(names, lambda q: q.contains("/")),
+        lambda q: _table(
+            F.substring_index(q, "/", 1), F.lit("public"), F.substring_index(q, "/", -1)
         ),
     )
-    single = F.concat(F.coalesce(by_name, none), F.coalesce(by_asset, none))
-    return (
-        F.when(json_kind(document) == "OBJECT", single)
-        .when(json_kind(document) == "ARRAY", F.coalesce(by_array, none))
-        .otherwise(none)
+    return F.concat(
+        F.coalesce(by_name, none), F.coalesce(by_asset, none), F.coalesce(by_items, none)
     )
 
 
@@ -98,58 +95,57 @@ def policy_events(deliveries: DataFrame) -> DataFrame:
     A table event refreshes one table, a change of a principal or policy needs a full
     synchronisation, anything else is only acknowledged.
     """
-    document = F.try_parse_json("payload")
-    event_id = json_text(document, "id")
-    stamp = F.try_variant_get(document, "$.timestamp", "bigint")
-    event_time = epoch_to_timestamp(stamp)
-    kind = F.lower(json_string(document, "$.entityType"))
-    fqn = blank_to_null(json_string(document, "$.entityFullyQualifiedName"))
+    parsed = deliveries.withColumn("__f", json_object(F.col("payload")))
+    f = F.col("__f")
     on_time = within_tolerance(F.col("received_at"), F.col("event_time"))
     reason = (
         F.when(~F.col("signature_valid"), F.lit("INVALID_SIGNATURE"))
         .when(F.col("event_id").isNull() | F.col("event_time").isNull(), F.lit("MISSING_ID_OR_TIME"))
         .when(~on_time, F.lit("EXPIRED"))
     )
+    kind = F.col("entity_type")
     route = (
-        F.when((kind == "table") & fqn.isNotNull(), F.lit("REFRESH_TABLE"))
+        F.when((kind == "table") & F.col("entity_fqn").isNotNull(), F.lit("REFRESH_TABLE"))
         .when(kind.isin("policy", "role", "team", "user"), F.lit("FULL_SYNC"))
         .otherwise(F.lit("ACKNOWLEDGE"))
     )
     return (
-        deliveries.withColumns(
+        parsed.withColumns(
             {
-                "event_id": event_id,
-                "event_time": event_time,
-                "entity_type": kind,
-                "entity_fqn": fqn,
-                "route": route,
+                "event_id": json_scalar(f, "id"),
+                "event_time": epoch_to_timestamp(f["timestamp"].try_cast("bigint")),
+                "entity_type": F.lower(f["entityType"]),
+                "entity_fqn": blank_to_null(f["entityFullyQualifiedName"]),
             }
         )
         .withColumn("reject_reason", reason)
-        .withColumn("route", F.when(F.col("reject_reason").isNull(), F.col("route")))
+        .withColumn("route", F.when(F.col("reject_reason").isNull(), route))
+        .drop("__f")
     )
 
 
 def run_events(deliveries: DataFrame) -> DataFrame:
     """Job-run events: type, run id, status and reject reason; `timestamp` is ISO text."""
-    document = F.try_parse_json("payload")
-    event_id = json_text(document, "eventId")
-    event_time = F.try_to_timestamp(json_string(document, "$.timestamp"))
-    status = F.coalesce(json_string(document, "$.data.runStatus"), F.lit("Unknown"))
-    kind = F.coalesce(json_string(document, "$.eventType"), F.lit("job_run.completed"))
+    parsed = deliveries.withColumn("__f", json_object(F.col("payload")))
+    f = F.col("__f")
+    data = F.from_json(f["data"], "struct<runId:string,runStatus:string>")
     on_time = within_tolerance(F.col("received_at"), F.col("event_time"))
     reason = (
         F.when(~F.col("signature_valid"), F.lit("INVALID_SIGNATURE"))
-        .when(document.isNull(), F.lit("MALFORMED"))
+        .when(f.isNull(), F.lit("MALFORMED"))
         .when(F.col("event_id").isNull() | F.col("event_time").isNull(), F.lit("MISSING_ID_OR_TIME"))
         .when(~on_time, F.lit("EXPIRED"))
     )
-    return deliveries.withColumns(
-        {
-            "event_id": event_id,
-            "event_time": event_time,
-            "event_type": kind,
-            "run_id": json_string(document, "$.data.runId"),
-            "run_status": status,
-        }
-    ).withColumn("reject_reason", reason)
+    return (
+        parsed.withColumns(
+            {
+                "event_id": json_scalar(f, "eventId"),
+                "event_time": F.try_to_timestamp(f["timestamp"]),
+                "event_type": F.coalesce(f["eventType"], F.lit("job_run.completed")),
+                "run_id": data["runId"],
+                "run_status": F.coalesce(data["runStatus"], F.lit("Unknown")),
+            }
+        )
+        .withColumn("reject_reason", reason)
+        .drop("__f")
+    )

@@ -12,12 +12,17 @@ from lakewarden.fixed_values import (
     TICKET_USER_FIELDS,
 )
 from lakewarden.functions.crypto import clean_signature
-from lakewarden.functions.text import blank_to_null, json_kind, json_string, json_text
+from lakewarden.functions.text import blank_to_null, json_object, json_scalar
 from lakewarden.operators.verify import verify_per_instance, within_tolerance
 
 
-def _any(document: Column, *fields: str) -> Column:
-    return F.coalesce(*[json_string(document, f"$.{f}") for f in fields])
+_ISSUE = (
+    "struct<key:string,fields:struct<status:struct<name:string>,resolution:struct<name:string>>>"
+)
+
+
+def _any(fields: Column, *names: str) -> Column:
+    return F.coalesce(*[fields[n] for n in names])
 
 
 def _is(value: Column, *words: str) -> Column:
@@ -30,18 +35,20 @@ def parse_status_changes(deliveries: DataFrame, payload: str = "payload") -> Dat
     Three shapes are understood: the canonical one, ServiceNow records and Jira issues. What
     does not say otherwise is a rejection. `ticket_id` is null when no shape fits.
     """
-    parsed = deliveries.withColumn("__d", F.try_parse_json(payload))
-    d = F.col("__d")
+    fields = json_object(F.col(payload))
+    parsed = deliveries.withColumn("__d", fields).withColumn(
+        "__i", F.from_json(F.col("__d")["issue"], _ISSUE)
+    )
+    d, issue = F.col("__d"), F.col("__i")
     ticket = blank_to_null(_any(d, "TicketId", "ticketId", "ticket_id"))
-    number, sys_id = json_string(d, "$.number"), json_string(d, "$.sys_id")
+    number, sys_id = d["number"], d["sys_id"]
     is_record = ticket.isNull() & (number.isNotNull() | sys_id.isNotNull())
     record_ticket = blank_to_null(F.coalesce(number, sys_id))
-    issue = json_kind(d, "$.issue").isNotNull()
-    is_issue = ticket.isNull() & issue & (~is_record | record_ticket.isNull())
+    is_issue = ticket.isNull() & issue.isNotNull() & (~is_record | record_ticket.isNull())
 
     action = F.coalesce(_any(d, "Action", "action"), F.lit("REJECT"))
-    approval = json_string(d, "$.approval")
-    state = json_string(d, "$.state")
+    approval = d["approval"]
+    state = d["state"]
     record_action = (
         F.when(_is(approval, "rejected", "not_approved"), F.lit("REJECT"))
         .when(_is(approval, "approved"), F.lit("APPROVE"))
@@ -50,8 +57,8 @@ def parse_status_changes(deliveries: DataFrame, payload: str = "payload") -> Dat
         .when(_is(state, "approved"), F.lit("APPROVE"))
         .otherwise(action)
     )
-    status_name = json_string(d, "$.issue.fields.status.name")
-    resolution = json_string(d, "$.issue.fields.resolution.name")
+    status_name = issue["fields"]["status"]["name"]
+    resolution = issue["fields"]["resolution"]["name"]
 
     def wont(name: Column) -> Column:
         return F.coalesce(F.lower(name).contains("won't"), F.lit(False))
@@ -70,13 +77,13 @@ def parse_status_changes(deliveries: DataFrame, payload: str = "payload") -> Dat
     reason = _any(d, "Reason", "reason")
     record_reason = F.coalesce(reason, _any(d, "close_notes", "work_notes", "comments"))
     instance = blank_to_null(_any(d, "InstanceId", "instanceId", "instance_id"))
-    user = F.try_variant_get(d, "$.user", "variant")
+    user = json_object(d["user"])
     columns = {
         "ticket_id": F.when(ticket.isNotNull(), ticket)
-        .when(is_issue, blank_to_null(json_string(d, "$.issue.key")))
+        .when(is_issue, blank_to_null(issue["key"]))
         .when(is_record, record_ticket),
         "instance_id": F.btrim(
-            F.when(is_issue, F.coalesce(instance, json_string(d, "$.baseUrl")))
+            F.when(is_issue, F.coalesce(instance, d["baseUrl"]))
             .when(is_record, F.coalesce(instance, _any(d, "instance_name", "instance_id")))
             .otherwise(instance)
         ),
@@ -87,12 +94,12 @@ def parse_status_changes(deliveries: DataFrame, payload: str = "payload") -> Dat
         "system": F.when(is_issue, F.lit("Jira"))
         .when(is_record, F.lit("ServiceNow"))
         .otherwise(F.lit("ITSM")),
-        "event_id": json_text(d, *TICKET_EVENT_FIELDS),
+        "event_id": json_scalar(d, *TICKET_EVENT_FIELDS),
         "approver": F.coalesce(
-            json_text(d, *TICKET_APPROVER_FIELDS), json_text(user, *TICKET_USER_FIELDS)
+            json_scalar(d, *TICKET_APPROVER_FIELDS), json_scalar(user, *TICKET_USER_FIELDS)
         ),
     }
-    return parsed.withColumns(columns).drop("__d")
+    return parsed.withColumns(columns).drop("__d", "__i")
 
 
 def check_status_changes(parsed: DataFrame, keys: DataFrame) -> DataFrame:

@@ -16,7 +16,12 @@ from lakewarden.functions.crypto import key_table
 from lakewarden.operators.cdc_apply import activity_windows, apply_changes
 from lakewarden.operators.dedupe import mark_duplicates
 from lakewarden.operators.rate_limit import limit_calls
-from lakewarden.operators.routing import affected_tables, policy_events, run_events
+from lakewarden.operators.routing import (
+    affected_tables,
+    policy_events,
+    run_events,
+    with_parsed_payload,
+)
 from lakewarden.operators.tickets import check_status_changes, parse_status_changes
 from lakewarden.operators.triage import triage
 from lakewarden.operators.verify import rejection, verify_payload, verify_timestamped
@@ -255,11 +260,9 @@ _TABLES = f"""
     FROM (SELECT event_id, unnest(tables) AS t FROM ({_TABLES}) x) y"""
 )
 def event_affected_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        _deliveries(spark, sf_dir)
-        .select("event_id", F.explode(affected_tables(F.col("payload"))).alias("t"))
-        .select("event_id", "t.*")
-    )
+    parsed = with_parsed_payload(_deliveries(spark, sf_dir))
+    tables = affected_tables(F.col("fields"), F.col("items"))
+    return parsed.select("event_id", F.explode(tables).alias("t")).select("event_id", "t.*")
 
 
 def _accepted_sql(source: str, key: str, at: str, tie: str, ttl_us: int) -> str:

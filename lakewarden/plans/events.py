@@ -13,6 +13,7 @@ from lakewarden.operators.routing import (
     delivery_status,
     epoch_increments,
     invalidations,
+    with_parsed_payload,
 )
 from lakewarden.operators.tickets import (
     bind_requests,
@@ -40,13 +41,16 @@ def process_catalog_events(
     so a rejected or useless one never blocks a later good one. The checked deliveries are
     stored once in their short form, so no payload is parsed or signed twice.
     """
+    verified = verify_timestamped(deliveries, keys, key_id, legacy_payload_only)
     checked = checkpoint(
-        verify_timestamped(deliveries, keys, key_id, legacy_payload_only).select(
+        with_parsed_payload(verified).select(
             delivery_id,
             "received_at",
             rejection().alias("rejected"),
-            dedupe_key(F.col("payload"), F.col("signature"), F.col("sent_at")).alias("dedupe_key"),
-            affected_tables(F.col("payload")).alias("tables"),
+            dedupe_key(F.col("fields"), F.col("items"), F.col("signature"), F.col("sent_at")).alias(
+                "dedupe_key"
+            ),
+            affected_tables(F.col("fields"), F.col("items")).alias("tables"),
         )
     )
     useful = F.col("rejected").isNull() & (F.size("tables") > 0)

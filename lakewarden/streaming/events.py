@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lakewarden.fixed_values import EVENT_DEDUPE_SECONDS, EVENT_TOLERANCE_SECONDS
 from lakewarden.operators.dedupe import dedupe_key
-from lakewarden.operators.routing import affected_tables
+from lakewarden.operators.routing import affected_tables, with_parsed_payload
 from lakewarden.operators.tickets import check_status_changes, parse_status_changes, replay_keys
 from lakewarden.operators.verify import rejection, verify_timestamped
 
@@ -31,13 +31,16 @@ def catalog_event_stream(
 ) -> DataFrame:
     """Tables invalidated by a stream of signed catalog events."""
     checked = verify_timestamped(deliveries, keys, key_id)
-    accepted = checked.where(rejection().isNull()).withColumn(
-        "dedupe_key", dedupe_key(F.col("payload"), F.col("signature"), F.col("sent_at"))
+    accepted = with_parsed_payload(checked.where(rejection().isNull())).select(
+        "received_at",
+        dedupe_key(F.col("fields"), F.col("items"), F.col("signature"), F.col("sent_at")).alias(
+            "dedupe_key"
+        ),
+        affected_tables(F.col("fields"), F.col("items")).alias("tables"),
     )
-    once = first_deliveries(accepted, "dedupe_key", ttl_seconds)
-    return once.select(
-        "received_at", F.explode(affected_tables(F.col("payload"))).alias("t")
-    ).select("received_at", "t.*")
+    useful = accepted.where(F.size("tables") > 0)
+    once = first_deliveries(useful, "dedupe_key", ttl_seconds)
+    return once.select("received_at", F.explode("tables").alias("t")).select("received_at", "t.*")
 
 
 def epoch_stream(invalidated: DataFrame, width: str = "1 minute") -> DataFrame:
