@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lakewarden.fixed_values import EPOCH_MILLIS_ABOVE
 
+_SCALAR = "^\\s*(?!(true|false)$)[^\\s{\\[]"
 IDENTIFIER = "^[a-zA-Z_][a-zA-Z0-9_]*$"
 
 
@@ -82,10 +83,7 @@ def json_objects(text: Column) -> Column:
 def json_scalar(fields: Column, *names: str) -> Column:
     """First of the named fields that is a non-blank string or a number."""
 
-    def scalar(value: Column) -> Column:
-        return F.when(~value.rlike("^\\s*([{\\[]|(true|false)$)"), value)
-
-    return first_non_blank(*[scalar(fields[n]) for n in names])
+    return F.coalesce(*[F.when(fields[n].rlike(_SCALAR), fields[n]) for n in names])
 
 
 def epoch_to_timestamp(value: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakewarden.fixed_values import EVENT_DEDUPE_SECONDS, EVENT_TOLERANCE_SECONDS
+from lakewarden.fixed_values import EVENT_DEDUPE_SECONDS
 from lakewarden.operators.dedupe import dedupe_key
 from lakewarden.operators.routing import affected_tables, with_parsed_payload
 from lakewarden.operators.tickets import check_status_changes, parse_status_changes, replay_keys
@@ -44,12 +44,10 @@ def catalog_event_stream(
 
 
 def epoch_stream(invalidated: DataFrame, width: str = "1 minute") -> DataFrame:
-    """Epoch increments per table and window of a stream of invalidations."""
-    counted = (
-        invalidated.withWatermark("received_at", f"{EVENT_TOLERANCE_SECONDS} seconds")
-        .groupBy(F.window("received_at", width).alias("w"), "domain", "schema_name", "table_name")
-        .agg(F.count(F.lit(1)).alias("increments"))
-    )
+    """Epoch increments per table and window of `catalog_event_stream`, by its watermark."""
+    counted = invalidated.groupBy(
+        F.window("received_at", width).alias("w"), "domain", "schema_name", "table_name"
+    ).agg(F.count(F.lit(1)).alias("increments"))
     return counted.select(
         F.col("w.start").alias("window_start"), "domain", "schema_name", "table_name", "increments"
     )
