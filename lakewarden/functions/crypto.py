@@ -26,6 +26,12 @@ def key_table(spark: SparkSession, secrets: Mapping[str, str | bytes]) -> DataFr
     return spark.createDataFrame(rows, "key_id string, ipad binary, opad binary")
 
 
+def key_pads(keys: DataFrame, key_id: str) -> tuple[Column, Column]:
+    """Pads of one key as scalar subqueries; null when there is no such key."""
+    one = keys.where(F.col("key_id") == key_id)
+    return one.agg(F.max("ipad")).scalar(), one.agg(F.max("opad")).scalar()
+
+
 def hmac_hex(message: Column, ipad: Column, opad: Column) -> Column:
     """Lower-case hex HMAC-SHA256 of the UTF-8 bytes of `message`."""
     inner = F.sha2(F.concat(ipad, message.cast("string").cast("binary")), 256)

@@ -9,9 +9,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakewarden.functions.crypto import key_pads
 from lakewarden.functions.masks import MaskRule, apply_rule, redact
 from lakewarden.operators.predicates import Predicate
-from lakewarden.session import broadcast_if_bounded
 
 CLEAR, MASK, DENY, DROP = "Clear", "Mask", "Deny", "DROP_COLUMN"
 
@@ -76,25 +76,6 @@ def apply_row_filter(df: DataFrame, row_filter: str | None) -> DataFrame:
     return df.where(row_filter_column(df, row_filter))
 
 
-def _attach_keys(df: DataFrame, rules: Iterable[MaskRule], keys: DataFrame | None):
-    """Joins the pads of every key id in use; ids without a key give null pads."""
-    pads: dict[str, tuple[Column, Column]] = {}
-    ids = sorted({r.key_id for r in rules if r.rule_type.upper() == "HMAC_SHA256" and r.key_id})
-    if keys is None:
-        return df, pads
-    for n, key_id in enumerate(ids):
-        one = keys.where(F.col("key_id") == key_id).select(
-            F.col("key_id").alias(f"__k{n}"),
-            F.col("ipad").alias(f"__i{n}"),
-            F.col("opad").alias(f"__o{n}"),
-        )
-        df = df.withColumn(f"__id{n}", F.lit(key_id)).join(
-            broadcast_if_bounded(one, 1), F.col(f"__id{n}") == F.col(f"__k{n}"), "left"
-        )
-        pads[key_id] = (F.col(f"__i{n}"), F.col(f"__o{n}"))
-    return df, pads
-
-
 def mask_columns(
     df: DataFrame,
     policy: TablePolicy,
@@ -103,17 +84,17 @@ def mask_columns(
 ) -> DataFrame:
     """Projection with denied columns left out and masked ones replaced."""
     wanted = [c for c in (columns or df.columns) if policy.effective(c) != DENY]
-    rules = [policy.rule(c) for c in wanted if policy.effective(c) == MASK and policy.rule(c)]
-    joined, pads = _attach_keys(df, rules, keys)
     out = []
     for c in wanted:
         if policy.effective(c) == MASK:
             rule = policy.rule(c)
-            ipad, opad = pads.get(rule.key_id, (None, None)) if rule else (None, None)
+            ipad, opad = None, None
+            if keys is not None and rule and rule.key_id:
+                ipad, opad = key_pads(keys, rule.key_id)
             out.append(apply_rule(F.col(c), rule, ipad, opad).alias(c))
         else:
             out.append(F.col(c))
-    return joined.select(*out)
+    return df.select(*out)
 
 
 def mask_everything(df: DataFrame, tenant_column: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakewarden.fixed_values import EVENT_TOLERANCE_SECONDS
-from lakewarden.functions.crypto import hmac_hex, signature_hex
+from lakewarden.functions.crypto import hmac_hex, key_pads, signature_hex
 from lakewarden.functions.text import blank_to_null
 from lakewarden.session import broadcast_if_bounded
 
@@ -26,23 +26,8 @@ def iso_timestamp(at: Column) -> Column:
     )
 
 
-def attach_key(df: DataFrame, keys: DataFrame, key_id: Column) -> DataFrame:
-    """Adds `__ipad`/`__opad` of the named key; null when there is none."""
-    pads = keys.select(
-        F.col("key_id").alias("__key_id"),
-        F.col("ipad").alias("__ipad"),
-        F.col("opad").alias("__opad"),
-    )
-    return (
-        df.withColumn("__wanted", key_id)
-        .join(broadcast_if_bounded(pads), F.col("__wanted") == F.col("__key_id"), "left")
-        .drop("__wanted", "__key_id")
-    )
-
-
-def _signed_with(message: Column, provided: Column) -> Column:
-    expected = hmac_hex(message, F.col("__ipad"), F.col("__opad"))
-    return F.coalesce(expected == provided, F.lit(False))
+def _signed_with(message: Column, provided: Column, ipad: Column, opad: Column) -> Column:
+    return F.coalesce(hmac_hex(message, ipad, opad) == provided, F.lit(False))
 
 
 def verify_timestamped(
@@ -50,12 +35,12 @@ def verify_timestamped(
 ) -> DataFrame:
     """Adds `signature_valid` for signatures over `<unix seconds>.<payload>`, hex or base64."""
     provided = signature_hex(F.col("signature"))
+    pads = key_pads(keys, key_id)
     seconds = F.unix_seconds(F.col("sent_at").cast("timestamp")).cast("string")
-    valid = _signed_with(F.concat(seconds, F.lit("."), F.col("payload")), provided)
+    valid = _signed_with(F.concat(seconds, F.lit("."), F.col("payload")), provided, *pads)
     if legacy_payload_only:
-        valid = valid | _signed_with(F.col("payload"), provided)
-    joined = attach_key(deliveries, keys, F.lit(key_id))
-    return joined.withColumn("signature_valid", valid).drop("__ipad", "__opad")
+        valid = valid | _signed_with(F.col("payload"), provided, *pads)
+    return deliveries.withColumn("signature_valid", valid)
 
 
 def verify_per_instance(
@@ -73,17 +58,26 @@ def verify_per_instance(
 
     raw = blank_to_null(F.col("raw_timestamp"))
     iso = iso_timestamp(F.col("sent_at"))
-    valid = _signed_with(message(raw), provided) | _signed_with(message(iso), provided)
-    joined = attach_key(deliveries, keys, F.col(instance))
-    return joined.withColumn("signature_valid", valid).drop("__ipad", "__opad")
+    pads = F.col("__ipad"), F.col("__opad")
+    valid = _signed_with(message(raw), provided, *pads) | _signed_with(
+        message(iso), provided, *pads
+    )
+    secrets = keys.select(
+        F.col("key_id").alias("__key_id"),
+        F.col("ipad").alias("__ipad"),
+        F.col("opad").alias("__opad"),
+    )
+    joined = deliveries.join(
+        broadcast_if_bounded(secrets), F.col(instance) == F.col("__key_id"), "left"
+    )
+    return joined.withColumn("signature_valid", valid).drop("__key_id", "__ipad", "__opad")
 
 
 def verify_payload(deliveries: DataFrame, keys: DataFrame, key_id: str) -> DataFrame:
     """Adds `signature_valid` for hex signatures over the payload alone."""
     provided = signature_hex(F.col("signature"), allow_base64=False)
-    valid = _signed_with(F.col("payload"), provided)
-    joined = attach_key(deliveries, keys, F.lit(key_id))
-    return joined.withColumn("signature_valid", valid).drop("__ipad", "__opad")
+    valid = _signed_with(F.col("payload"), provided, *key_pads(keys, key_id))
+    return deliveries.withColumn("signature_valid", valid)
 
 
 def rejection(tolerance_seconds: int = EVENT_TOLERANCE_SECONDS) -> Column:

@@ -265,18 +265,19 @@ def event_affected_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed.select("event_id", F.explode(tables).alias("t")).select("event_id", "t.*")
 
 
-def _accepted_sql(source: str, key: str, at: str, tie: str, ttl_us: int) -> str:
+def _accepted_sql(source: str, key: str, at: str, tie: str, ttl_us: int, n: str = "") -> str:
     """Ids of accepted rows: per key the first, then the next one more than the TTL later."""
     return f"""
-      inst AS (SELECT {key} AS k, {at} AS t, min({tie}) AS id FROM {source}
+      inst{n} AS (SELECT {key} AS k, {at} AS t, min({tie}) AS id FROM {source}
                WHERE {key} IS NOT NULL GROUP BY 1, 2),
-      nxt AS (SELECT k, t, id, min(t) OVER (PARTITION BY k ORDER BY t
-                RANGE BETWEEN {ttl_us + 1} FOLLOWING AND UNBOUNDED FOLLOWING) AS nt FROM inst),
-      chain AS (
-        SELECT k, min(t) AS t FROM inst GROUP BY k
+      nxt{n} AS (SELECT k, t, id, min(t) OVER (PARTITION BY k ORDER BY t
+                RANGE BETWEEN {ttl_us + 1} FOLLOWING AND UNBOUNDED FOLLOWING) AS nt FROM inst{n}),
+      chain{n} AS (
+        SELECT k, min(t) AS t FROM inst{n} GROUP BY k
         UNION ALL
-        SELECT c.k, n.nt FROM chain c JOIN nxt n ON n.k = c.k AND n.t = c.t WHERE n.nt IS NOT NULL),
-      accepted AS (SELECT i.id FROM chain c JOIN inst i ON i.k = c.k AND i.t = c.t)"""
+        SELECT c.k, n.nt FROM chain{n} c JOIN nxt{n} n ON n.k = c.k AND n.t = c.t
+        WHERE n.nt IS NOT NULL),
+      accepted{n} AS (SELECT i.id FROM chain{n} c JOIN inst{n} i ON i.k = c.k AND i.t = c.t)"""
 
 
 _STATUS = f"""
@@ -504,8 +505,13 @@ _INSTANCES = """
     src AS (SELECT *, CASE WHEN why IS NULL THEN 'evt:' || instance_id || ':' || event_id END AS key
             FROM bound),
     {_accepted_sql("src", "key", "received_us", "delivery_id", 900_000_000)},
-    once AS (SELECT s.*, CASE WHEN key IS NOT NULL AND a.id IS NULL THEN 'REPLAY' ELSE why END AS why2
+    src2 AS (SELECT s.*, CASE WHEN key IS NOT NULL AND a.id IS NULL THEN 'REPLAY' ELSE why END AS why1,
+               CASE WHEN why IS NULL AND (key IS NULL OR a.id IS NOT NULL) THEN
+                 instance_id || ':' || upper(replace(signature, 'SHA256=', '')) END AS key2
              FROM src s LEFT JOIN accepted a ON a.id = s.delivery_id),
+    {_accepted_sql("src2", "key2", "received_us", "delivery_id", 900_000_000, "2")},
+    once AS (SELECT s.*, CASE WHEN key2 IS NOT NULL AND a.id IS NULL THEN 'REPLAY' ELSE why1 END AS why2
+             FROM src2 s LEFT JOIN accepted2 a ON a.id = s.delivery_id),
     taking AS (
       SELECT delivery_id FROM (SELECT delivery_id, row_number() OVER (PARTITION BY request_id
         ORDER BY received_us, delivery_id) AS rn FROM once

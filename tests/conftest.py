@@ -15,7 +15,9 @@ def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[8]",
-        spark__sql__shuffle__partitions="4",
+        spark__sql__shuffle__partitions="2",
+        # tiny inputs: compiling a class per stage costs more than running it
+        spark__sql__codegen__wholeStage="false",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
         spark__driver__memory="6g",
