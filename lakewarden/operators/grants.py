@@ -30,31 +30,38 @@ class GrantConfig:
     marker: str = "policy-sync"
 
 
-def effective_rules(policies: DataFrame) -> DataFrame:
+def rule_rows(policies: DataFrame) -> DataFrame:
+    """One row per rule of `policies(id, name, enabled, rules)`; a repeated id counts once."""
+    first = policies.groupBy("id").agg(F.min_by(F.struct("enabled", "rules"), "name").alias("p"))
+    rules = first.select(
+        F.col("id").alias("policy_id"), F.col("p.enabled").alias("enabled"), F.explode("p.rules").alias("r")
+    )
+    return rules.select(
+        "policy_id", "enabled", "r.effect", "r.condition", "r.operations", "r.resources"
+    )
+
+
+def effective_rules(rules: DataFrame) -> DataFrame:
     """Data-access rules of enabled policies as `(policy_id, effect, resource)`.
 
-    Conditional rules, other effects and rules without a data-read operation produce nothing.
-    A policy id that occurs twice counts once.
+    Takes rule rows (`rule_rows`, or a table of that shape). Conditional rules, other effects
+    and rules without a data-read operation produce nothing.
     """
-    first = policies.groupBy("id").agg(F.min_by(F.struct("enabled", "rules"), "name").alias("p"))
-    rules = first.where("p.enabled").select(
-        F.col("id").alias("policy_id"), F.explode("p.rules").alias("r")
-    )
-    effect = F.lower(F.btrim("r.effect"))
-    operations = F.transform("r.operations", lambda o: F.lower(o))
+    effect = F.lower(F.btrim("effect"))
+    operations = F.transform("operations", lambda o: F.lower(o))
 
     def reads(names: list[str]) -> Column:
         return F.arrays_overlap(operations, F.array(*[F.lit(n.lower()) for n in names]))
 
-    unconditional = F.coalesce(F.btrim("r.condition"), F.lit("")) == ""
+    unconditional = F.coalesce(F.btrim("condition"), F.lit("")) == ""
     allow = (effect == "allow") & reads(ALLOW_OPERATIONS)
     deny = (effect == "deny") & reads(DENY_OPERATIONS)
     return (
-        rules.where(unconditional & (allow | deny))
+        rules.where(F.col("enabled") & unconditional & (allow | deny))
         .select(
             "policy_id",
             F.when(effect == "deny", F.lit("Deny")).otherwise(F.lit("Allow")).alias("effect"),
-            F.explode(F.transform("r.resources", lambda x: F.lower(x))).alias("resource"),
+            F.explode(F.transform("resources", lambda x: F.lower(x))).alias("resource"),
         )
         .distinct()
     )
@@ -135,24 +142,33 @@ def team_grantees(teams: DataFrame, policies: DataFrame) -> DataFrame:
     return resolved.select(F.lit("Group").alias("grantee_type"), "grantee", "policy_id")
 
 
-def user_grantees(users: DataFrame, roles: DataFrame, policies: DataFrame) -> DataFrame:
-    """Grantees of users with a resolved `sid`, through their roles' policies."""
-    u = users.where(F.col("sid").isNotNull()).select(
-        F.col("sid").alias("grantee"), F.explode("roles").alias("r")
-    )
-    asked = u.select(
-        "grantee", F.col("r.id").alias("__rid"), F.lower("r.name").alias("__rname")
+def user_role_rows(users: DataFrame) -> DataFrame:
+    """`(sid, role_id, role_name)` per role of `users(sid, roles)`."""
+    held = users.select("sid", F.explode("roles").alias("r"))
+    return held.select("sid", F.col("r.id").alias("role_id"), F.col("r.name").alias("role_name"))
+
+
+def user_grantees(held: DataFrame, roles: DataFrame, policies: DataFrame) -> DataFrame:
+    """Grantees of resolved users through their roles' policies.
+
+    Takes role rows (`user_role_rows`, or a table of that shape); a role is found by its id,
+    else by its name.
+    """
+    asked = held.where(F.col("sid").isNotNull()).select(
+        F.col("sid").alias("grantee"),
+        F.col("role_id").alias("__rid"),
+        F.lower("role_name").alias("__rname"),
     )
     by_id = roles.select(F.col("id").alias("__id")).distinct()
     by_name = roles.groupBy(F.lower("name").alias("__name")).agg(F.min("id").alias("__nid"))
-    held = (
+    found = (
         asked.join(by_id, F.col("__rid") == F.col("__id"), "left")
         .join(by_name, F.col("__rname") == F.col("__name"), "left")
         .select("grantee", F.coalesce("__id", "__nid").alias("role_id"))
         .where(F.col("role_id").isNotNull())
         .distinct()
     )
-    refs = held.join(role_refs(roles), "role_id").select("grantee", "ref_id", "ref_name")
+    refs = found.join(role_refs(roles), "role_id").select("grantee", "ref_id", "ref_name")
     resolved = resolve_policy_refs(refs, policies)
     return resolved.select(F.lit("User").alias("grantee_type"), "grantee", "policy_id")
 

@@ -32,15 +32,20 @@ def lineage_nodes(models: DataFrame, edges: DataFrame) -> DataFrame:
     )
 
 
-def nodes_with_children(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Nodes with the sorted list of direct children, for graphs whose fan-out fits a row."""
-    lists = edges.groupBy(F.col("parent").alias("table_id")).agg(
+def child_lists(edges: DataFrame, per_row: int = 1000) -> DataFrame:
+    """Direct children as sorted lists `(parent, part, children)`.
+
+    A parent with many children is spread over parts of about `per_row`, chosen by the child's
+    name, so no list grows with the graph. The children are counted per parent first, and only
+    that count travels back to the edges.
+    """
+    counts = edges.groupBy("parent").agg(F.count(F.lit(1)).alias("__n"))
+    parts = F.ceil(F.col("__n") / F.lit(per_row)).cast("bigint")
+    part = F.pmod(F.xxhash64("child"), parts).alias("part")
+    spread = edges.join(counts, "parent").select("parent", part, "child")
+    return spread.groupBy("parent", "part").agg(
         F.sort_array(F.collect_set("child")).alias("children")
     )
-    none = F.array().cast("array<string>")
-    return nodes.join(lists, "table_id", "left").withColumn(
-        "children", F.coalesce("children", none)
-    )
 
 
 def downstream_impact(edges: DataFrame, roots: DataFrame, max_depth: int = 1000) -> DataFrame:

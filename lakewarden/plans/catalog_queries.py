@@ -481,18 +481,16 @@ def team_identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- grants
 
 
-def _policies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Policies with one rule per table; a policy's rules fit one row here as in the store."""
-    rules = derive(spark, sf_dir, inputs.policy_rules(SPARK))
-    rule = F.struct(
+def _rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derive(spark, sf_dir, inputs.policy_rules(SPARK)).select(
+        "policy_id",
+        "policy_name",
+        "enabled",
         "effect",
         F.col("cond").alias("condition"),
         F.split("operations", ",").alias("operations"),
         F.array("resource").alias("resources"),
     )
-    return rules.groupBy(F.col("policy_id").alias("id"), F.col("policy_name").alias("name"), "enabled").agg(
-        F.collect_list(rule).alias("rules")
-    )
 
 
 def _roles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -549,7 +547,10 @@ _GRANTS = f"""
 
 
 def _desired(spark: SparkSession, sf_dir: str, tables: DataFrame) -> DataFrame:
-    policies = checkpoint(_policies(spark, sf_dir))
+    rules = checkpoint(_rules(spark, sf_dir))
+    policies = rules.select(
+        F.col("policy_id").alias("id"), F.col("policy_name").alias("name")
+    ).distinct()
     roles = checkpoint(_roles(spark, sf_dir))
     refs = F.array(
         F.struct(
@@ -559,15 +560,8 @@ def _desired(spark: SparkSession, sf_dir: str, tables: DataFrame) -> DataFrame:
     )
     teams = _teams(spark, sf_dir).withColumn("policies", refs)
     held_roles = derive(spark, sf_dir, inputs.user_roles(SPARK))
-    users = (
-        _users(spark, sf_dir)
-        .join(held_roles, F.col("id") == F.col("user_id"))
-        .groupBy("id", "sid")
-        .agg(
-            F.collect_list(
-                F.struct(F.col("role_id").alias("id"), F.col("role_name").alias("name"))
-            ).alias("roles")
-        )
+    held = derive(spark, sf_dir, inputs.user_roles(SPARK)).join(
+        _users(spark, sf_dir).select("id", "sid"), F.col("id") == F.col("user_id")
     )
     named = roles.select(
         F.lit("Role").alias("grantee_type"),
@@ -581,9 +575,9 @@ def _desired(spark: SparkSession, sf_dir: str, tables: DataFrame) -> DataFrame:
         policies,
     )
     grantees = of_roles.unionByName(team_grantees(teams, policies)).unionByName(
-        user_grantees(users, roles, policies)
+        user_grantees(held, roles, policies)
     )
-    return desired_grants(grantees, rule_tables(effective_rules(policies), tables))
+    return desired_grants(grantees, rule_tables(effective_rules(rules), tables))
 
 
 @query(_GRANTS + " SELECT * FROM desired")

@@ -26,9 +26,11 @@ from lakewarden.operators.grants import (
     effective_rules,
     reconcile_grants,
     role_grantees,
+    rule_rows,
     rule_tables,
     team_grantees,
     user_grantees,
+    user_role_rows,
 )
 from lakewarden.operators.identity import ID, IdentityConfig, id_key, reject_collisions, resolve_identity
 from lakewarden.operators.lineage import lineage_edges, lineage_nodes
@@ -147,12 +149,14 @@ def sync_policies(
     affected = tables.select(*ID).distinct()
     if complete:
         policies, roles = entities["policies"], entities["roles"]
+        users = resolve_users(entities["users"], user_map)
         grantees = (
             role_grantees(roles, policies, role_map)
             .unionByName(team_grantees(resolve_teams(entities["teams"], team_map), policies))
-            .unionByName(user_grantees(resolve_users(entities["users"], user_map), roles, policies))
+            .unionByName(user_grantees(user_role_rows(users), roles, policies))
         )
-        desired = desired_grants(grantees, rule_tables(effective_rules(policies), tables))
+        rules = effective_rules(rule_rows(policies))
+        desired = desired_grants(grantees, rule_tables(rules, tables))
         effective = effective_grants(desired, auto_grantable(tables, columns), grants)
         actions = reconcile_grants(effective, held, tables.select("tenant_id"), grants, now)
         affected = affected.unionByName(affected_tables(actions)).distinct()

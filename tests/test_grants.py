@@ -12,6 +12,7 @@ from lakewarden.operators.grants import (
     effective_rules,
     reconcile_grants,
     resolve_policy_refs,
+    rule_rows,
     rule_tables,
 )
 from lakewarden.operators.identity import IdentityConfig
@@ -44,7 +45,7 @@ def test_rule_effects(spark, rows):
         ],
         POLICY,
     )
-    assert rows(effective_rules(policies)) == [("1", "Allow", "orders"), ("1", "Deny", "x")]
+    assert rows(effective_rules(rule_rows(policies))) == [("1", "Allow", "orders"), ("1", "Deny", "x")]
 
 
 def test_rules_meet_tables(spark, rows):

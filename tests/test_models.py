@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lakewarden.operators import export
 from lakewarden.operators.export import EntityConfig
-from lakewarden.operators.lineage import downstream_impact, nodes_with_children
+from lakewarden.operators.lineage import child_lists, downstream_impact
 from lakewarden.operators.proposals import approved_filters, approved_masks, pending_proposals, review, sync_descriptions
 from lakewarden.plans.sync import check_contract, ingest_dbt
 
@@ -70,11 +70,12 @@ def test_ingest(spark, rows):
     ], key=repr)
     assert rows(got.edges) == [("postgres.raw.stg_customers", "postgres.analytics.fct_orders")]
     assert rows(got.nodes, "name", "downstream", "owner_team") == [("fct_orders", 0, None), ("stg_customers", 1, "crm")]
-    lists = nodes_with_children(got.nodes, got.edges)
-    assert rows(lists, "name", "children") == [
-        ("fct_orders", []),
-        ("stg_customers", ["postgres.analytics.fct_orders"]),
+    assert rows(child_lists(got.edges), "parent", "children") == [
+        ("postgres.raw.stg_customers", ["postgres.analytics.fct_orders"])
     ]
+    wide = spark.range(100).selectExpr("'p' AS parent", "CAST(id AS STRING) AS child")
+    spread = child_lists(wide, per_row=10)
+    assert spread.count() > 5 and spread.select(F.explode("children")).distinct().count() == 100
     assert got.summary.first().asDict() == {"models": 2, "proposals": 7, "lineage_nodes": 2}
 
 
