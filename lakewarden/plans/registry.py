@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,7 +17,13 @@ def query(oracle: str | None = None) -> Callable[[Query], Query]:
     """Registers a query under its function name, with comparison SQL when there is any."""
 
     def register(fn: Query) -> Query:
-        QUERIES[fn.__name__] = fn
+        @wraps(fn)
+        def in_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # the tables' timestamps have no zone and are read as UTC
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf_dir)
+
+        QUERIES[fn.__name__] = in_utc
         if oracle is not None:
             ORACLES[fn.__name__] = oracle
         return fn

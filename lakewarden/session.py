@@ -21,6 +21,7 @@ def build_session(app: str = "lakewarden", master: str | None = None, **conf: st
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     defaults.update({k.replace("__", "."): v for k, v in conf.items()})
     for key, value in defaults.items():
