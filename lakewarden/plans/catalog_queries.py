@@ -640,7 +640,7 @@ _RECONCILE = f"""
     _RECONCILE
     + """
     SELECT action, id, tenant_id, domain, schema_name, table_name, grantee_type, grantee, effect,
-      CASE WHEN action = 'create' THEN 946684500 END AS valid_from_s,
+      CASE WHEN action = 'create' THEN CAST(946684500 AS BIGINT) END AS valid_from_s,
       CASE WHEN action = 'revoke' THEN 946684800 WHEN action = 'keep' THEN valid_to_us // 1000000
         WHEN effect = 'Deny' THEN 946684800 + 365 * 86400 ELSE 946684800 + 3600 END AS valid_to_s
     FROM acts"""
