@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from lakewarden.llm import mixing, quality_rules
+from lakewarden.llm import html_text, line_quality, mixing, nearest, packing, pii, quality_rules
 
 QUERIES = {
+    "op1_pii": pii.query,
+    "op4_packing": packing.query,
+    "op5_line_quality": line_quality.query,
+    "op6_nearest": nearest.query,
     "op7_quality_rules": quality_rules.query,
     "op8_mixing": mixing.query,
+    "op10_html_text": html_text.query,
 }
 ORACLES = {
     "op7_quality_rules": quality_rules.SQL,
