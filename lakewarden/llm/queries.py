@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from lakewarden.llm import html_text, line_quality, mixing, nearest, packing, pii, quality_rules
+from lakewarden.llm import html_text, line_quality, lm_scoring, mixing, nearest, packing, pii, quality_rules
 
 QUERIES = {
     "op1_pii": pii.query,
+    "op2_lm_scoring": lm_scoring.query,
     "op4_packing": packing.query,
     "op5_line_quality": line_quality.query,
     "op6_nearest": nearest.query,
