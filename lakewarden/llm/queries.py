@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakewarden.llm import html_text, line_quality, lm_scoring, mixing, nearest, packing, pii, quality_rules
+from lakewarden.llm import html_text, line_quality, lm_scoring, mixing, nearest, packing, pii, quality_rules, shingle_join
 
 QUERIES = {
     "op1_pii": pii.query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_nearest": nearest.query,
     "op7_quality_rules": quality_rules.query,
     "op8_mixing": mixing.query,
+    "op9_shingle_join": shingle_join.query,
     "op10_html_text": html_text.query,
 }
 ORACLES = {
