@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakewarden.llm import mixing, quality_rules
+from lakewarden.llm import mixing, packing, pii, quality_rules, shingle_join
 from lakewarden.llm.common import stored
 
 
@@ -13,12 +13,33 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of the Jaccard join."""
+    return shingle_join.keep_one(docs)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data masked, and their number of characters counted anew."""
+    return pii.redact(docs)
+
+
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     return mixing.mix(docs)
 
 
-STAGES = [("quality rules", quality), ("mixing", mixture)]
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents with their sequence and offset."""
+    return packing.packed(docs, packing.tokenizer_path())
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("n-gram Jaccard join", near_copies),
+    ("PII", personal_data),
+    ("mixing", mixture),
+    ("packing", sequences),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,5 +49,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
-#: The later stages are beyond SQL; tests hold them against brute force.
+#: Masking and packing are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None

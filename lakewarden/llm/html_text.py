@@ -260,7 +260,7 @@ def main_text(pages: DataFrame, per_shard: int = PAGES) -> DataFrame:
     shards = F.coalesce(F.ceil(F.col("pages") / per_shard), F.lit(1))
     dealt = parsed.join(large, parsed["host"] == large["large"], "left").withColumn("shard", F.pmod(F.xxhash64("page_id", "url"), shards)).drop("large", "pages")
 
-    def unique(key, group: pd.DataFrame) -> pd.DataFrame:
+    def unique(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         pages = [(list(t), list(x), list(o)) for t, x, o in zip(group["text"], group["loose"], group["other"], strict=True)]
         gone = host_boilerplate(pages)
         text = ["\n".join(t for t, g in zip(p[0], g, strict=True) if not g) for p, g in zip(pages, gone, strict=True)]

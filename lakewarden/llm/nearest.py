@@ -134,7 +134,7 @@ def search(table: DataFrame, key: str = "vec_id", vector: str = "embedding", eve
     placed = placed.withColumn("c", F.explode(F.when(F.col("asks"), F.sequence(F.lit(0).cast("long"), F.col("cs") - 1)).otherwise(F.array(own_c))))
     placed = placed.withColumn("q", F.explode(F.when(F.col("asks"), F.array(own_q)).otherwise(F.sequence(F.lit(0).cast("long"), F.col("qs") - 1))))
 
-    def nearest_in(key, group: pd.DataFrame) -> pd.DataFrame:
+    def nearest_in(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         v = np.stack(group["v"].to_numpy())
         unit = v / np.abs(v).max(axis=1, keepdims=True)
         unit /= np.linalg.norm(unit, axis=1, keepdims=True)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from lakewarden.llm import html_text, line_quality, lm_scoring, mixing, nearest, packing, pii, quality_rules, shingle_join
+from lakewarden.llm import html_text, line_quality, lm_scoring, mixing, nearest, packing, pii, quality_rules, repeated_text, shingle_join
 
 QUERIES = {
     "op1_pii": pii.query,
     "op2_lm_scoring": lm_scoring.query,
+    "op3_repeated_text": repeated_text.query,
     "op4_packing": packing.query,
     "op5_line_quality": line_quality.query,
     "op6_nearest": nearest.query,
