@@ -200,17 +200,16 @@ def host_boilerplate(pages: list[tuple[list[str], list[bool], list[str]]], run:
     stop = -1
     for text, loose, other in pages:
         page, own = same.setdefault(tuple(text), len(same)), []
-        for block, kind in [*zip(text, loose, strict=True), *((o, None) for o in other)]:
+        for block, counts in [*zip(text, loose, strict=True), *((o, True) for o in other)]:
             start = len(ids)
-            if kind is not False:
+            if counts:
                 ids += [names.setdefault(w, len(names)) for w in block.split()]
-            if kind is not None:
-                own.append((start, len(ids)))
+            own.append((start, len(ids)))
         # nothing runs on from one page into another
         ids.append(stop)
         page_of += [page] * (len(ids) - len(page_of))
         stop -= 1
-        spans.append(own)
+        spans.append(own[: len(text)])
     if not ids:
         return []
     ids, page_of = np.array(ids), np.array(page_of)

@@ -115,7 +115,8 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str =
     picks = plan.groupBy("source", "hash").agg(F.max("copies").alias("__copies")).filter("__copies > 0")
     picks = picks.select(F.col("source").alias("__source"), F.col("hash").alias("__hash"), "__copies")
     joined = docs.join(picks, docs[source].eqNullSafe(picks["__source"]) & (hash60(docs[key]) == picks["__hash"]))
-    return joined.select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))).alias("__copy")).drop("__copy")
+    doc = F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("doc")
+    return joined.select(doc, F.explode(F.sequence(F.lit(1), picks["__copies"].cast("int")))).select("doc.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
