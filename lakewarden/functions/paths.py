@@ -13,8 +13,10 @@ _DEFAULT_PORTS = {"http": "80", "https": "443"}
 
 def contains_traversal(path: Column) -> Column:
     """True for NUL or for a `.`/`..` segment, also when percent-encoded."""
-    # '+' is a literal plus in a path, so it is protected from form decoding
-    decoded = F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
+    # only what could hide a segment is decoded, so a bad escape elsewhere changes nothing
+    decoded = path
+    for code, sign in (("2e", "."), ("2f", "/"), ("5c", "\\\\"), ("00", "\0")):
+        decoded = F.regexp_replace(decoded, f"(?i)%{code}", sign)
     dotted = F.exists(F.split(decoded, "[/\\\\]"), lambda s: s.isin(".", ".."))
     return F.coalesce(dotted | path.contains("\0") | decoded.contains("\0"), F.lit(False))
 

@@ -29,15 +29,19 @@ def apply_changes(
     order: Sequence[str],
     operation: str = "operation",
     version: str | None = None,
+    deleted: str | None = None,
 ) -> DataFrame:
     """New snapshot: inserts and updates replace rows, deletes remove them.
 
     With `version`, a column of both sides, changes that are not newer than the stored row are
-    ignored, so a batch delivered again or late changes nothing.
+    ignored. `deleted` names a boolean column of the target in which a delete leaves its key and
+    version behind; only then does a change that comes after a newer delete change nothing.
     """
     keys = list(keys)
     latest = latest_changes(events, keys, order, operation)
     values = [c for c in target.columns if c not in keys]
+    if deleted is not None:
+        latest = latest.withColumn(deleted, F.col(operation) == "Delete")
     old = target.select(*keys, F.struct(*values).alias("__old"))
     new = latest.select(
         *keys,
@@ -51,7 +55,9 @@ def apply_changes(
     if version is not None:
         fresh = F.col("__old").isNull() | (F.col(f"__new.{version}") > F.col(f"__old.{version}"))
         changed = changed & fresh
-    kept = joined.where(~(changed & (F.col("__op") == "Delete")))
+    kept = joined
+    if deleted is None:
+        kept = joined.where(~(changed & (F.col("__op") == "Delete")))
     row = F.when(changed, F.col("__new")).otherwise(F.col("__old"))
     return (
         kept.select(*keys, row.alias("__r"))

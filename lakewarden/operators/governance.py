@@ -107,6 +107,18 @@ def mask_everything(df: DataFrame, tenant_column: str) -> DataFrame:
     )
 
 
+def allowed_tables(
+    tables: DataFrame, decisions: DataFrame, tenant: str | None, shared_domain: str = "default"
+) -> DataFrame:
+    """Tables of the tenant or the shared domain that no decision denies."""
+    if tenant is not None:
+        tables = tables.where(
+            F.lower("domain").isin(tenant.lower(), shared_domain.lower())
+        )
+    denied_tables = decisions.where(F.col("column_name").isNull() & ~F.col("is_allowed"))
+    return tables.join(denied_tables.select("table_id"), "table_id", "left_anti")
+
+
 def visible_columns(
     tables: DataFrame,
     columns: DataFrame,
@@ -121,12 +133,7 @@ def visible_columns(
     carries the decision on the table itself. Tables outside the tenant and the shared domain,
     denied tables and denied columns fall away. `tenant=None` is the single-tenant mode.
     """
-    if tenant is not None:
-        tables = tables.where(
-            F.lower("domain").isin(tenant.lower(), shared_domain.lower())
-        )
-    denied_tables = decisions.where(F.col("column_name").isNull() & ~F.col("is_allowed"))
-    allowed = tables.join(denied_tables.select("table_id"), "table_id", "left_anti")
+    allowed = allowed_tables(tables, decisions, tenant, shared_domain)
     levels = decisions.where(F.col("column_name").isNotNull()).select(
         "table_id", F.lower("column_name").alias("__c"), "access"
     )
@@ -143,10 +150,16 @@ def visible_columns(
     )
 
 
-def visible_tables(tables: DataFrame, columns: DataFrame, visible: DataFrame) -> DataFrame:
-    """Tables with a visible column, plus allowed tables that have no columns at all."""
-    shown = visible.select("table_id", "domain").distinct()
-    without_columns = tables.select("table_id", "domain").join(
-        columns.select("table_id"), "table_id", "left_anti"
-    )
-    return shown.unionByName(without_columns)
+def visible_tables(
+    tables: DataFrame,
+    columns: DataFrame,
+    decisions: DataFrame,
+    tenant: str | None,
+    shared_domain: str = "default",
+) -> DataFrame:
+    """Allowed tables with a visible column, plus allowed tables that have no columns at all."""
+    visible = visible_columns(tables, columns, decisions, tenant, shared_domain)
+    allowed = allowed_tables(tables, decisions, tenant, shared_domain).select("table_id", "domain")
+    shown = allowed.join(visible.select("table_id"), "table_id", "left_semi")
+    without_columns = allowed.join(columns.select("table_id"), "table_id", "left_anti")
+    return shown.unionByName(without_columns).distinct()

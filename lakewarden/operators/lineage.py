@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,18 +50,19 @@ def child_lists(edges: DataFrame, per_row: int = 1000) -> DataFrame:
     )
 
 
-def downstream_impact(edges: DataFrame, roots: DataFrame, max_depth: int = 1000) -> DataFrame:
+def downstream_impact(edges: DataFrame, roots: DataFrame, max_depth: int | None = None) -> DataFrame:
     """`(root, node, depth)` for everything reachable from the `roots` (column `root`).
 
     Breadth first: each round joins the frontier with the edges and drops nodes a root has
     reached before. Every round is checkpointed, which keeps the plan short and lets a lost
-    executor be replaced without replaying the search. Cycles end by themselves.
+    executor be replaced without replaying the search. Cycles end by themselves. The search goes
+    on until nothing new is reached; `max_depth` is a guard that raises, it never cuts a result.
     """
     graph = checkpoint(edges.select("parent", "child").distinct())
     start = roots.select("root", F.col("root").alias("node")).distinct()
     frontier = checkpoint(start)
     seen = frontier.withColumn("depth", F.lit(0))
-    for depth in range(1, max_depth + 1):
+    for depth in count(1):
         reached = frontier.join(graph, frontier["node"] == graph["parent"]).select(
             "root", F.col("child").alias("node")
         )
@@ -67,5 +70,7 @@ def downstream_impact(edges: DataFrame, roots: DataFrame, max_depth: int = 1000)
         frontier = checkpoint(fresh)
         if frontier.isEmpty():
             break
+        if max_depth is not None and depth > max_depth:
+            raise RuntimeError(f"lineage is deeper than {max_depth}")
         seen = seen.unionByName(frontier.withColumn("depth", F.lit(depth)))
     return seen.where(F.col("depth") > 0)

@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakewarden.operators.predicates import Predicate, compare, typed
-
-PATH_LIST_BOUND = 50_000
+from lakewarden.session import broadcast_if_bounded
 
 
 def _bounds_may_match(low: Column, high: Column, op: str, value: Column) -> Column:
@@ -92,26 +91,29 @@ def scan_statistics(marked: DataFrame) -> DataFrame:
     )
 
 
+def _comparable(path: Column) -> Column:
+    """A file path without percent-encoding and with one form of local scheme, as inventories differ in both."""
+    # '+' is a literal plus in a path, so it is protected from form decoding
+    decoded = F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
+    return F.regexp_replace(decoded, "^file:/+", "file:/")
+
+
 def read_kept(
     spark: SparkSession,
     marked: DataFrame,
     schema: T.StructType,
     root: str,
     file_format: str = "parquet",
-    bound: int = PATH_LIST_BOUND,
+    options: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Rows of the kept files.
+    """Rows of the kept files of the table at `root`.
 
-    Up to `bound` kept files their paths are listed to the reader, so pruned files are never
-    opened. With more the table is read as a whole and semi-joined on the file path: the same
-    rows, with row-group statistics doing the skipping.
+    The table is read as one scan, so partition columns come from its folders and the caller's
+    filters prune folders and row groups; the kept files are met by a semi-join on the file path.
     """
-    kept = marked.where("keep").select("file_path")
-    paths = [r.file_path for r in kept.limit(bound + 1).collect()]
-    if not paths:
-        return spark.createDataFrame([], schema)
-    reader = spark.read.schema(schema).format(file_format)
-    if len(paths) <= bound:
-        return reader.load(paths)
-    rows = reader.load(root).select("*", F.col("_metadata.file_path").alias("__file"))
-    return rows.join(kept, rows["__file"] == kept["file_path"], "left_semi").drop("__file")
+    kept = marked.where("keep").select(F.xxhash64(_comparable(F.col("file_path"))).alias("__h"), _comparable(F.col("file_path")).alias("__p"))
+    rows = spark.read.schema(schema).format(file_format).options(**(options or {})).load(root)
+    rows = rows.select("*", F.col("_metadata.file_path").alias("__file"))
+    path = _comparable(F.col("__file"))
+    met = (F.xxhash64(path) == F.col("__h")) & (path == F.col("__p"))
+    return rows.join(broadcast_if_bounded(kept), met, "left_semi").select(*[F.col(f"`{c}`") for c in schema.names])

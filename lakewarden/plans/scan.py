@@ -55,7 +55,8 @@ def governed_scan(
     """
     if not policy.allowed or tenant is None or not tenant.strip():
         return ScanResult(table.limit(0))
-    clear = [c for c in table.columns if policy.effective(c) == CLEAR]
+    # a filter on a hidden column would tell its values, so under `mask_all` only the tenant is clear
+    clear = [c for c in table.columns if policy.effective(c) == CLEAR and not policy.mask_all]
     asked = extract_predicates(arguments)
     own = [p for p in asked if p.column.lower() == policy.tenant_column.lower()]
     kept, dropped = admit([p for p in asked if p not in own], table.columns, clear)
@@ -67,7 +68,7 @@ def governed_scan(
         marked = mark_files(inventory, predicates, types, mandatory=[policy.tenant_column])
         statistics = scan_statistics(marked)
         rows = read_kept(
-            table.sparkSession, marked, table.schema, source.location, source.format
+            table.sparkSession, marked, table.schema, source.location, source.format, source.options
         )
     rows = apply_row_filter(rows.where(to_column(rows, predicates)), policy.row_filter)
     if policy.mask_all:
@@ -81,11 +82,19 @@ def governed_scan(
 
 
 def ungoverned_scan(
-    table: DataFrame, tenant: str | None, tenant_column: str, columns: Iterable[str] | None = None
+    table: DataFrame,
+    tenant: str | None,
+    tenant_column: str,
+    columns: Iterable[str] | None = None,
+    arguments: Mapping[str, Any] | None = None,
+    limit: int | None = None,
 ) -> ScanResult:
-    """Scan without a decision: the tenant's rows with everything else redacted."""
+    """Scan without a decision: the tenant's rows with everything else redacted.
+
+    Filters on redacted columns are dropped and reported.
+    """
     policy = TablePolicy(tenant_column=tenant_column, mask_all=True)
-    return governed_scan(table, policy, tenant, columns=columns)
+    return governed_scan(table, policy, tenant, arguments, columns, limit)
 
 
 def registered_scan(

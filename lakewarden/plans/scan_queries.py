@@ -322,24 +322,31 @@ _VISIBLE = f"""
     SELECT * FROM v WHERE access <> 'Deny'"""
 
 
-def _visible(spark: SparkSession, sf_dir: str, tenant: str | None):
+def _visibility(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     tables = derive(spark, sf_dir, inputs.catalog_tables(SPARK)).select(
         F.col("p_partkey").alias("table_id"), F.col("service").alias("domain")
     )
     columns = derive(spark, sf_dir, _governed_columns(SPARK))
     decisions = derive(spark, sf_dir, _decisions(SPARK))
-    return tables, columns, visible_columns(tables, columns, decisions, tenant)
+    return tables, columns, decisions
 
 
 @query(_VISIBLE)
 def visible_table_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _visible(spark, sf_dir, None)[2]
+    return visible_columns(*_visibility(spark, sf_dir), None)
 
 
-@query(f"SELECT DISTINCT table_id, domain FROM ({_VISIBLE}) x")
+@query(
+    f"""
+    WITH t AS ({inputs.catalog_tables(PLAIN)}), c AS ({_governed_columns(PLAIN)})
+    SELECT DISTINCT table_id, domain FROM ({_VISIBLE}) x WHERE domain IN ('svc_brand4', 'svc_brand23')
+    UNION
+    SELECT p_partkey, service FROM t WHERE service IN ('svc_brand4', 'svc_brand23') AND p_type <> 'PROMO'
+      AND p_partkey NOT IN (SELECT table_id FROM c)"""
+)
 def visible_table_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables, columns, visible = _visible(spark, sf_dir, None)
-    return visible_tables(tables, columns, visible)
+    tables, columns, decisions = _visibility(spark, sf_dir)
+    return visible_tables(tables, columns, decisions, "SVC_Brand4", "svc_brand23")
 
 
 def _references(d) -> str:

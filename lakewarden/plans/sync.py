@@ -38,7 +38,7 @@ from lakewarden.operators.principals import resolve_teams, resolve_users
 from lakewarden.operators.proposals import ingest_summary, new_proposals
 from lakewarden.operators.tagging import TagConfig, map_columns, map_tables
 from lakewarden.session import checkpoint
-from lakewarden.sources.catalog_pages import require_complete
+from lakewarden.sources.catalog_pages import is_complete
 from lakewarden.sources.dbt_manifest import model_columns, model_dependencies, parse_models
 
 Writer = Callable[[str, DataFrame], None]
@@ -101,7 +101,7 @@ def sync_policies(
     team_map: DataFrame,
     user_map: DataFrame,
     now: datetime,
-    pull_problems: DataFrame | None = None,
+    pull_problems: DataFrame,
     write: Writer | None = None,
     dry_run: bool = False,
 ) -> PolicySync:
@@ -139,12 +139,7 @@ def sync_policies(
     reject_rows = rejects.select("entity_id", "reason").unionByName(
         collided.select("entity_id", "reason")
     )
-    complete = True
-    if pull_problems is not None:
-        try:
-            require_complete(pull_problems)
-        except RuntimeError:
-            complete = False
+    complete = is_complete(pull_problems)
     actions = None
     affected = tables.select(*ID).distinct()
     if complete:

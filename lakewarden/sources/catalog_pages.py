@@ -161,6 +161,12 @@ def pull_problems(
     return pulls.select("pull_id", "pages", "items", problem.alias("problem"))
 
 
+def is_complete(problems: DataFrame) -> bool:
+    """Whether all pulls are known and complete; no pull at all is not a complete read."""
+    found = problems.agg(F.count(F.lit(1)).alias("n"), F.count("problem").alias("bad")).first()
+    return found["n"] > 0 and found["bad"] == 0
+
+
 def require_complete(problems: DataFrame) -> None:
     """Raise before any write when a pull is incomplete; no partial sync."""
     bad = problems.where(F.col("problem").isNotNull()).limit(10).collect()

@@ -38,12 +38,27 @@ def keep_snapshot(
     version: str | None = None,
     **trigger,
 ) -> StreamingQuery:
-    """Applies every micro-batch to the snapshot; a replayed batch id is skipped."""
+    """Applies every micro-batch to the snapshot; a replayed batch id is skipped.
+
+    Only the buckets that a batch touches are read and rewritten, and folders that the last two
+    versions do not need go. With `version` the table should keep tombstones (`deleted`), so a
+    change that comes late is known to be older than a delete.
+    """
+    if version is not None and table.deleted is None:
+        raise ValueError("ordering by version needs a snapshot with tombstones")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         if table.applied(batch_id):
             return
-        table.write(apply_changes(table.read(), batch, keys, order, version=version), batch_id)
+        batch = batch.persist()
+        try:
+            touched = table.touched(batch)
+            old = table.read_all(touched)
+            new = apply_changes(old, batch, keys, order, version=version, deleted=table.deleted)
+            table.write(new, batch_id, touched)
+        finally:
+            batch.unpersist()
+        table.vacuum()
 
     return (
         changes.writeStream.foreachBatch(apply)

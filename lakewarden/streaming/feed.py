@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from lakewarden.sources.change_feed import (
     change_batch,
@@ -37,9 +38,12 @@ def poll_once(
     last = int(stored["watermark"]) if stored else 0
     oldest = feed_versions(changes).first()["min_valid_version"]
     start, resync = resume_version(last, oldest)
-    batch = change_batch(changes, base, keys, start, batch_size)
+    # the end of the batch is fixed once: rows that arrive meanwhile belong to the next poll
+    planned = change_batch(changes, base, keys, start, batch_size)
+    cutoff = next_watermark(planned, start).first()["watermark"]
+    batch = change_batch(changes.where(F.col("version") <= F.lit(cutoff)), base, keys, start, batch_size)
     events = feed_events(batch, domain, table_name, keys)
     if publish is not None:
         publish(events)
-    watermark.write(next_watermark(batch, start))
+    watermark.write(changes.sparkSession.createDataFrame([(cutoff,)], WATERMARK_SCHEMA))
     return events, resync

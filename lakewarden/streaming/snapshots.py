@@ -1,28 +1,56 @@
-"""Versioned Parquet snapshots with a pointer, for tables updated by micro-batches."""
+"""Snapshots in Parquet for tables updated by micro-batches, rewritten bucket by bucket."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+LOG = "version bigint, batch_id bigint, bucket int, filled boolean"
+
 
 class SnapshotTable:
-    """A table kept as `<root>/v=<n>` folders, with completed versions listed in `<root>/log`.
+    """A table kept as `<root>/v=<n>/__bucket=<b>` folders, with written buckets listed in `<root>/log`.
+
+    Rows are dealt to buckets by a hash of the keys. A write replaces some buckets; they become
+    visible together by one appended log file, written after their data. A batch id that the log
+    already knows is not applied again, which makes redelivered micro-batches harmless. Without
+    keys there is one bucket.
 
-    A version becomes visible by one appended log row, written after its data. A batch id that
-    the log already knows is not applied again, which makes redelivered micro-batches harmless.
+    A boolean column `deleted`, if named, marks tombstones, which `read` leaves out.
     """
 
-    def __init__(self, spark: SparkSession, root: str, schema: str):
-        self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        schema: str,
+        keys: Sequence[str] = (),
+        buckets: int = 64,
+        deleted: str | None = None,
+    ):
+        self.spark, self.root, self.keys, self.deleted = spark, root.rstrip("/"), list(keys), deleted
+        self.buckets = buckets if keys else 1
+        self.schema = schema + (f", {deleted} boolean" if deleted else "")
+
+    def _path(self, name: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
     def _log(self) -> DataFrame:
-        empty = self.spark.createDataFrame([], "version bigint, batch_id bigint")
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/log")
-        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        path, fs = self._path("log")
         if not fs.exists(path):
-            return empty
-        return self.spark.read.schema(empty.schema).parquet(f"{self.root}/log")
+            return self.spark.createDataFrame([], LOG)
+        return self.spark.read.schema(LOG).parquet(f"{self.root}/log")
+
+    def _current(self) -> list[tuple[int, int]]:
+        """(bucket, version) of the filled buckets; one row per bucket."""
+        newest = self._log().groupBy("bucket").agg(F.max(F.struct("version", "filled")).alias("m"))
+        return sorted((r["bucket"], r["m"]["version"]) for r in newest.collect() if r["m"]["filled"])
+
+    def bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int") if self.keys else F.lit(0)
 
     def version(self) -> int | None:
         return self._log().agg(F.max("version")).first()[0]
@@ -30,15 +58,49 @@ class SnapshotTable:
     def applied(self, batch_id: int) -> bool:
         return not self._log().where(F.col("batch_id") == batch_id).isEmpty()
 
-    def read(self) -> DataFrame:
-        version = self.version()
-        if version is None:
+    def read_all(self, buckets: Sequence[int] | None = None) -> DataFrame:
+        """Rows with tombstones, of all buckets or of some."""
+        wanted = [(b, v) for b, v in self._current() if buckets is None or b in buckets]
+        if not wanted:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.root}/v={version}")
+        return self.spark.read.schema(self.schema).parquet(*[f"{self.root}/v={v}/__bucket={b}" for b, v in wanted])
+
+    def read(self) -> DataFrame:
+        rows = self.read_all()
+        return rows.where(~F.col(self.deleted)).drop(self.deleted) if self.deleted else rows
 
-    def write(self, rows: DataFrame, batch_id: int = -1) -> int:
+    def touched(self, rows: DataFrame) -> list[int]:
+        """Buckets that the rows' keys fall into."""
+        return sorted(r[0] for r in rows.select(self.bucket().alias("b")).distinct().collect())
+
+    def write(self, rows: DataFrame, batch_id: int = -1, buckets: Sequence[int] | None = None) -> int:
+        """Replace the table, or only the given buckets, by `rows`."""
         version = (self.version() or 0) + 1
-        rows.write.mode("overwrite").parquet(f"{self.root}/v={version}")
-        mark = self.spark.createDataFrame([(version, batch_id)], "version bigint, batch_id bigint")
-        mark.coalesce(1).write.mode("append").parquet(f"{self.root}/log")
+        buckets = list(range(self.buckets)) if buckets is None else list(buckets)
+        folder = f"{self.root}/v={version}"
+        spread = rows.withColumn("__bucket", self.bucket())
+        if self.keys:
+            spread = spread.repartition("__bucket")
+        spread.write.mode("overwrite").partitionBy("__bucket").parquet(folder)
+        filled = set()
+        for b in buckets:
+            path, fs = self._path(f"v={version}/__bucket={b}")
+            if fs.exists(path):
+                filled.add(b)
+        marks = [(version, batch_id, b, b in filled) for b in buckets] or [(version, batch_id, 0, False)]
+        if not buckets:  # nothing was touched, but the batch is known
+            marks = [(version, batch_id, -1, False)]
+        self.spark.createDataFrame(marks, LOG).coalesce(1).write.mode("append").parquet(f"{self.root}/log")
         return version
+
+    def vacuum(self, keep: int = 2) -> int:
+        """Remove the folders that none of the last `keep` versions reads; returns how many."""
+        log = [(r["version"], r["bucket"], r["filled"]) for r in self._log().where("bucket >= 0").collect()]
+        last = max((v for v, _, _ in log), default=0)
+        gone = 0
+        for version, bucket, filled in log:
+            later = [v for v, b, _ in log if b == bucket and version < v <= last - keep + 1]
+            path, fs = self._path(f"v={version}/__bucket={bucket}")
+            if filled and later and fs.exists(path):
+                gone += bool(fs.delete(path, True))
+        return gone

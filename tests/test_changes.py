@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+from itertools import permutations
 
 import pytest
 from pyspark.sql import functions as F
@@ -139,7 +140,7 @@ def test_stream_equals_batch(spark, rows, tmp_path):
     now = F.timestamp_seconds(F.lit(1_700_000_000))
     stream = spark.readStream.option("maxFilesPerTrigger", 1).text(str(landed)).withColumn("received_at", now)
     changes = typed_changes(cdc_events(stream), ROW)
-    table = SnapshotTable(spark, str(tmp_path / "snap"), ROW + ", ts_ms bigint")
+    table = SnapshotTable(spark, str(tmp_path / "snap"), ROW + ", ts_ms bigint", ["id"], 4, deleted="gone")
     for _ in range(2):
         query = keep_snapshot(changes, table, ["id"], ["ts_ms"], str(tmp_path / "cp"), version="ts_ms")
         query.awaitTermination()
@@ -154,3 +155,58 @@ def test_stream_equals_batch(spark, rows, tmp_path):
         cdc_events(raw(spark, messages)), "event_time", ["domain", "schema_name", "table_name", "operation"]
     )
     assert rows(spark.table("activity")) == rows(counted)
+
+
+@pytest.mark.parametrize("order", list(permutations(range(3))))
+def test_any_order_of_batches_gives_the_same_snapshot(spark, rows, order):
+    schema = "id bigint, name string, ts_ms bigint, operation string"
+    batches = [
+        [(1, "old", 5, "Update"), (2, "x", 1, "Insert"), (4, "a", 1, "Insert")],
+        [(1, None, 9, "Delete"), (2, "y", 4, "Update"), (3, None, 2, "Delete")],
+        [(1, "older", 7, "Update"), (2, None, 3, "Delete"), (3, "z", 1, "Insert"), (4, "b", 2, "Update")],
+    ]
+    kept = spark.createDataFrame([], "id bigint, name string, ts_ms bigint, gone boolean")
+    for n in order:
+        frame = spark.createDataFrame(batches[n], schema)
+        kept = apply_changes(kept, frame, ["id"], ["ts_ms"], version="ts_ms", deleted="gone")
+    assert rows(kept.where("not gone"), "id", "name", "ts_ms") == [(2, "y", 4), (4, "b", 2)]
+
+
+def test_snapshot_rewrites_touched_buckets_only(spark, rows, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"), "id bigint, v string", ["id"], 8, deleted="gone")
+    first = spark.range(40).selectExpr("id", "'a' AS v", "id = 7 AS gone")
+    table.write(first, 0)
+    assert table.read().count() == 39 and table.read().columns == ["id", "v"]
+    one = spark.createDataFrame([(3, "b", False)], "id bigint, v string, gone boolean")
+    touched = table.touched(one)
+    before = {b: v for b, v in table._current()}
+    table.write(table.read_all(touched).where("id <> 3").unionByName(one), 1, touched)
+    after = {b: v for b, v in table._current()}
+    assert len(touched) == 1 and {b for b in after if after[b] != before[b]} == set(touched)
+    assert rows(table.read().where("id in (3, 4)")) == [(3, "b"), (4, "a")] and table.read().count() == 39
+    table.write(table.read_all(touched).where("false"), 2, touched)
+    assert table.vacuum(keep=1) == 2 and table.read().where("id = 3").isEmpty()
+    with pytest.raises(ValueError):
+        plain = SnapshotTable(spark, str(tmp_path / "p"), "id bigint")
+        keep_snapshot(None, plain, ["id"], ["ts_ms"], str(tmp_path / "c"), version="ts_ms")
+
+
+def test_rows_that_arrive_while_polling_wait_for_the_next_poll(spark, tmp_path):
+    landed = str(tmp_path / "feed")
+    changes, base = feed(spark)
+    changes.where("version <= 2").write.parquet(landed)
+    live = spark.read.schema(changes.schema).parquet(landed)
+    watermark = SnapshotTable(spark, str(tmp_path / "wm"), WATERMARK_SCHEMA)
+    watermark.write(spark.createDataFrame([(0,)], WATERMARK_SCHEMA))
+    seen = []
+
+    def publish(events):
+        seen.extend(r.event_id for r in events.collect())
+        changes.where("version > 2").write.mode("append").parquet(landed)
+
+    poll_once(live, base, ["k1", "k2"], watermark, "d", "t", None, publish)
+    assert watermark.read().first().watermark == 2
+    again = []
+    fresh = spark.read.schema(changes.schema).parquet(landed)
+    poll_once(fresh, base, ["k1", "k2"], watermark, "d", "t", None, lambda e: again.extend(r.event_id for r in e.collect()))
+    assert again and not set(again) & set(seen)
