@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections import Counter, defaultdict
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lakewarden.llm import mixing, quality_rules
 
+SF_DIR = "/root/testdata/sf0.001"
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
 
 
@@ -129,3 +131,14 @@ def test_many_sources_against_sql(spark, rows):
 def test_empty(empty):
     assert quality_rules.judged(empty).count() == 0 and quality_rules.keep_good(empty).count() == 0
     assert mixing.mixed(empty).count() == 0 and mixing.mix(empty).count() == 0
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables are not mounted")
+@pytest.mark.parametrize("module", [quality_rules, mixing])
+def test_queries_against_sql(spark, module):
+    documents = f"{SF_DIR}/documents.parquet"
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{documents}'")
+    got, result = module.query(spark, SF_DIR), connection.execute(module.SQL)
+    names = [c[0] for c in result.description]
+    assert sorted(map(tuple, got.select(*names).collect())) == sorted(result.fetchall()) and got.columns == names
