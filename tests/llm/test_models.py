@@ -101,17 +101,17 @@ def test_scores_by_brute_force(odd, odd_rows):
     words = [[*t.lower().split(), None] for t in texts]
     count = Counter(w for ws, h in zip(words, held, strict=True) if not h for w in ws)
     tokens, kinds = sum(count.values()), len(count)
-    n = {k: defaultdict(Counter) for k in range(3)}
+    n = {k: defaultdict(Counter) for k in range(5)}
     for t, h in zip(texts, held, strict=True):
-        s = b"\xff\xff" + t + b"\xff"
-        for p in range(2, len(s) if not h else 0):
-            for k in range(3):
+        s = b"\xff" * 4 + t + b"\xff"
+        for p in range(4, len(s) if not h else 0):
+            for k in range(5):
                 n[k][s[p - k : p]][s[p]] += 1
 
     def code(s, p):
         out, gone = 0.0, set()
-        for k in (2, 1, 0):
-            seen = {b: v for b, v in n[k][s[p - k : p]].items() if b not in gone}
+        for k in (4, 3, 2, 1, 0):
+            seen = {b: v for b, v in n[k].get(s[p - k : p], {}).items() if b not in gone}
             if seen:
                 total, d = sum(seen.values()), len(seen)
                 if s[p] in seen:
@@ -123,8 +123,8 @@ def test_scores_by_brute_force(odd, odd_rows):
     want = []
     for r, t, ws, h in zip(odd_rows, texts, words, held, strict=True):
         base = sum(math.log10((count[w] + 0.1) / (tokens + 0.1 * (kinds + 1))) for w in ws)
-        s = b"\xff\xff" + t + b"\xff"
-        want.append((r[0], h, len(ws), sum(count[w] > 0 for w in ws), tokens, round(base, 6), round(sum(code(s, p) for p in range(2, len(s))), 1)))
+        s = b"\xff" * 4 + t + b"\xff"
+        want.append((r[0], h, len(ws), sum(count[w] > 0 for w in ws), tokens, round(base, 6), round(sum(code(s, p) for p in range(4, len(s))), 1)))
     got = lm_scoring.scored(odd, hot=20).collect()
     key = lambda x: (x[0] is None, x[0] or 0, x[2])
     got = sorted(((*tuple(r)[:5], round(r["base_score"], 6), round(r["score"], 1)) for r in got), key=key)
