@@ -37,11 +37,12 @@ def mark_duplicates(
     at: str,
     tie: str,
     ttl_seconds: int | None = EVENT_DEDUPE_SECONDS,
+    strict: bool = True,
 ) -> DataFrame:
     """Adds `is_duplicate`. `tie` is unique and orders deliveries of the same instant.
 
-    With a time to live a key may be accepted again once more than that has passed since it was
-    last accepted; without one only the first delivery counts. Deliveries without a key are
+    With a time to live a key may be accepted again once more than that (`strict`), or at least
+    that much, has passed since it was last accepted; without one only the first delivery counts. Deliveries without a key are
     always accepted. Copies of one key are reduced per task and instant before any shuffle, and
     the flags come back over the unique `tie`, so a hot key stays spread out. Keys seen only
     within one time to live, nearly all of them, are settled by a minimum; the rest follow
@@ -60,10 +61,11 @@ def mark_duplicates(
             F.max("__at").alias("last"),
             F.count(F.lit(1)).alias("__n"),
         )
-        short = F.col("last") - F.col("f.__at") <= ttl_us
+        whole = F.col("last") - F.col("f.__at")
+        short = (whole <= ttl_us) if strict else (whole < ttl_us)
         settled = spans.where(short).select(F.col(f"f.{tie}").alias("__ok"))
         lasting = instants.join(spans.where(~short).select(key, "__n"), key)
-        chain = chain_anchors(lasting, [key], "__at", "__n", ttl_us, strict=True)
+        chain = chain_anchors(lasting, [key], "__at", "__n", ttl_us, strict=strict)
         followed = chain.where(F.col("__at") == F.col("anchor")).select(F.col(tie).alias("__ok"))
         accepted = settled.unionByName(followed)
     flagged = deliveries.join(accepted, F.col(tie) == F.col("__ok"), "left")

@@ -129,6 +129,28 @@ def cdc_apply_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_changes(target, changes, ["user_id"], ["ts_ms", "n"])
 
 
+@query(
+    f"""
+    WITH latest AS (
+      SELECT user_id, operation, last_type, hits, ts_ms, n,
+        row_number() OVER (PARTITION BY user_id ORDER BY ts_ms DESC, n DESC) AS rn
+      FROM ({_ENVELOPE_EVENTS}) e WHERE NOT malformed)
+    SELECT user_id, last_type, hits, ts_ms, n FROM latest WHERE rn = 1 AND operation <> 'Delete'"""
+)
+def cdc_apply_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every other event comes a batch late; tombstones keep late changes from undoing deletes."""
+    raw = _envelopes(spark, sf_dir).withColumnRenamed("event_id", "n")
+    events = cdc_events(raw.drop("user_id"), "message")
+    changes = typed_changes(events, "user_id bigint, last_type string, hits bigint", ["n"])
+    changes = changes.withColumn("place", F.struct("ts_ms", F.col("n").cast("bigint").alias("n")))
+    row = "user_id bigint, last_type string, hits bigint, place struct<ts_ms:bigint,n:bigint>"
+    kept = spark.createDataFrame([], row + ", gone boolean")
+    for late in (1, 0):
+        batch = changes.where(F.pmod("n", F.lit(2)) == late)
+        kept = apply_changes(kept, batch, ["user_id"], ["place"], version="place", deleted="gone")
+    return kept.where(~F.col("gone")).select("user_id", "last_type", "hits", "place.ts_ms", "place.n")
+
+
 @query(
     f"""
     SELECT (ts_ms // 3600000) * 3600 AS window_start, domain, table_name, operation,
@@ -504,12 +526,12 @@ _INSTANCES = """
       LEFT JOIN req r ON r.ticket_id = c.ticket_id AND r.tenant_id = i.tenant_id),
     src AS (SELECT *, CASE WHEN why IS NULL THEN 'evt:' || instance_id || ':' || event_id END AS key
             FROM bound),
-    {_accepted_sql("src", "key", "received_us", "delivery_id", 900_000_000)},
+    {_accepted_sql("src", "key", "received_us", "delivery_id", 899_999_999)},
     src2 AS (SELECT s.*, CASE WHEN key IS NOT NULL AND a.id IS NULL THEN 'REPLAY' ELSE why END AS why1,
                CASE WHEN why IS NULL AND (key IS NULL OR a.id IS NOT NULL) THEN
                  instance_id || ':' || upper(replace(signature, 'SHA256=', '')) END AS key2
              FROM src s LEFT JOIN accepted a ON a.id = s.delivery_id),
-    {_accepted_sql("src2", "key2", "received_us", "delivery_id", 900_000_000, "2")},
+    {_accepted_sql("src2", "key2", "received_us", "delivery_id", 899_999_999, "2")},
     once AS (SELECT s.*, CASE WHEN key2 IS NOT NULL AND a.id IS NULL THEN 'REPLAY' ELSE why1 END AS why2
              FROM src2 s LEFT JOIN accepted2 a ON a.id = s.delivery_id),
     taking AS (

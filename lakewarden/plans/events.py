@@ -102,7 +102,12 @@ def process_ticket_events(
     for key in ("replay_event", "replay_signature"):
         usable = F.when(F.col("reject_reason").isNull(), F.col(key))
         marked = mark_duplicates(
-            bound.withColumn("__key", usable), "__key", "received_at", delivery_id, ttl_seconds
+            bound.withColumn("__key", usable),
+            "__key",
+            "received_at",
+            delivery_id,
+            ttl_seconds,
+            strict=False,  # a ticket event counts again at exactly the end of its time to live
         )
         replay = F.when(F.col("is_duplicate"), F.lit("REPLAY"))
         bound = marked.withColumn("reject_reason", F.coalesce("reject_reason", replay)).drop(

@@ -26,7 +26,7 @@ from lakewarden.operators.export import (
     ticket_references,
 )
 from lakewarden.operators.identity import ID
-from lakewarden.operators.lineage import downstream_impact, lineage_edges, lineage_nodes
+from lakewarden.operators.lineage import child_lists, downstream_impact, lineage_edges, lineage_nodes
 from lakewarden.operators.proposals import (
     approved_filters,
     approved_masks,
@@ -365,6 +365,13 @@ def dbt_lineage_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _edges(spark, sf_dir)[1]
 
 
+@query(_EDGES)
+def lineage_child_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Children of every node as lists in parts, opened again into edges."""
+    lists = child_lists(_edges(spark, sf_dir)[1], per_row=2)
+    return lists.select("parent", F.explode("children").alias("child"))
+
+
 _NODES = f"""
     SELECT m.table_id, m.table_name AS name, 'Table' AS type, coalesce(e.n, 0) AS downstream,
       m.owner AS owner_team

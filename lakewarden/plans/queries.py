@@ -2,6 +2,7 @@
 
 from lakewarden.plans import (  # noqa: F401
     catalog_queries,
+    check_queries,
     event_queries,
     model_queries,
     scan_queries,

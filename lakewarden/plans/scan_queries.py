@@ -24,6 +24,7 @@ from lakewarden.plans.dialect import PLAIN, SPARK, derive, load
 from lakewarden.plans.registry import query
 from lakewarden.plans.scan import governed_scan, ungoverned_scan
 from lakewarden.sources.inventory import allowed_buckets, build_inventory, check_buckets
+from lakewarden.sources.registry import LakeTable
 from lakewarden.sources.table_metadata import (
     current_snapshots,
     parse_manifest,
@@ -123,6 +124,27 @@ def prune_inventory_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_statistics(mark_files(_lineitem_files(spark, sf_dir), predicates, types))
 
 
+@query(
+    """
+    SELECT l_orderkey, l_linenumber, l_returnflag, l_quantity FROM lineitem
+    WHERE l_returnflag = 'R' AND l_quantity >= 45 AND l_discount <> 0.05"""
+)
+def pruned_scan_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Governed scan that opens only files whose real bounds allow it."""
+    table = load(spark, sf_dir, "lineitem")
+    policy = TablePolicy(tenant_column="l_returnflag", row_filter="l_discount <> 0.05")
+    scan = governed_scan(
+        table,
+        policy,
+        "R",
+        {"where": {"l_quantity": {"gte": 45}}},
+        columns=["l_orderkey", "l_linenumber", "l_returnflag", "l_quantity"],
+        inventory=build_inventory(table, ["l_returnflag", "l_quantity"]),
+        source=LakeTable(f"{sf_dir}/lineitem.parquet"),
+    )
+    return scan.rows
+
+
 @query(
     f"""
     SELECT file_path, record_count FROM ({_FILES}) f

@@ -22,23 +22,21 @@ def limit_stream(
 ) -> DataFrame:
     """Adds `is_limited`. A caller's state is its tokens and refill clock.
 
-    Calls of one micro-batch are taken in time order per Arrow batch; a call older than the
-    refill clock finds the bucket as it is.
+    A caller's calls of one micro-batch are taken in time order, however they are cut into Arrow
+    batches; a call older than the refill clock finds the bucket as it is.
     """
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in calls.schema)
 
     def step(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         held = state.get if state.exists else None
-        for pdf in batches:
-            pdf = pdf.sort_values(at, kind="stable")
-            moments = pdf[at].astype("datetime64[us]").astype("int64")
-            flags = []
-            for now in moments:
-                tokens, last = held if held else (size, int(now))
-                tokens, last = refill(tokens, last, int(now), size, seconds)
-                flags.append(tokens < 1)
-                held = (max(tokens - 1, 0), last)
-            yield pdf.assign(is_limited=flags)
+        pdf = pd.concat(list(batches), ignore_index=True).sort_values(at, kind="stable")
+        flags = []
+        for now in pdf[at].astype("datetime64[us]").astype("int64"):
+            tokens, last = held if held else (size, int(now))
+            tokens, last = refill(tokens, last, int(now), size, seconds)
+            flags.append(tokens < 1)
+            held = (max(tokens - 1, 0), last)
+        yield pdf.assign(is_limited=flags)
         state.update(held)
 
     return calls.groupBy(caller).applyInPandasWithState(
