@@ -66,12 +66,12 @@ def test_drifting_copies_keep_every_link(spark, rows, monkeypatch):
 
 def test_prefixes_of_links_meet():
     r = np.random.default_rng(1)
-    counts = r.integers(0, 50, 64)
+    classes = r.integers(0, 12, 64).astype(np.uint8)
     for _ in range(300):
         a = np.unique(r.integers(0, 1 << 60, int(r.integers(1, 80))).astype(np.uint64))
         b = np.unique(np.concatenate([a[r.random(len(a)) < 0.97], r.integers(0, 1 << 60, int(r.integers(0, 4))).astype(np.uint64)]))
         if len(b) and shingle_join.similar(len(a), len(b), len(np.intersect1d(a, b))):
-            x, y = (shingle_join.ordered(s, counts)[: shingle_join.prefix_length(len(s))] for s in (a, b))
+            x, y = (shingle_join.ordered(s, classes)[: shingle_join.prefix_length(len(s))] for s in (a, b))
             common = len(np.intersect1d(x, y))
             upto = common + max(len(a) - len(x), len(b) - len(y))
             assert common and shingle_join.similar(len(a), len(b), upto)
