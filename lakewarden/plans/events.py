@@ -62,6 +62,24 @@ def process_catalog_events(
     )
 
 
+def skip_repeated(
+    events: DataFrame, delivery_id: str, ttl_seconds: int = EVENT_DEDUPE_SECONDS
+) -> DataFrame:
+    """Policy-store or job-run events (`policy_events`, `run_events`) with repeated ids refused.
+
+    Only events that passed their checks count, so a refused one may come again. A `route`, if
+    there is one, goes with the refusal.
+    """
+    stored = checkpoint(events)
+    key = F.when(F.col("reject_reason").isNull(), F.col("event_id"))
+    marked = mark_duplicates(stored.withColumn("__key", key), "__key", "received_at", delivery_id, ttl_seconds)
+    repeated = F.when(F.col("is_duplicate"), F.lit("IGNORED_DUPLICATE_EVENT"))
+    out = marked.withColumn("reject_reason", F.coalesce("reject_reason", repeated))
+    if "route" in events.columns:
+        out = out.withColumn("route", F.when(F.col("reject_reason").isNull(), F.col("route")))
+    return out.drop("__key", "is_duplicate")
+
+
 def catalog_epochs(processed: DataFrame) -> DataFrame:
     """Epoch increments per table of processed deliveries."""
     return epoch_increments(invalidations(processed))

@@ -88,6 +88,7 @@ class PolicySync:
     actions: DataFrame | None
     affected: DataFrame
     success: bool
+    epochs: DataFrame | None = None
 
 
 def sync_policies(
@@ -104,12 +105,14 @@ def sync_policies(
     pull_problems: DataFrame,
     write: Writer | None = None,
     dry_run: bool = False,
+    epochs: DataFrame | None = None,
 ) -> PolicySync:
     """Table protection and access grants from a policy store.
 
     `entities` holds `tables`, `columns` (keyed by `entity_id`), `policies`, `roles`, `teams`
     and `users`. When `pull_problems` shows an incomplete read, tables are still refreshed but
-    no grant is created, extended or revoked.
+    no grant is created, extended or revoked. `epochs` are raised by one for every table that the
+    sync touched, and written last, so a reader that sees a new epoch finds the new rules.
     """
     resolved, rejects = resolve_identity(entities["tables"], identity)
     accepted, collided = reject_collisions(resolved)
@@ -155,12 +158,15 @@ def sync_policies(
         effective = effective_grants(desired, auto_grantable(tables, columns), grants)
         actions = reconcile_grants(effective, held, tables.select("tenant_id"), grants, now)
         affected = affected.unionByName(affected_tables(actions)).distinct()
-    result = PolicySync(tables, columns, reject_rows, actions, affected, complete)
+    raised = None if epochs is None else bump_epochs(epochs, affected)
+    result = PolicySync(tables, columns, reject_rows, actions, affected, complete, raised)
     if write is not None and not dry_run:
         write("tables", tables)
         write("columns", columns)
         if actions is not None:
             write("grants", actions)
+        if raised is not None:
+            write("epochs", raised)
     return result
 
 

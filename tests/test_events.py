@@ -361,3 +361,16 @@ def test_rate_limited_triage_in_batch_and_stream(spark, rows, tmp_path):
         "append"
     ).trigger(availableNow=True).start().awaitTermination()
     assert rows(spark.table("triaged"), "id", "is_limited") == rows(batch, "id", "is_limited")
+
+
+def test_repeated_events_are_skipped(spark, rows):
+    from lakewarden.plans.events import skip_repeated
+
+    schema = "n int, event_id string, received_at timestamp, reject_reason string, route string"
+    at = [datetime(2026, 1, 1, 0, m) for m in (0, 1, 2, 16, 17)]
+    events = [(0, "a", at[0], "EXPIRED", None), (1, "a", at[1], None, "FULL_SYNC"), (2, "a", at[2], None, "FULL_SYNC"), (3, "a", at[3], None, "FULL_SYNC"), (4, "a", at[4], None, "FULL_SYNC"), (5, "b", at[4], None, "ACKNOWLEDGE")]
+    got = skip_repeated(spark.createDataFrame(events, schema), "n")
+    duplicate = "IGNORED_DUPLICATE_EVENT"
+    assert rows(got, "n", "reject_reason", "route") == [(0, "EXPIRED", None), (1, None, "FULL_SYNC"), (2, duplicate, None), (3, duplicate, None), (4, None, "FULL_SYNC"), (5, None, "ACKNOWLEDGE")]
+    again = got.select("n", "event_id", "received_at", "reject_reason")
+    assert skip_repeated(again, "n").columns == again.columns

@@ -72,6 +72,10 @@ def test_policy_references(spark, rows):
     assert rows(resolve_policy_refs(refs, policies)) == [("by id", "1"), ("by name", "1"), ("gone", "1"), ("id first", "2")]
 
 
+def complete(spark):
+    return spark.createDataFrame([("users", 1, 3, None)], "pull_id string, pages int, items int, problem string")
+
+
 def world(spark, role_rules, held=(), problems=None, auto=True, columns=(), tags=(), **options):
     tables = spark.createDataFrame(
         [("e1", "sales_svc.salesdb.dbo.orders", "orders", None, None, None, None, list(tags))],
@@ -99,7 +103,7 @@ def world(spark, role_rules, held=(), problems=None, auto=True, columns=(), tags
         mapping_rows(spark, {"fqn:org.x": "S-group"}, ("id", "fqn", "name")),
         mapping_rows(spark, {"a@X.y": "S-user"}, ("id", "email")),
         NOW,
-        problems,
+        complete(spark) if problems is None else problems,
         **options,
     )
 
@@ -223,3 +227,13 @@ def test_every_tenant_gets_its_own_deny(spark, rows):
     held = spark.createDataFrame([(1, "policy-sync", "C", "d", "s", "t", "Role", "X", "Deny", NOW + timedelta(days=1))], HELD)
     got = reconcile_grants(desired, held, tables, GrantConfig(), NOW)
     assert rows(got, "action", "tenant_id") == [("create", "A"), ("create", "B")]
+
+
+def test_unknown_read_changes_no_grant_and_epochs_rise(spark, rows):
+    nothing = complete(spark).limit(0)
+    assert not world(spark, [rule()], problems=nothing).success
+    epochs = spark.createDataFrame([("sales_svc", "dbo", "orders", 4), ("d", "s", "other", 1)], "domain string, schema_name string, table_name string, epoch bigint")
+    written = {}
+    result = world(spark, [rule()], epochs=epochs, write=lambda n, df: written.update({n: df}))
+    assert result.success and list(written)[-1] == "epochs"
+    assert rows(written["epochs"]) == [("d", "s", "other", 1), ("sales_svc", "dbo", "orders", 5)]
