@@ -4,14 +4,16 @@ A document is the set of its distinct three-word shingles, as 64-bit hashes. Two
 the first tenth of their shingles, in any order that all documents agree on; here from rare to frequent, by counts per hash
 slot, so common passages come last. Equal sets are one node. Nodes with equal prefix and size are one group:
 
-1. Group pairs come from a join of the groups' prefixes. Lists of up to `SMALL` groups give all pairs; in longer lists each group
-   meets the list's pivot of its size band. Members meet the pivot of their group. Pairs pass a filter by size and by the
-   overlap still possible beyond their prefixes, then the sets themselves are compared.
-2. The links make components. Where a shingle's nodes are still in several components, the nodes outside of the largest one
-   meet all nodes of that shingle that are in another component, unless they have met. So no link is lost, and a large group
-   of near copies costs pairs with its pivots, not all pairs.
+1. Group pairs come from lists of the groups that have a shingle in their prefix. Lists of up to `SMALL` groups give all pairs;
+   in longer lists each group meets the list's pivot of its size band. Pairs are dropped when the shingles they share in
+   their prefixes and all that may follow are too few; for the others the sets themselves are compared. Members of a
+   group meet the group's pivot.
+2. The links make components. Where the nodes of a shingle, or of a group, are still in several components, those outside of
+   the largest one meet all that are in another component, by the same bound, unless they have met. So no link is lost, and
+   a large group of near copies costs pairs with its pivots, not all pairs.
 
-Sets are made from whole texts wherever they are needed; only prefixes are stored. Pairs, links and components stay in tables.
+Sets are made from whole texts wherever they are needed; only prefixes are stored. Lists of frequent shingles are dealt to
+several tasks. Pairs, links and components stay in tables.
 
 Defined results: null and blank texts have an empty set and are linked with nothing; with fewer than three words the whole
 sequence is one shingle; equal texts in repeated rows are linked, if not empty; null ids never name a component unless all of
@@ -23,10 +25,13 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakewarden.llm.common import pieces, stored
 
@@ -35,8 +40,13 @@ WORDS = 3
 SHARE = 90
 #: Groups of a shingle that meet each other outright.
 SMALL = 24
-#: Hash slots that shingle counts are kept in; their number bounds what is shipped.
-SLOTS = 1 << 17
+#: Groups in one list of a frequent shingle, about.
+LIST = 50_000
+#: Hash slots that shingle counts are kept in; their number bounds what is shipped. Parts that they are added up in.
+SLOTS = 1 << 22
+PARTS = 256
+#: Pivots of a long list's size band, one for each class of shingles.
+PIVOTS = 8
 REMEMBERED = 800_000
 _KNOWN: dict[bytes, int] = {}
 
@@ -65,11 +75,14 @@ def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
     return np.unique(out)
 
 
-def ordered(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Shingles as numbers that rise from rare to frequent: a class of frequency above 56 bits of hash."""
-    low = hashes & np.uint64((1 << 56) - 1)
-    rate = (2 * np.log2(counts[(low % np.uint64(len(counts))).astype(np.int64)] + 1.0)).astype(np.uint64)
-    return np.sort((rate << np.uint64(56)) | low)
+def slots_of(hashes: np.ndarray, slots: int) -> np.ndarray:
+    return ((hashes & np.uint64((1 << 56) - 1)) % np.uint64(slots)).astype(np.int64)
+
+
+def ordered(hashes: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """Shingles as numbers that rise from rare to frequent: the slot's class of frequency above 56 bits of hash."""
+    rate = classes[slots_of(hashes, len(classes))].astype(np.uint64)
+    return np.sort((rate << np.uint64(56)) | (hashes & np.uint64((1 << 56) - 1)))
 
 
 def prefix_length(size: int) -> int:
@@ -81,94 +94,102 @@ def similar(a: int, b: int, common: int) -> bool:
     return 100 * common >= SHARE * (a + b - common)
 
 
-def may_link(x: np.ndarray, a: int, y: np.ndarray, b: int) -> bool:
-    """Whether prefixes `x`, `y` of sets of `a` and `b` shingles leave enough room; never false for a link."""
-    upto = min(x[-1], y[-1])
-    in_x, in_y = int(np.searchsorted(x, upto, side="right")), int(np.searchsorted(y, upto, side="right"))
-    common = len(np.intersect1d(x[:in_x], y[:in_y], assume_unique=True))
-    return similar(a, b, common + min(a - in_x, b - in_y))
-
-
 def _texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     return [t or b"" for t in batch.column(name).cast(pa.binary()).to_pylist()]
 
 
-def slot_counts(docs: DataFrame) -> np.ndarray:
-    """Documents per hash slot of their shingles, over all documents; one number per slot."""
+def frequency_classes(docs: DataFrame) -> np.ndarray:
+    """Class of frequency (twice the binary logarithm) of every hash slot, counting the shingles of all documents.
+
+    A task counts into one array and hands on `PARTS` packed parts of it; the parts are added up in two steps.
+    """
 
     def count(batches):
-        sums = np.zeros(SLOTS, np.int64)
+        sums = np.zeros(SLOTS, np.int32)
         for batch in pieces(batches):
-            for t in _texts(batch):
-                low = shingles(t) & np.uint64((1 << 56) - 1)
-                np.add.at(sums, (low % np.uint64(SLOTS)).astype(np.int64), 1)
-        at = np.flatnonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[at])], names=["slot", "n"])
-
-    made = docs.select("text").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect()
-    counts = np.zeros(SLOTS, np.int64)
-    for r in made:
-        counts[r["slot"]] = r["n"]
-    return counts
-
-
-def nodes_of(docs: DataFrame, counts: np.ndarray) -> DataFrame:
-    """Adds (node, size, prefix) to (row, text, ...): the digest and size of the set, and its prefix in the common order."""
-    shared = docs.sparkSession.sparkContext.broadcast(counts)
+            found = [shingles(t) for t in _texts(batch)]
+            if found:
+                np.add.at(sums, slots_of(np.concatenate(found), SLOTS), 1)
+        press = zstandard.ZstdCompressor(level=1)
+        made = [press.compress(part.astype(np.int64).tobytes()) for part in sums.reshape(PARTS, -1)]
+        yield pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array(made, pa.binary())], names=["part", "sums"])
+
+    def add(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        unpack, total = zstandard.ZstdDecompressor(), np.zeros(SLOTS // PARTS, np.int64)
+        for packed in group["sums"]:
+            total += np.frombuffer(unpack.decompress(packed), np.int64)
+        return pd.DataFrame({"part": [key[0]], "sums": [zstandard.ZstdCompressor(level=1).compress(total.tobytes())]})
+
+    parts = docs.select("text").mapInArrow(count, "part int, sums binary")
+    some = parts.withColumn("some", F.pmod(F.spark_partition_id(), F.lit(256))).groupBy("part", "some").applyInPandas(add, "part int, sums binary")
+    classes = np.zeros((PARTS, SLOTS // PARTS), np.uint8)
+    unpack = zstandard.ZstdDecompressor()
+    for r in some.groupBy("part").applyInPandas(add, "part int, sums binary").collect():  # PARTS rows, SLOTS numbers
+        classes[r["part"]] = 2 * np.log2(np.frombuffer(unpack.decompress(r["sums"]), np.int64) + 1.0)
+    return classes.ravel()
+
+
+def nodes_of(docs: DataFrame, classes: np.ndarray) -> DataFrame:
+    """Of (row, id, text, doc): the text packed, digests of its set (`node`) and of prefix and size (`group`), size and prefix."""
+    shared = docs.sparkSession.sparkContext.broadcast(classes)
 
     def read(batches):
+        press = zstandard.ZstdCompressor(level=1)
         for batch in pieces(batches):
-            node, size, prefix = [], [], []
+            node, group, size, prefix, packed = [], [], [], [], []
             for t in _texts(batch):
                 own = shingles(t)
                 size.append(len(own))
                 node.append(hashlib.md5(own.tobytes()).digest())
                 prefix.append(ordered(own, shared.value)[: prefix_length(len(own))].astype(np.int64))
-            more = [pa.array(node, pa.binary()), pa.array(size, pa.int64()), pa.array(prefix, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, "node", "size", "prefix"])
+                group.append(hashlib.md5(len(own).to_bytes(8, "little") + prefix[-1].tobytes()).digest())
+                packed.append(press.compress(t))
+            made = [pa.array(packed, pa.binary()), pa.array(node, pa.binary()), pa.array(group, pa.binary()), pa.array(size, pa.int64()), pa.array(prefix, pa.list_(pa.int64()))]
+            names = ["packed", "node", "group", "size", "prefix"]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("id"), batch.column("no_text"), batch.column("doc"), *made], names=["row", "id", "no_text", "doc", *names])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(read, f"{fields}, node binary, size long, prefix array<long>")
+    schema = T.StructType([docs.schema["row"], docs.schema["id"], docs.schema["no_text"], docs.schema["doc"]])
+    for name, kind in (("packed", T.BinaryType()), ("node", T.BinaryType()), ("group", T.BinaryType()), ("size", T.LongType()), ("prefix", T.ArrayType(T.LongType()))):
+        schema = schema.add(name, kind)
+    return docs.mapInArrow(read, schema)
 
 
-def _fits(a: str, b: str):
-    return (100 * F.least(a, b)) >= (SHARE * F.greatest(a, b))
+def _enough(common, a: str, b: str):
+    """Whether sets of sizes `a`, `b` may link if their prefixes share `common` shingles, or at most as many.
 
+    A shingle of both sets that comes no later than the end of the prefix that ends first is in both prefixes; what comes
+    after it can be shared at most as a whole.
+    """
+    beyond = [F.floor((SHARE * F.col(x) + 99) / 100) - 1 for x in (a, b)]
+    upto = common + F.greatest(*beyond)
+    return 100 * upto >= SHARE * (F.col(a) + F.col(b) - upto)
 
-def verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links among the pairs (a, b) of nodes: first by prefixes, then by the sets of their whole texts."""
 
-    def roomy(batches):
-        for batch in batches:
-            sizes = [batch.column(c).to_pylist() for c in ("size_a", "size_b")]
-            prefixes = [batch.column(c) for c in ("prefix_a", "prefix_b")]
-            keep = [may_link(prefixes[0][i].values.to_numpy(), sizes[0][i], prefixes[1][i].values.to_numpy(), sizes[1][i]) for i in range(batch.num_rows)]
-            kept = batch.filter(pa.array(keep, pa.bool_()))
-            yield pa.RecordBatch.from_arrays([kept.column(c) for c in ("a", "b", "row_a", "row_b")], names=["a", "b", "row_a", "row_b"])
+def verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Links among the pairs (a, b), by the sets of their whole texts."""
 
     def same(batches):
-        last: dict[bytes, np.ndarray] = {}
-        for batch in pieces(batches, "text_a"):
+        unpack = zstandard.ZstdDecompressor()
+        last: dict[int, np.ndarray] = {}
+        for batch in pieces(batches, "text_a", 1 << 20):
             keep = []
-            for a, b, s, t in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), _texts(batch, "text_a"), _texts(batch, "text_b"), strict=True):
-                if len(last) > 64:
+            for sides in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b")), strict=True):
+                if len(last) > 256:
                     last.clear()
-                x = last.setdefault(a, None)
-                if x is None:
-                    x = last[a] = shingles(s)
-                y = last.get(b)
-                if y is None:
-                    y = last[b] = shingles(t)
+                for node, text in zip(sides[:2], sides[2:], strict=True):
+                    if node not in last:
+                        last[node] = shingles(unpack.decompress(text))
+                x, y = last[sides[0]], last[sides[1]]
                 keep.append(similar(len(x), len(y), len(np.intersect1d(x, y, assume_unique=True))))
             kept = batch.filter(pa.array(keep, pa.bool_()))
             yield pa.RecordBatch.from_arrays([kept.column("a"), kept.column("b")], names=["a", "b"])
 
-    side = [nodes.select(F.col("node").alias(x), F.col("row").alias(f"row_{x}"), F.col("size").alias(f"size_{x}"), F.col("prefix").alias(f"prefix_{x}")) for x in "ab"]
-    pairs = pairs.join(side[0], "a").join(side[1], "b").select("a", "b", "row_a", "row_b", "size_a", "size_b", "prefix_a", "prefix_b")
-    left = stored(pairs.mapInArrow(roomy, "a binary, b binary, row_a long, row_b long"), "join-pairs")
-    text = [texts.select(F.col("row").alias(f"row_{x}"), F.col("text").alias(f"text_{x}")) for x in "ab"]
-    with_text = left.join(text[0], "row_a").join(text[1], "row_b").select("a", "b", "text_a", "text_b")
-    return stored(with_text.mapInArrow(same, "a binary, b binary"), "join-links")
+    pairs = stored(pairs, "join-pairs")
+    needed = pairs.select(F.col("a").alias("n")).union(pairs.select("b")).distinct()
+    texts = stored(rows.select("row", "packed").join(needed.hint("merge"), F.col("row") == F.col("n"), "left_semi"), "join-texts")
+    text = [texts.select(F.col("row").alias(f"row_{x}"), F.col("packed").alias(f"text_{x}")) for x in "ab"]
+    both = pairs.join(text[0], F.col("a") == F.col("row_a")).join(text[1], F.col("b") == F.col("row_b")).select("a", "b", "text_a", "text_b")
+    return stored(both.mapInArrow(same, "a long, b long"), "join-links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -188,60 +209,142 @@ def components(links: DataFrame) -> DataFrame:
         # small star: smaller neighbours, and the node itself, go to the smallest of them
         met = large.join(least, F.col("u") == F.col("w"))
         edges = stored(met.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select(F.col("w").alias("u"), F.col("m").alias("v"))).filter("u <> v").distinct(), "components")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if now == before:
             break
         before = now
     return edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root")).union(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-def first_pairs(nodes: DataFrame) -> DataFrame:
+def shingle_lists(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """(token, salt, pivot, size, shared, shared_many, many): groups by shingle of their prefix, without shingles of one group.
+
+    A frequent shingle's groups are dealt to several lists (`salt`), by its class of frequency; these count as long (`many`).
+    `shared` is the number of a group's shingles that have a list, `shared_many` of those that have a long one.
+    """
+
+    def runs(batches):
+        """Rows come sorted by list; one that stands alone is dropped, unless it is one of several lists of its shingle."""
+        held: list = []  # rows of the list at the end of the last batch
+        many = False
+
+        def out(rows, flag):
+            return pa.RecordBatch.from_arrays([*[c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in rows], pa.array(flag, pa.bool_())], names=["token", "salt", "pivot", "size", "salts", "many"])
+
+        for batch in batches:
+            merged = pa.Table.from_batches([*held, batch.select(["token", "salt", "pivot", "size", "salts"])])
+            keys = np.stack([merged.column(c).to_numpy() for c in ("token", "salt")])
+            fresh = np.concatenate([[True], (keys[:, 1:] != keys[:, :-1]).any(0)])
+            start = np.flatnonzero(fresh)
+            size = np.diff(np.append(start, merged.num_rows))
+            last = int(start[-1])
+            # of a list that goes on beyond the batch, enough rows are held to know it when it ends, and no more
+            long = size > SMALL
+            long[0] |= many
+            cut = merged.num_rows if long[-1] else last
+            flag = np.repeat(long, size)[:cut]
+            keep = ((np.repeat(size, size) > 1) | (merged.column("salts").to_numpy() > 1) | np.repeat(long, size))[:cut]
+            # one row of an open long list stays behind as its mark
+            rest = merged.slice(cut if cut < merged.num_rows else merged.num_rows - 1)
+            if cut == merged.num_rows:
+                flag, keep = flag[:-1], keep[:-1]
+            done = merged.slice(0, len(flag)).filter(pa.array(keep))
+            if done.num_rows:
+                yield out(done.columns, flag[keep])
+            held, many = rest.combine_chunks().to_batches(), bool(long[-1])
+        if held:
+            merged = pa.Table.from_batches(held)
+            if merged.num_rows > 1 or many or merged.column("salts")[0].as_py() > 1:
+                yield out(merged.columns, [many or merged.num_rows > SMALL] * merged.num_rows)
+
+    own = rows.select("row", "prefix").join(groups.hint("merge"), F.col("row") == F.col("pivot")).select(F.explode("prefix").alias("token"), "pivot", "size")
+    salts = F.ceil(F.pow(F.lit(2.0), F.shiftright("token", 56) / 2) / LIST).cast("int")
+    lists = own.withColumn("salts", salts).withColumn("salt", F.pmod(F.xxhash64("pivot"), F.col("salts")).cast("int"))
+    lists = lists.select("token", "salt", "pivot", "size", "salts").repartition("token", "salt").sortWithinPartitions("token", "salt")
+    lists = stored(lists.mapInArrow(runs, "token long, salt int, pivot long, size long, salts int, many boolean"), "join-runs")
+    lists = lists.withColumn("many", F.col("many") | (F.col("salts") > 1))
+    of = lists.groupBy(F.col("pivot").alias("p")).agg(F.count("*").alias("shared"), F.count_if("many").alias("shared_many"))
+    lists = lists.join(of.hint("merge"), F.col("pivot") == F.col("p"))
+    return stored(lists.select("token", "salt", "pivot", "size", "shared", "shared_many", "many"), "join-lists")
+
+
+def first_pairs(nodes: DataFrame, lists: DataFrame) -> DataFrame:
     """Pairs of pivots of groups with a shingle in common, and of every member with its group's pivot."""
-    groups = nodes.groupBy("group").agg(F.min("node").alias("pivot"), F.first("size").alias("size"), F.first("prefix").alias("prefix"))
-    own = nodes.join(groups.select("group", "pivot"), "group").filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-    lists = groups.select(F.explode("prefix").alias("token"), "pivot", "size")
-    counts = lists.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1")
-    lists = stored(lists.join(counts, "token"), "join-lists")
-    few = lists.filter(F.col("n") <= SMALL).select("token", "pivot", "size")
-    other = few.select(F.col("token").alias("t"), F.col("pivot").alias("b"), F.col("size").alias("size_b"))
-    small = few.join(other, (F.col("token") == F.col("t")) & (F.col("pivot") < F.col("b")) & _fits("size", "size_b")).select(F.col("pivot").alias("a"), "b")
+    own = nodes.filter("n <> pivot").select(F.col("pivot").alias("a"), F.col("n").alias("b"))
+    few = lists.filter(~F.col("many")).select("token", "salt", "pivot", "size", "shared")
+    other = few.select(F.col("token").alias("t"), F.col("salt").alias("s"), F.col("pivot").alias("b"), F.col("size").alias("size_b"), F.col("shared").alias("shared_b"))
+    met = (F.col("token") == F.col("t")) & (F.col("salt") == F.col("s"))
+    small = few.join(other, met & (F.col("pivot") < F.col("b")) & _enough(F.least("shared", "shared_b"), "size", "size_b")).select(F.col("pivot").alias("a"), "b", "size", "size_b", F.lit(1).alias("one"))
     # sizes of a band are within the share of each other, or nearly
-    many = lists.filter(F.col("n") > SMALL).withColumn("band", F.floor(F.log("size") / F.log(F.lit(100.0 / SHARE))))
-    star = many.groupBy(F.col("token").alias("t"), F.col("band").alias("in")).agg(F.min("pivot").alias("a"))
-    large = many.join(star, (F.col("token") == F.col("t")) & (F.col("band") == F.col("in"))).filter("pivot <> a").select("a", F.col("pivot").alias("b"))
-    return own.union(small).union(large).distinct()
-
-
-def later_pairs(nodes: DataFrame, roots: DataFrame, met: DataFrame) -> DataFrame:
-    """Pairs of nodes in different components that share a shingle of their prefixes and have not met."""
-    labelled = nodes.join(roots, "node", "left").select("node", "size", F.coalesce("root", "node").alias("root"), F.explode("prefix").alias("token"))
-    per_root = labelled.groupBy("token", "root").agg(F.count("*").alias("n"))
-    mixed = per_root.groupBy(F.col("token").alias("t")).agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots")).filter("roots > 1").drop("roots")
-    lists = stored(labelled.join(mixed, F.col("token") == F.col("t")).drop("t"), "join-mixed")
-    aside = lists.filter("root <> main").select("token", "node", "size", "root")
-    other = lists.select(F.col("token").alias("t"), F.col("node").alias("o"), F.col("size").alias("size_o"), F.col("root").alias("root_o"), (F.col("root") == F.col("main")).alias("in_main"))
-    pairs = aside.join(other, (F.col("token") == F.col("t")) & (F.col("root") != F.col("root_o")) & _fits("size", "size_o") & (F.col("in_main") | (F.col("node") < F.col("o"))))
-    pairs = pairs.select(F.least("node", "o").alias("a"), F.greatest("node", "o").alias("b")).distinct()
+    many = lists.filter("many").withColumn("band", F.floor(F.log("size") / F.log(F.lit(100.0 / SHARE))))
+    # near copies share most lists, so several pivots are tried for each, and the same few in all lists
+    place = F.struct(F.xxhash64("pivot", F.pmod("token", F.lit(PIVOTS))), "pivot", "size", "shared")
+    star = many.groupBy(F.col("token").alias("t"), F.col("salt").alias("s"), F.col("band").alias("in")).agg(F.min(place).alias("m"))
+    star = star.select("t", "s", "in", F.col("m.pivot").alias("a"), F.col("m.size").alias("size_a"), F.col("m.shared").alias("shared_a"))
+    large = many.join(star, met & (F.col("band") == F.col("in"))).filter((F.col("pivot") != F.col("a")) & _enough(F.least("shared", "shared_a"), "size", "size_a"))
+    first = F.col("a") < F.col("pivot")
+    large = large.select(
+        F.least("a", "pivot").alias("a"), F.greatest("a", "pivot").alias("b"),
+        F.when(first, F.col("size_a")).otherwise(F.col("size")).alias("size"), F.when(first, F.col("size")).otherwise(F.col("size_a")).alias("size_b"), F.lit(0).alias("one"),
+    )
+    counted = small.union(large).groupBy("a", "b").agg(F.min("size").alias("size"), F.min("size_b").alias("size_b"), F.sum("one").alias("common"))
+    # in long lists a pair is not counted; a group's shingles with such lists bound what it shares there
+    unseen = many.groupBy(F.col("pivot").alias("p")).agg(F.count("*").alias("unseen"))
+    sides = [unseen.select(F.col("p").alias(f"p_{x}"), F.col("unseen").alias(f"unseen_{x}")) for x in "ab"]
+    counted = counted.join(sides[0], F.col("a") == F.col("p_a"), "left").join(sides[1], F.col("b") == F.col("p_b"), "left")
+    upto = F.col("common") + F.least(F.coalesce("unseen_a", F.lit(0)), F.coalesce("unseen_b", F.lit(0)))
+    return own.union(counted.filter(_enough(upto, "size", "size_b")).select("a", "b")).distinct()
+
+
+def _across(labelled: DataFrame, key: str) -> DataFrame:
+    """(a, b, sizes) for nodes of one key in different components, of which one is outside of the key's largest component."""
+    per_root = labelled.groupBy(key, "root").agg(F.count("*").alias("n"))
+    mixed = per_root.groupBy(F.col(key).alias("k")).agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots")).filter("roots > 1").drop("roots")
+    found = stored(labelled.join(mixed, F.col(key) == F.col("k")).drop("k"), "join-mixed")
+    aside = found.filter("root <> main").select(key, "node", "size", "most", "root")
+    other = found.select(F.col(key).alias("k"), F.col("node").alias("o"), F.col("size").alias("size_o"), F.col("most").alias("most_o"), F.col("root").alias("root_o"), (F.col("root") == F.col("main")).alias("in_main"))
+    pairs = aside.join(other, (F.col(key) == F.col("k")) & (F.col("root") != F.col("root_o")) & _enough(F.least("most", "most_o"), "size", "size_o") & (F.col("in_main") | (F.col("node") < F.col("o"))))
+    first = F.col("node") < F.col("o")
+    return pairs.select(F.least("node", "o").alias("a"), F.greatest("node", "o").alias("b"), F.when(first, F.col("size")).otherwise(F.col("size_o")).alias("size"), F.when(first, F.col("size_o")).otherwise(F.col("size")).alias("size_b"))
+
+
+def later_pairs(nodes: DataFrame, lists: DataFrame, roots: DataFrame, met: DataFrame) -> DataFrame:
+    """Pairs of nodes in different components that may link and have not met.
+
+    Whoever shares a shorter list has met, or cannot link; the others share shingles with long lists only.
+    """
+    labelled = stored(nodes.join(roots.withColumnRenamed("node", "r"), F.col("n") == F.col("r"), "left").select(F.col("n").alias("node"), "size", "pivot", F.coalesce("root", "n").alias("root")), "join-labelled")
+    many = lists.filter("many").select("token", F.col("shared_many").alias("most"), F.col("pivot").alias("p"))
+    by_token = many.join(labelled, F.col("p") == F.col("pivot")).select("token", "node", "size", "most", "root")
+    counted = _across(by_token, "token").groupBy("a", "b").agg(F.min("size").alias("size"), F.min("size_b").alias("size_b"), F.count("*").alias("common"))
+    pairs = counted.filter(_enough(F.col("common"), "size", "size_b")).select("a", "b").union(_across(labelled.withColumn("most", F.col("size")), "pivot").select("a", "b")).distinct()
     seen = met.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
     return pairs.join(seen, (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")), "left_anti")
 
 
 def joined(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(row, id, doc, size, root): every document with its set's size and its component's smallest node (null if empty)."""
-    named = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("id"), F.col(text).cast("string").alias("text"), F.struct(*[docs[c] for c in docs.columns if c != text]).alias("doc"))
-    rows = stored(nodes_of(named, slot_counts(docs.select(F.col(text).cast("string").alias("text")))), "join-documents")
-    best = rows.filter("size > 0").groupBy("node").agg(F.min(F.struct("row", "size", "prefix")).alias("m")).select("node", "m.row", "m.size", "m.prefix")
-    nodes = stored(best.withColumn("group", F.md5(F.concat_ws(",", F.col("size").cast("string"), F.col("prefix").cast("array<string>")))), "join-nodes")
-    pairs = stored(first_pairs(nodes), "join-first")
-    links = verified(pairs, nodes, rows)
+    """(row, id, no_text, packed, doc, size, root): every document with its set's size and its component (null if empty)."""
+    named = docs.select(
+        F.monotonically_increasing_id().alias("row"),
+        F.col(key).alias("id"),
+        F.col(text).cast("string").alias("text"),
+        F.col(text).isNull().alias("no_text"),
+        F.struct(*([docs[f"`{c}`"] for c in docs.columns if c != text] or [F.lit(0)])).alias("doc"),
+    )
+    rows = stored(nodes_of(named, frequency_classes(docs.select(F.col(text).cast("string").alias("text")))), "join-documents")
+    sets = rows.filter("size > 0").groupBy("node").agg(F.min("row").alias("n"), F.min("group").alias("group"), F.min("size").alias("size"))
+    sets = stored(sets, "join-nodes")
+    groups = stored(sets.groupBy("group").agg(F.min("n").alias("pivot"), F.min("size").alias("size")), "join-groups")
+    nodes = stored(sets.join(groups.select(F.col("group").alias("g"), "pivot"), F.col("group") == F.col("g")).select("node", "n", "size", "pivot"), "join-members")
+    lists = shingle_lists(rows, groups.select("pivot", "size"))
+    pairs = stored(first_pairs(nodes, lists), "join-first")
+    links = verified(pairs, rows)
     roots = stored(components(links), "join-roots")
-    more = verified(stored(later_pairs(nodes, roots, pairs), "join-later"), nodes, rows)
+    more = verified(later_pairs(nodes, lists, roots, pairs), rows)
     if not more.isEmpty():
         roots = stored(components(links.union(more)), "join-roots")
-    roots = roots.withColumnRenamed("node", "n")
-    return rows.join(roots, (F.col("node") == F.col("n")) & (F.col("size") > 0), "left").select(
-        "row", "id", "text", "doc", "size", F.when(F.col("size") > 0, F.coalesce("root", "node")).alias("root")
-    )
+    named_roots = nodes.join(roots.withColumnRenamed("node", "r"), F.col("n") == F.col("r"), "left").select(F.col("node").alias("of"), F.coalesce("root", "n").alias("root"))
+    return rows.join(named_roots, (F.col("node") == F.col("of")) & (F.col("size") > 0), "left").select("row", "id", "no_text", "packed", "doc", "size", "root")
 
 
 def with_components(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -256,7 +359,16 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
     rows = joined(docs, text, key)
     chosen = rows.filter("root is not null").groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("n"), "id", "row")).alias("m")).select(F.col("m.row").alias("stays"))
     kept = rows.join(chosen, F.col("row") == F.col("stays"), "left").filter("root is null or stays is not null")
-    return kept.select(*[F.col("text").cast(docs.schema[c].dataType).alias(c) if c == text else F.col("doc")[c].alias(c) for c in docs.columns])
+
+    def unpacked(batches):
+        unpack = zstandard.ZstdDecompressor()
+        for batch in batches:
+            texts = [None if none else unpack.decompress(t) for t, none in zip(batch.column("packed").to_pylist(), batch.column("no_text").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(texts, pa.binary()).cast(pa.string())], names=["doc", "whole"])
+
+    schema = T.StructType([rows.schema["doc"], T.StructField("whole", T.StringType())])
+    made = kept.select("packed", "no_text", "doc").mapInArrow(unpacked, schema)
+    return made.select(*[F.col("whole").cast(docs.schema[c].dataType).alias(c) if c == text else F.col("doc").getField(c).alias(c) for c in docs.columns])
 
 
 def query(spark, sf_dir: str) -> DataFrame:
