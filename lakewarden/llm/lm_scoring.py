@@ -5,8 +5,8 @@ known context; a byte new to the context costs an escape (as many escape counts
 then looked for in the shorter context, from which all bytes of the longer one are excluded; below the empty context all bytes
 that are left are alike. A text ends with a byte that UTF-8 never has, which also stands before its start.
 
-The trie grows with the corpus, so no task holds it. Texts are put into blocks of about `BLOCK` bytes; a block's distinct
-five-byte strings are joined with the code length of each, and a task scores one block at a time with what it needs. Code
+The trie grows with the corpus, so no task holds it. Texts are put into blocks of about `BLOCK` bytes; the distinct five-byte
+strings of `GROUP` blocks are joined with the code length of each, and a task scores one block at a time with those. Code
 lengths are worked out once per distinct string, in joins of edges and contexts by their bytes. Only contexts of up to two
 bytes, at most 2^24 edges whatever the corpus, are shipped whole.
 
@@ -32,11 +32,15 @@ from pyspark.sql import functions as F
 from lakewarden.llm.common import pieces, stored
 
 #: Most frequent words whose counts are shipped to all tasks.
-HOT = 100_000
+HOT = 300_000
 #: Distinct words that a task holds before it hands them on.
 HELD = 500_000
 #: Bytes of text in a block, about.
 BLOCK = 4 << 20
+#: Blocks whose strings are looked up together.
+GROUP = 8
+#: Code lengths travel as whole numbers of this share of a decimal digit, below 64 digits.
+FINE = 1 << 26
 ORDER = 4
 SMOOTH = 0.1
 
@@ -114,35 +118,48 @@ def remainder(key: str):
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(0)) % 10
 
 
-BLOCKS = "block long, ids array<long>, held array<boolean>, sizes array<long>, packed binary, codes array<long>, counts array<long>, word binary, n long"
+FIELDS = {
+    "block": pa.int64(), "part": pa.int64(), "ids": pa.list_(pa.int64()), "held": pa.list_(pa.bool_()), "sizes": pa.list_(pa.int64()), "packed": pa.binary(),
+    "codes": pa.list_(pa.int64()), "counts": pa.list_(pa.int64()), "word": pa.binary(), "n": pa.int64(),
+}
+BLOCKS = "block long, part long, ids array<long>, held array<boolean>, sizes array<long>, packed binary, codes array<long>, counts array<long>, word binary, n long"
 
 
 def blocks_of(docs: DataFrame) -> DataFrame:
-    """(block, its texts, its distinct five-byte strings with their training counts), and rows (word, n) of training words."""
-    kinds = {"ids": pa.list_(pa.int64()), "held": pa.list_(pa.bool_()), "sizes": pa.list_(pa.int64()), "packed": pa.binary(), "codes": pa.list_(pa.int64()), "counts": pa.list_(pa.int64())}
-    schema = pa.schema([("block", pa.int64()), *kinds.items(), ("word", pa.binary()), ("n", pa.int64())])
+    """Three kinds of rows: blocks of texts, distinct five-byte strings of a few blocks with training counts, training words."""
+    schema = pa.schema(list(FIELDS.items()))
+
+    def rows(size: int, /, **columns):
+        return pa.RecordBatch.from_arrays([pa.array(columns[f], t) if f in columns else pa.nulls(size, t) for f, t in FIELDS.items()], schema=schema)
 
     def collect(batches):
-        press = zstandard.ZstdCompressor(level=1)
+        press = zstandard.ZstdCompressor(level=3)
         words: Counter = Counter()
+        part, held_codes, held_counts = None, [], []
 
-        def hand_on():
-            nothing = [pa.nulls(len(words), f.type) for f in schema if f.name not in ("word", "n")]
-            return pa.RecordBatch.from_arrays([*nothing, pa.array(list(words), pa.binary()), pa.array(list(words.values()), pa.int64())], schema=schema)
+        def strings():
+            codes, where = np.unique(np.concatenate(held_codes), return_inverse=True)
+            return rows(1, part=[part], codes=[codes], counts=[np.bincount(where, np.concatenate(held_counts)).astype(np.int64)])
 
         for batch in pieces(batches, limit=BLOCK):
-            texts, held = _bytes(batch), batch.column("held_out").to_pylist()
+            texts, held, block = _bytes(batch), batch.column("held_out").to_pylist(), batch.column("row")[0].as_py()
             words.update(w for t, h in zip(texts, held, strict=True) if not h for w in t.lower().split())
             if len(words) > HELD:
-                yield hand_on()
+                yield rows(len(words), word=list(words), n=list(words.values()))
                 words.clear()
-            codes = np.unique(grams(texts)[0])
-            trained, n = np.unique(grams([t for t, h in zip(texts, held, strict=True) if not h])[0], return_counts=True)
-            counts = np.zeros(len(codes), np.int64)
-            counts[np.searchsorted(codes, trained)] = n
-            made = [batch.column("row")[:1], *(pa.array([x], k) for x, k in zip((batch.column("doc_id").to_pylist(), held, [len(t) for t in texts], press.compress(b"".join(texts)), codes, counts), kinds.values(), strict=True))]
-            yield pa.RecordBatch.from_arrays([*made, pa.nulls(1, pa.binary()), pa.nulls(1, pa.int64())], schema=schema)
-        yield hand_on()
+            part = block if part is None else part
+            for some, learnt in ((False, True), (True, False)):
+                codes, n = np.unique(grams([t for t, h in zip(texts, held, strict=True) if h == some])[0], return_counts=True)
+                held_codes.append(codes)
+                held_counts.append(n * learnt)
+            yield rows(1, block=[block], part=[part], ids=[batch.column("doc_id").to_pylist()], held=[held], sizes=[[len(t) for t in texts]], packed=[press.compress(b"".join(texts))])
+            if len(held_codes) >= 2 * GROUP:
+                yield strings()
+                part, held_codes, held_counts = None, [], []
+        if held_codes:
+            yield strings()
+        if words:
+            yield rows(len(words), word=list(words), n=list(words.values()))
 
     return stored(docs.mapInArrow(collect, BLOCKS), "lm-blocks")
 
@@ -193,9 +210,10 @@ def scored(docs: DataFrame, text: str = "text", hot: int = HOT) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), (remainder("doc_id") == 0).alias("held_out"), F.col(text).cast("string").alias("text"))
     made = blocks_of(docs)
-    blocks = made.filter("codes is not null")
+    blocks = made.filter("packed is not null").select("block", "part", "ids", "held", "sizes", "packed")
+    strings = made.filter("codes is not null").select("part", "codes", "counts")
     words = stored(made.filter("word is not null").groupBy("word").agg(F.sum("n").alias("n")), "lm-words")
-    codes = stored(blocks.select(F.explode(F.arrays_zip("codes", "counts")).alias("g")).groupBy(F.col("g.codes").alias("code")).agg(F.sum("g.counts").alias("n")), "lm-codes")
+    codes = stored(strings.select(F.explode(F.arrays_zip("codes", "counts")).alias("g")).groupBy(F.col("g.codes").alias("code")).agg(F.sum("g.counts").alias("n")), "lm-codes")
     three = codes.filter("n > 0").groupBy(F.col("code").bitwiseAND(0xFFFFFF).alias("s")).agg(F.sum("n").alias("n"))
     edges = np.array([(r["s"], r["n"]) for r in three.collect()], np.int64).reshape(-1, 2)  # 2^24 at most
     edges = edges[np.argsort(edges[:, 0])]
@@ -208,7 +226,11 @@ def scored(docs: DataFrame, text: str = "text", hot: int = HOT) -> DataFrame:
     # one word's share of the probability is (count + SMOOTH) / 10^whole
     end_log, whole = math.log10(train_docs + SMOOTH), math.log10(tokens + SMOOTH * (kinds + 1))
     values = code_lengths(codes, spark.sparkContext.broadcast(Trie(edges[:, 0], edges[:, 1])))
-    needed = blocks.select("block", F.explode("codes").alias("code")).join(values, "code").groupBy(F.col("block").alias("of")).agg(F.collect_list(F.struct("code", "value")).alias("known"))
+    # a string's place among those of its blocks and its code length, as one number
+    length = F.round(-F.col("value") * FINE).cast("long")
+    placed = strings.select("part", F.posexplode("codes").alias("i", "code")).join(values, "code")
+    needed = placed.select("part", (F.shiftleft(F.col("i").cast("long"), 32) + length).alias("known")).groupBy("part").agg(F.collect_list("known").alias("known"))
+    needed = strings.select("part", "codes").join(needed, "part").withColumnRenamed("part", "of")
     table = spark.sparkContext.broadcast((rank, logs))
 
     def read(batches):
@@ -217,10 +239,9 @@ def scored(docs: DataFrame, text: str = "text", hot: int = HOT) -> DataFrame:
         get = rank.get
         for batch in batches:
             for b in range(batch.num_rows):
-                known = batch.column("known")[b].values
-                code, value = (known.field(i).to_numpy(zero_copy_only=False) for i in range(2))
-                order = np.argsort(code)
-                code, value = code[order], value[order]
+                known, code = (batch.column(c)[b].values.to_numpy() for c in ("known", "codes"))
+                value = np.zeros(len(code))
+                value[known >> 32] = (known & 0xFFFFFFFF) / -FINE
                 sizes = batch.column("sizes")[b].as_py()
                 ends = np.cumsum(sizes).tolist()
                 data = unpack.decompress(batch.column("packed")[b].as_py())
@@ -241,7 +262,7 @@ def scored(docs: DataFrame, text: str = "text", hot: int = HOT) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(rare, pa.list_(pa.binary()))], names=["row", "doc_id", "held_out", "n_tokens", "hot_known", "hot_score", "score", "rare"])
 
     schema = "row long, doc_id long, held_out boolean, n_tokens long, hot_known long, hot_score double, score double, rare array<binary>"
-    ready = blocks.select("block", "ids", "held", "sizes", "packed").join(needed, F.col("block") == F.col("of")).drop("of")
+    ready = blocks.join(needed, F.col("part") == F.col("of")).select("block", "ids", "held", "sizes", "packed", "codes", "known")
     rows = stored(ready.mapInArrow(read, schema), "lm-rows")
     rare = rows.select("row", F.explode("rare").alias("w"))
     n = F.coalesce("n", F.lit(0))
