@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lakewarden.llm import repeated_text, shingle_join
 
@@ -64,6 +65,23 @@ def test_drifting_copies_keep_every_link(spark, rows, monkeypatch):
     assert rows(shingle_join.with_components(frame)) == brute_components(docs)
 
 
+@pytest.mark.parametrize("small,salted", [(24, 50_000), (2, 4)])
+def test_many_near_copies_of_many_sizes(spark, rows, monkeypatch, small, salted):
+    monkeypatch.setattr(shingle_join, "SMALL", small)
+    monkeypatch.setattr(shingle_join, "LIST", salted)
+    r = random.Random(8)
+    docs = []
+    for _ in range(6):
+        base = [f"w{r.randint(0, 400)}" for _ in range(r.randint(15, 160))]
+        for _ in range(30):
+            copy = base[: len(base) - r.randint(0, len(base) // 8)]
+            for _ in range(r.randint(0, 3)):
+                copy[r.randrange(len(copy))] = r.choice(["x", "y", f"v{r.random()}"])
+            docs.append((len(docs), " ".join(copy + ["tail"] * r.randint(0, 1))))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert rows(shingle_join.with_components(frame)) == brute_components(docs)
+
+
 def test_prefixes_of_links_meet():
     r = np.random.default_rng(1)
     classes = r.integers(0, 12, 64).astype(np.uint8)
@@ -90,7 +108,7 @@ def test_lists_over_batches(spark, rows, monkeypatch, rows_per_batch):
     docs = spark.createDataFrame([(i, sorted(set(p))) for i, p in prefixes.items()], "row long, prefix array<long>")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows_per_batch)
     try:
-        groups = docs.select(docs["row"].alias("pivot"), docs["row"].alias("size"))
+        groups = docs.select(docs["row"].alias("pivot"), F.lit(0).cast("long").alias("size"))
         got = shingle_join.shingle_lists(docs, groups).collect()
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
