@@ -77,9 +77,11 @@ def segments(data: np.ndarray, length: int = LENGTH, anchor: int = ANCHOR) -> tu
     grams = len(data) - anchor + 1
     h = np.zeros(grams, np.uint64)
     for j in range(0, anchor - 7, 8):
-        h = _mix(h + words[j : j + grams] + np.uint64(0x9E3779B97F4A7C15))
+        h = h * np.uint64(0x9E3779B97F4A7C15) + words[j : j + grams]
     if anchor % 8:
-        h = _mix(h + words[anchor - 8 : anchor - 8 + grams]) if anchor > 8 else _mix(words[:grams] >> np.uint64(64 - 8 * anchor))
+        tail = words[anchor - 8 : anchor - 8 + grams] if anchor > 8 else words[:grams] >> np.uint64(64 - 8 * anchor)
+        h = h * np.uint64(0x9E3779B97F4A7C15) + tail
+    h = _mix(h)
     # among equal hashes the first one of the window is its anchor
     keyed = ((h >> np.uint64(24)) << np.uint64(24)) | np.arange(grams, dtype=np.uint64)
     place = (least_in_window(keyed, length - anchor + 1) & np.uint64((1 << 24) - 1)).astype(np.int64)
@@ -110,7 +112,7 @@ def suffix_ranks(data: np.ndarray, left: np.ndarray, depth: int) -> np.ndarray:
         ahead = np.zeros(n, np.int64)
         ahead[: max(n - j, 0)] = data[j:].astype(np.int64) + 1
         code = code * 257 + np.where(left > j, ahead, 0)
-    order = np.argsort(code, kind="stable")
+    order = np.argsort(code)
     fresh = np.concatenate([[True], code[order][1:] != code[order][:-1]])
     rank = np.empty(n, np.int64)
     rank[order] = np.maximum.accumulate(np.where(fresh, np.arange(n), 0))
@@ -119,7 +121,7 @@ def suffix_ranks(data: np.ndarray, left: np.ndarray, depth: int) -> np.ndarray:
     have = 7
     while have < depth and len(live):
         nxt = np.where(left[live] > have, rank[np.minimum(live + have, n - 1)] + 1, 0)
-        order = np.argsort(rank[live] * (n + 1) + nxt, kind="stable")
+        order = np.argsort(rank[live] * (n + 1) + nxt)
         r, x = rank[live][order], nxt[order]
         group = np.concatenate([[True], r[1:] != r[:-1]])
         fresh = group | np.concatenate([[True], x[1:] != x[:-1]])
@@ -131,7 +133,7 @@ def suffix_ranks(data: np.ndarray, left: np.ndarray, depth: int) -> np.ndarray:
     return rank
 
 
-def common_prefixes(data: np.ndarray, left: np.ndarray, order: np.ndarray, lanes: int = 256) -> np.ndarray:
+def common_prefixes(data: np.ndarray, left: np.ndarray, order: np.ndarray, lanes: int = 64) -> np.ndarray:
     """Bytes that each position's suffix shares with the suffix before it in `order` (Kasai).
 
     A position shares at least one byte less than the position before it did, so each comparison goes on from there. The
@@ -252,6 +254,7 @@ def removed(docs: DataFrame, text: str = "text", length: int = LENGTH, per_ancho
             windows.append([xxhash.xxh3_128_digest(part[i : i + length]) for i in range(len(part) - length + 1)] if cut else None)
         return pd.DataFrame({"part": group["part"], "spans": spans, "windows": windows})
 
+    dealt = dealt.repartition(max(1, shards // 4), "shard")
     within = stored(dealt.groupBy("shard").applyInPandas(refine, "part binary, spans array<long>, windows array<binary>"), "within")
     windows = within.filter("windows is not null").select("part", F.posexplode("windows").alias("i", "window"))
     shared = windows.groupBy(F.col("window").alias("w")).agg(F.count("*").alias("n")).filter("n > 1").select("w")
