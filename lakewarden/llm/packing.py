@@ -15,6 +15,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,9 @@ END_ID = 1
 BUCKET = 20_000
 #: Words whose ids a worker remembers at a time.
 REMEMBERED = 800_000
+#: Signs that end words, and the end of the Latin letters, whose lower case has no exceptions.
+SIGNS = ".,;:!?#$%&*+=|~^-"
+LATIN_END = "\u0250"
 _ODD_SPACE = re.compile("[\x1c-\x1f\x85]")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _CACHES: dict[str, WordIds] = {}
@@ -51,18 +55,44 @@ class WordIds:
         self.used = 0
 
     def learn(self, words: list[str]) -> None:
-        for at in range(0, len(words), 20_000):
-            some = words[at : at + 20_000]
-            for word, made in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False), strict=True):
-                ids, n = made.ids, len(self.known)
-                while self.used + len(ids) > len(self.flat):
-                    self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-                if n + 2 > len(self.start):
-                    self.start = np.concatenate([self.start, np.zeros_like(self.start)])
-                self.flat[self.used : self.used + len(ids)] = ids
-                self.used += len(ids)
-                self.known[word] = n
-                self.start[n + 1] = self.used
+        """Ids of new words. Letters, in lower case, and the signs after them are tokens apart, so they are looked up apart."""
+        parts = {}
+        for w in words:
+            core = w.rstrip(SIGNS)
+            if core.isalpha() and max(core) < LATIN_END:
+                low = core.lower()
+                if low != w and low.isalpha():
+                    parts[w] = (low, w[len(core) :])
+        whole = {p for pair in parts.values() for p in pair if p}
+        whole.update(w for w in words if w not in parts)
+        new = list(whole.difference(self.known))
+        for at in range(0, len(new), 20_000):
+            some = new[at : at + 20_000]
+            made = [m.ids for m in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+            self._keep(some, np.fromiter(map(len, made), np.int64, len(made)), np.fromiter(chain.from_iterable(made), np.uint32))
+        if parts:
+            known = self.known
+            both = np.fromiter((known[p] for pair in parts.values() for p in pair if p), np.int64)
+            ids, size = self._ids(both)
+            first = np.cumsum([0, *(1 + bool(tail) for _, tail in parts.values())])[:-1]
+            self._keep(parts, np.add.reduceat(size, first), ids)
+
+    def _ids(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words of these numbers one after the other, and how many each has."""
+        first, size = self.start[index], self.start[index + 1] - self.start[index]
+        before = np.cumsum(size) - size
+        return self.flat[np.repeat(first - before, size) + np.arange(int(size.sum()))], size
+
+    def _keep(self, words, sizes: np.ndarray, ids: np.ndarray) -> None:
+        n, end = len(self.known), self.used + len(ids)
+        if end > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(max(end, len(self.flat)), np.uint32)])
+        if n + len(sizes) + 1 > len(self.start):
+            self.start = np.concatenate([self.start, np.zeros(n + len(sizes) + 1, np.int64)])
+        self.flat[self.used : end] = ids
+        self.start[n + 1 : n + 1 + len(sizes)] = self.used + np.cumsum(sizes)
+        self.known.update(zip(words, range(n, n + len(sizes)), strict=True))
+        self.used = end
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and each text's number of ids, without end ids."""
@@ -70,13 +100,12 @@ class WordIds:
         words = [w for ws in split for w in ws]
         if len(self.known) > REMEMBERED:
             self.forget()
-        new = list(dict.fromkeys(w for w in words if w not in self.known))
+        new = set(words).difference(self.known)
         if new:
-            self.learn(new)
+            self.learn(list(new))
         index = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        first, size = self.start[index], self.start[index + 1] - self.start[index]
+        ids, size = self._ids(index)
         before = np.concatenate([[0], np.cumsum(size)])
-        ids = self.flat[np.repeat(first - before[:-1], size) + np.arange(before[-1])]
         ends = np.cumsum([len(ws) for ws in split])
         return ids, np.diff(np.concatenate([[0], before[ends]])) if len(texts) else np.zeros(0, np.int64)
 
