@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from lakewarden.llm.common import pieces, stored
 
-#: Most frequent words whose counts are shipped to all tasks.
+#: Words whose counts are shipped to all tasks at most, the most frequent ones.
 HOT = 300_000
 #: Distinct words that a task holds before it hands them on.
 HELD = 500_000
@@ -220,7 +220,15 @@ def scored(docs: DataFrame, text: str = "text", hot: int = HOT) -> DataFrame:
     train_docs = int(edges[(edges[:, 0] & 255) == 255, 1].sum())  # every text ends once
     total, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     tokens, kinds = total + train_docs, kinds + (train_docs > 0)
-    frequent = words.orderBy(F.desc("n"), "word").limit(hot).collect()
+    # whole classes of counts, from the top, as long as no more than `hot` words are in them
+    of_class = F.floor(16 * F.log2("n")).cast("int")
+    cut, held = None, 0
+    for r in sorted(words.groupBy(of_class.alias("c")).agg(F.count("*").alias("words")).collect(), reverse=True):  # 1024 at most
+        held += r["words"]
+        if held > hot:
+            break
+        cut = r["c"]
+    frequent = [] if cut is None else words.filter(of_class >= cut).collect()
     rank = {bytes(r["word"]): i for i, r in enumerate(frequent)}
     logs = np.log10(np.array([r["n"] for r in frequent], float) + SMOOTH)
     # one word's share of the probability is (count + SMOOTH) / 10^whole
