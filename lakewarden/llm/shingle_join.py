@@ -8,9 +8,10 @@ slot, so common passages come last. Equal sets are one node. Nodes with equal pr
    in longer lists each group meets the list's pivot of its size band. Pairs are dropped when the shingles they share in
    their prefixes and all that may follow are too few; for the others the sets themselves are compared. Members of a
    group meet the group's pivot.
-2. The links make components. Where the nodes of a shingle, or of a group, are still in several components, those outside of
-   the largest one meet all that are in another component, by the same bound, unless they have met. So no link is lost, and
-   a large group of near copies costs pairs with its pivots, not all pairs.
+2. The links make components. Where the nodes of a frequent shingle, or of a group, are still in several components, those
+   outside of the largest one meet all that are in another component, by the same bound, unless they have met. Of the group
+   pairs that shorter lists left over in 1., members in different components meet too. So no link is lost, and a large group
+   of near copies costs pairs with its pivots, not all pairs.
 
 Sets are made from whole texts wherever they are needed; only prefixes are stored. Lists of frequent shingles are dealt to
 several tasks. Pairs, links and components stay in tables.
@@ -269,8 +270,11 @@ def shingle_lists(rows: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def first_pairs(nodes: DataFrame, lists: DataFrame) -> DataFrame:
-    """Pairs of pivots of groups with a shingle in common, and of every member with its group's pivot."""
-    own = nodes.filter("n <> pivot").select(F.col("pivot").alias("a"), F.col("n").alias("b"))
+    """Pairs of pivots of groups with a shingle in common, and of every member with its group's pivot.
+
+    `short` tells pairs of groups that share a shorter list, whose members may link as well.
+    """
+    own = nodes.filter("n <> pivot").select(F.col("pivot").alias("a"), F.col("n").alias("b"), F.lit(False).alias("short"))
     few = lists.filter(~F.col("many")).select("token", "salt", "pivot", "size", "shared")
     other = few.select(F.col("token").alias("t"), F.col("salt").alias("s"), F.col("pivot").alias("b"), F.col("size").alias("size_b"), F.col("shared").alias("shared_b"))
     met = (F.col("token") == F.col("t")) & (F.col("salt") == F.col("s"))
@@ -293,7 +297,7 @@ def first_pairs(nodes: DataFrame, lists: DataFrame) -> DataFrame:
     sides = [unseen.select(F.col("p").alias(f"p_{x}"), F.col("unseen").alias(f"unseen_{x}")) for x in "ab"]
     counted = counted.join(sides[0], F.col("a") == F.col("p_a"), "left").join(sides[1], F.col("b") == F.col("p_b"), "left")
     upto = F.col("common") + F.least(F.coalesce("unseen_a", F.lit(0)), F.coalesce("unseen_b", F.lit(0)))
-    return own.union(counted.filter(_enough(upto, "size", "size_b")).select("a", "b")).distinct()
+    return own.union(counted.filter(_enough(upto, "size", "size_b")).select("a", "b", (F.col("common") > 0).alias("short"))).distinct()
 
 
 def _across(labelled: DataFrame, key: str) -> DataFrame:
@@ -308,16 +312,35 @@ def _across(labelled: DataFrame, key: str) -> DataFrame:
     return pairs.select(F.least("node", "o").alias("a"), F.greatest("node", "o").alias("b"), F.when(first, F.col("size")).otherwise(F.col("size_o")).alias("size"), F.when(first, F.col("size_o")).otherwise(F.col("size")).alias("size_b"))
 
 
+def _members(labelled: DataFrame, met: DataFrame) -> DataFrame:
+    """(a, b) for members in different components of two groups that share a shorter list and may link.
+
+    The bound on a pair of groups holds for all of their members, which have the same prefix and size. Components are told
+    apart before members, so groups that are one component cost one row.
+    """
+    several = labelled.filter("node <> pivot").select(F.col("pivot").alias("p")).distinct()
+    groups = met.filter("short").select("a", "b")
+    groups = groups.join(several, F.col("a") == F.col("p"), "left_semi").union(groups.join(several, F.col("b") == F.col("p"), "left_semi")).distinct()
+    held = labelled.select("pivot", "root").distinct()
+    sides = [held.select(F.col("pivot").alias(f"p_{x}"), F.col("root").alias(f"root_{x}")) for x in "ab"]
+    apart = groups.join(sides[0], F.col("a") == F.col("p_a")).join(sides[1], (F.col("b") == F.col("p_b")) & (F.col("root_a") != F.col("root_b"))).select("p_a", "root_a", "p_b", "root_b")
+    left, right = (labelled.select(F.col("pivot").alias(f"of_{x}"), F.col("root").alias(f"in_{x}"), F.col("node").alias(f"node_{x}")) for x in "ab")
+    pairs = apart.join(left, (F.col("p_a") == F.col("of_a")) & (F.col("root_a") == F.col("in_a"))).join(right, (F.col("p_b") == F.col("of_b")) & (F.col("root_b") == F.col("in_b")))
+    return pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
+
+
 def later_pairs(nodes: DataFrame, lists: DataFrame, roots: DataFrame, met: DataFrame) -> DataFrame:
     """Pairs of nodes in different components that may link and have not met.
 
-    Whoever shares a shorter list has met, or cannot link; the others share shingles with long lists only.
+    Groups that share a shorter list have met by their pivots, or cannot link, and their members are expanded; the others
+    share shingles with long lists only.
     """
     labelled = stored(nodes.join(roots.withColumnRenamed("node", "r"), F.col("n") == F.col("r"), "left").select(F.col("n").alias("node"), "size", "pivot", F.coalesce("root", "n").alias("root")), "join-labelled")
     many = lists.filter("many").select("token", F.col("shared_many").alias("most"), F.col("pivot").alias("p"))
     by_token = many.join(labelled, F.col("p") == F.col("pivot")).select("token", "node", "size", "most", "root")
     counted = _across(by_token, "token").groupBy("a", "b").agg(F.min("size").alias("size"), F.min("size_b").alias("size_b"), F.count("*").alias("common"))
-    pairs = counted.filter(_enough(F.col("common"), "size", "size_b")).select("a", "b").union(_across(labelled.withColumn("most", F.col("size")), "pivot").select("a", "b")).distinct()
+    pairs = counted.filter(_enough(F.col("common"), "size", "size_b")).select("a", "b").union(_across(labelled.withColumn("most", F.col("size")), "pivot").select("a", "b"))
+    pairs = pairs.union(_members(labelled, met)).distinct()
     seen = met.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
     return pairs.join(seen, (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")), "left_anti")
 
@@ -338,7 +361,7 @@ def joined(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFram
     nodes = stored(sets.join(groups.select(F.col("group").alias("g"), "pivot"), F.col("group") == F.col("g")).select("node", "n", "size", "pivot"), "join-members")
     lists = shingle_lists(rows, groups.select("pivot", "size"))
     pairs = stored(first_pairs(nodes, lists), "join-first")
-    links = verified(pairs, rows)
+    links = verified(pairs.select("a", "b"), rows)
     roots = stored(components(links), "join-roots")
     more = verified(later_pairs(nodes, lists, roots, pairs), rows)
     if not more.isEmpty():

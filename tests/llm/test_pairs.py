@@ -82,6 +82,20 @@ def test_many_near_copies_of_many_sizes(spark, rows, monkeypatch, small, salted)
     assert rows(shingle_join.with_components(frame)) == brute_components(docs)
 
 
+@pytest.mark.parametrize("small", [24, 2, 1])
+def test_members_of_two_groups_meet(spark, rows, monkeypatch, small):
+    """Two groups of one prefix each share rare shingles only; members that no pivot stands for link across them."""
+    monkeypatch.setattr(shingle_join, "SMALL", small)
+    rare = [f"r{i}" for i in range(30)]
+    common = [["joint", "same", *(f"{x}{i}" for i in range(68))] for x in "ab"]
+    docs = [(2 * k + i, " ".join([*first, *rare[1:], *c])) for k, first in enumerate([["r0"], ["other"]]) for i, c in enumerate(common)]
+    docs += [(10 + k, " ".join([*common[k % 2], *(f"t{k}x{i}" for i in range(40))])) for k in range(60)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    want = brute_components(docs)
+    assert [w[2] for w in sorted(want)[:4]] == [0, 1, 0, 1]
+    assert rows(shingle_join.with_components(frame)) == want
+
+
 def test_prefixes_of_links_meet():
     r = np.random.default_rng(1)
     classes = r.integers(0, 12, 64).astype(np.uint8)
