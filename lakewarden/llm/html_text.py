@@ -11,7 +11,9 @@ Loose are all blocks of a page without an article element, and in an article tho
 quotes, tables and the like, as a notice without a mark is. Paragraphs and headings of an article stay, also when other
 pages repeat them: a quotation or a copied article is main text. Pages of equal text count as one page.
 
-A host's pages are dealt by page to shards of about `PAGES`, so one large host is many tasks; runs are looked for in a shard.
+A host's pages are dealt by page to shards of about `PAGES`, so one large host is many tasks. Runs that pages of different
+shards have are found by digests of all windows of `RUN` tokens: of each its least and largest page is kept, added up per task
+first, and those of two pages go back to the shards that have them. So a page's text does not depend on the shards.
 
 Defined results: null or empty html gives an empty text; a null or odd url makes a host of its own kind ('' ); repeated rows are
 treated each; page ids may be null; unclosed and crossed elements are read as browsers do in outline (an end tag closes
@@ -26,10 +28,11 @@ import re
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakewarden.llm.common import pieces, texts_of
+from lakewarden.llm.common import pieces, stored, texts_of
 
 #: Tokens of a repeated run.
 RUN = 6
@@ -192,19 +195,44 @@ def suffix_order(ids: np.ndarray, length: int) -> np.ndarray:
     return rank
 
 
-def host_boilerplate(pages: list[tuple[list[str], list[bool], list[str]]], run: int = RUN) -> list[list[bool]]:
-    """For each page, whether each text block is boilerplate of the host."""
+def counted_blocks(text: list[str], loose: list[bool], other: list[str]) -> list[tuple[str, bool]]:
+    """The blocks of a page in the order of its stream of tokens, and whether they are in it."""
+    return [*zip(text, loose, strict=True), *((o, True) for o in other)]
+
+
+def window_digests(words: list[str], host: str, run: int = RUN) -> np.ndarray:
+    """A digest of host and tokens for every window of `run` tokens of a page's stream."""
+    n = len(words) - run + 1
+    if n < 1:
+        return np.zeros(0, np.uint64)
+    h = np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
+    out = np.full(n, xxhash.xxh64_intdigest(host), np.uint64)
+    for i in range(run):
+        out = (out ^ h[i : n + i]) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(32)
+    return out
+
+
+def host_boilerplate(pages: list[tuple[list[str], list[bool], list[str]]], run: int = RUN, host: str = "", elsewhere: np.ndarray | None = None) -> list[list[bool]]:
+    """For each page, whether each text block is boilerplate of the host.
+
+    `elsewhere` are digests of windows that are on two or more pages of the host, in whichever shards.
+    """
     names: dict[str, int] = {}
     same: dict[tuple, int] = {}
-    ids, page_of, spans = [], [], []
+    ids, page_of, spans, known = [], [], [], []
     stop = -1
     for text, loose, other in pages:
-        page, own = same.setdefault(tuple(text), len(same)), []
-        for block, counts in [*zip(text, loose, strict=True), *((o, True) for o in other)]:
+        page, own, first = same.setdefault(tuple(text), len(same)), [], len(ids)
+        words: list[str] = []
+        for block, counts in counted_blocks(text, loose, other):
             start = len(ids)
             if counts:
+                words += block.split()
                 ids += [names.setdefault(w, len(names)) for w in block.split()]
             own.append((start, len(ids)))
+        if elsewhere is not None and len(elsewhere):
+            known.append(first + np.flatnonzero(np.isin(window_digests(words, host, run), elsewhere)))
         # nothing runs on from one page into another
         ids.append(stop)
         page_of += [page] * (len(ids) - len(page_of))
@@ -219,7 +247,7 @@ def host_boilerplate(pages: list[tuple[list[str], list[bool], list[str]]], run:
     starts = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
     # a run with a stop in it occurs once, so it is never on two pages
     repeated = np.minimum.reduceat(page_of[order], starts) != np.maximum.reduceat(page_of[order], starts)
-    at = order[np.repeat(repeated, np.diff(np.append(starts, len(ids))))]
+    at = np.unique(np.concatenate([order[np.repeat(repeated, np.diff(np.append(starts, len(ids))))], *known]))
     edge = np.zeros(len(ids) + run + 1, np.int64)
     np.add.at(edge, at, 1)
     np.add.at(edge, at + run, -1)
@@ -247,25 +275,61 @@ def parse(pages: DataFrame) -> DataFrame:
                 names=["page_id", "url", "host", "text", "loose", "other"],
             )
 
-    host = F.lower(F.coalesce(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1), F.lit("")))
+    host = host_of(F.col("url"))
     return pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), host.alias("host"), F.col("html").cast("string").alias("html")).mapInArrow(read, PARSED)
 
 
+def host_of(url: Column) -> Column:
+    return F.lower(F.coalesce(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1), F.lit("")))
+
+
+def windows(dealt: DataFrame) -> DataFrame:
+    """(host, shard, digest, least, largest): the windows of a batch's pages, and the least and largest key of pages that have them."""
+
+    def read(batches):
+        for batch in batches:
+            digests, keys, shards, hosts = [], [], [], []
+            for text, loose, other, host, shard in zip(*(batch.column(c).to_pylist() for c in ("text", "loose", "other", "host", "shard")), strict=True):
+                words = [w for block, counts in counted_blocks(text, loose, other) if counts for w in block.split()]
+                own = np.unique(window_digests(words, host))
+                digests.append(own.astype(np.int64))
+                keys.append(np.full(len(own), xxhash.xxh64_intdigest("\n".join(text)), np.uint64).astype(np.int64))
+                shards.append(np.full(len(own), shard, np.int64))
+                hosts += [host] * len(own)
+            if digests:
+                key = pa.array(np.concatenate(keys))
+                made = [pa.array(hosts, pa.string()), pa.array(np.concatenate(shards)), pa.array(np.concatenate(digests)), key, key]
+                yield pa.RecordBatch.from_arrays(made, names=["host", "shard", "digest", "least", "largest"])
+
+    return dealt.mapInArrow(read, "host string, shard long, digest long, least long, largest long")
+
+
+def repeated_windows(dealt: DataFrame) -> DataFrame:
+    """(host, shard, digest) of the windows that two or more distinct pages of a host have, for each shard that has them."""
+    every = windows(dealt)
+    twice = every.groupBy(F.col("digest").alias("d")).agg(F.min("least").alias("least"), F.max("largest").alias("largest")).filter("least <> largest").select("d")
+    return every.select("host", "shard", "digest").distinct().join(twice, F.col("digest") == F.col("d"), "left_semi")
+
+
 def main_text(pages: DataFrame, per_shard: int = PAGES) -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
-    parsed = parse(pages)
-    host = F.lower(F.coalesce(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1), F.lit("")))
-    large = pages.groupBy(host.alias("large")).agg(F.count("*").alias("pages")).filter(F.col("pages") > per_shard)
+    host = host_of(F.col("url"))
+    # as a table its size is known, so that pages are not shuffled to meet a few hosts
+    large = stored(pages.groupBy(host.alias("large")).agg(F.count("*").alias("pages")).filter(F.col("pages") > per_shard), "page-hosts")
     shards = F.coalesce(F.ceil(F.col("pages") / per_shard), F.lit(1))
-    dealt = parsed.join(large, parsed["host"] == large["large"], "left").withColumn("shard", F.pmod(F.xxhash64("page_id", "url"), shards)).drop("large", "pages")
+    shard = F.pmod(F.xxhash64("page_id", "url"), shards)
+    dealt = parse(pages).join(large, F.col("host") == F.col("large"), "left").withColumn("shard", shard).drop("large", "pages")
+    # a host of one shard needs no digests
+    of_large = parse(pages.join(large, host == F.col("large"), "left_semi")).join(large, F.col("host") == F.col("large")).withColumn("shard", shard)
+    across = repeated_windows(of_large.select("host", "shard", "text", "loose", "other"))
 
-    def unique(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+    def unique(key: tuple, group: pd.DataFrame, elsewhere: pd.DataFrame) -> pd.DataFrame:
         pages = [(list(t), list(x), list(o)) for t, x, o in zip(group["text"], group["loose"], group["other"], strict=True)]
-        gone = host_boilerplate(pages)
+        gone = host_boilerplate(pages, host=key[0], elsewhere=elsewhere["digest"].to_numpy(np.int64).view(np.uint64))
         text = ["\n".join(t for t, g in zip(p[0], g, strict=True) if not g) for p, g in zip(pages, gone, strict=True)]
         return pd.DataFrame({"page_id": group["page_id"].astype("Int64"), "url": group["url"], "text": text, "n_chars": [len(t) for t in text]})
 
-    return dealt.groupBy("host", "shard").applyInPandas(unique, RESULT)
+    return dealt.groupBy("host", "shard").cogroup(across.groupBy("host", "shard")).applyInPandas(unique, RESULT)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -65,5 +65,19 @@ def test_boilerplate_of_a_host(spark, rows):
     assert got.count() == len(pages) and all(r["n_chars"] == len(r["text"]) for r in got.collect())
 
 
+def test_runs_are_found_across_shards(spark, rows):
+    """A page's text does not depend on the number of shards: a notice on two pages of many goes, wherever they are."""
+    own = lambda i: f"<div>{' '.join(f'w{i}x{j}' for j in range(9))}</div>"
+    notice = "<div>this rare notice stands on two pages only</div>"
+    pages = [(i, f"http://a.example/{i}", own(i) + (notice if i in (3, 17) else "") + "<div>home news sport weather about us contact</div>") for i in range(20)]
+    pages += [(30 + i, "http://b.example/", own(30 + i) + "<div>home news sport weather about us contact</div>" * (i == 0)) for i in range(3)]
+    pages += [(40, "http://a.example/40", "<div>equal pages are one and keep their text</div>"), (41, "http://a.example/41", "<div>equal pages are one and keep their text</div>")]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    whole, dealt = (rows(html_text.main_text(frame, per_shard=n)) for n in (64, 1))
+    assert whole == dealt
+    text = {r[0]: r[2] for r in dealt}
+    assert text[3] == " ".join(f"w3x{j}" for j in range(9)) and text[30].endswith("contact") and text[40].startswith("equal")
+
+
 def test_no_pages(spark):
     assert html_text.main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
