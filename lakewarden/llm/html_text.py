@@ -1,14 +1,15 @@
 """Main text of web pages: blocks of the article, and boilerplate of a host found with a suffix array.
 
 A page is read into blocks. Containers that are not the article (menus, headers, footers, sidebars, notices, adverts, forms,
-scripts, styles, comments) are furniture: by element name, or by a word of their class, id or role. The rest is text: what
-stands in `article`, `main` or role=main where a page has one, else all of the body.
+scripts, styles, comments) are furniture: by element name, or by a whole name of their class, id or role. The rest is text: what
+stands in `article`, `main` or role=main where a page has one, else all of the body. Articles are never furniture by a name,
+headings neither, and what stands around a page's only article does not make it furniture by a name.
 
 The pages of a host are then put together as one stream of tokens with a suffix array over it, sorted by their first
 `RUN` tokens by rank doubling. Neighbours that agree on so many tokens are a repeated run; one that is on two or more
 distinct pages of the host is boilerplate, and loose blocks that it covers wholly are removed, so the unique runs remain.
 Loose are all blocks of a page without an article element, and in an article those outside of paragraphs, headings,
-quotes, tables and the like, as a notice without a mark is. Paragraphs and headings of an article stay, also when other
+quotes, tables, list items of `RUN` tokens or more and the like, as a notice without a mark is. Paragraphs and headings of an article stay, also when other
 pages repeat them: a quotation or a copied article is main text. Pages of equal text count as one page.
 
 A host's pages are dealt by page to shards of about `PAGES`, so one large host is many tasks. Runs that pages of different
@@ -52,29 +53,56 @@ MARKS = frozenset(
     "footer notice notices cookie cookies consent gdpr popup modal overlay newsletter subscribe subscription signup share sharing social related recommended comment comments "
     "reply replies disqus respond alert masthead topbar toolbar widget pagination pager complementary contentinfo search".split()
 )
+#: Compounds that name furniture: a mark between one of the first and one of the last, each left out or not.
+COMPOUND = frozenset("site page main top bottom left right primary secondary global social cookie nav navigation menu footer ad ads".split())
+COMPOUND_END = frozenset("box bar banner container wrapper block slot unit area list section form links buttons menu nav posts articles items content inner header footer consent notice".split())
 MAIN = frozenset(["article", "main"])
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre table caption th td dl dt dd figcaption summary".split())
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
-_MARK = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-_HIDDEN = re.compile(r"""(?:\bhidden\b(?!\s*=\s*["']?false)|\baria-hidden\s*=\s*["']?true|display\s*:\s*none)""", re.I)
-_QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
+_ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+_NOT_SHOWN = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 
 
-def _is_furniture(tag: str, attributes: str) -> bool:
-    if tag in FURNITURE:
+def _attributes(text: str) -> dict[str, str]:
+    found: dict[str, str] = {}
+    for name, a, b, c in _ATTRIBUTE.findall(text):
+        found.setdefault(name.lower(), a or b or c)
+    return found
+
+
+def _is_mark(name: str) -> bool:
+    if name in MARKS:
         return True
+    parts = re.split(r"[-_:]+", name)
+    for i, part in enumerate(parts):
+        if part in MARKS and (len(parts) == 1 or all(p in COMPOUND or p in MARKS for p in parts[:i]) and all(p in COMPOUND_END or p in MARKS for p in parts[i + 1 :])):
+            return True
+    return False
+
+
+def _is_hidden(own: dict[str, str]) -> bool:
+    return own.get("hidden", "false").lower() != "false" or own.get("aria-hidden", "").lower() == "true" or bool(_NOT_SHOWN.search(own.get("style", "")))
+
+
+def _is_furniture(tag: str, attributes: str) -> tuple[bool, bool]:
+    """Whether an element is furniture, and whether only by the names that it has."""
+    if tag in FURNITURE:
+        return True, False
     if not attributes or tag in ("html", "body"):
-        return False
-    for _, a, b, c in _MARK.findall(attributes):
-        for name in (a or b or c).lower().split():
-            if name in MARKS or any(p in MARKS for p in re.split(r"[-_:]+", name)):
-                return True
-    return bool("hidden" in attributes.lower() or "display" in attributes.lower()) and bool(_HIDDEN.search(attributes.replace('"hidden"', "")))
+        return False, False
+    own = _attributes(attributes)
+    if _is_hidden(own):
+        return True, False
+    if tag in HEADINGS or _is_main(tag, attributes):
+        return False, False
+    named = any(_is_mark(name) for key in ("class", "id", "role") for name in own.get(key, "").lower().split())
+    return named, named
 
 
 def _is_main(tag: str, attributes: str) -> bool:
-    return tag in MAIN or ("role" in attributes and any(k.lower() == "role" and (a or b or c).lower() == "main" for k, a, b, c in _MARK.findall(attributes)))
+    return tag in MAIN or ("role" in attributes.lower() and _attributes(attributes).get("role", "").lower() == "main")
 
 
 def blocks(page: str) -> tuple[list[str], list[bool], list[str]]:
@@ -82,25 +110,28 @@ def blocks(page: str) -> tuple[list[str], list[bool], list[str]]:
 
     Text blocks are those inside article elements if there are any, else those of the body.
     """
-    open_tags: list[tuple[str, bool, bool]] = []  # name, furniture, main
-    out: list[tuple[str, bool, bool, bool]] = []
+    open_tags: list[tuple[str, bool, bool, bool]] = []  # name, furniture, main, furniture by a name around the article
+    out: list[tuple[str, bool, bool, bool, bool]] = []
     run: list[str] = []
-    furniture = inside = 0
+    furniture = inside = around = 0
     has_main = False
+    wrapped = 0  # articles that only names of what is around them make furniture
 
     def flush() -> None:
         if run:
             text = " ".join(html.unescape("".join(run)).split())
             if text:
-                out.append((text, furniture > 0, inside > 0, not any(t in PROSE for t, _, _ in open_tags)))
+                item = inside > 0 and len(text.split()) >= RUN and any(t[0] == "li" for t in open_tags)
+                out.append((text, furniture > 0, around > 0, inside > 0, not item and not any(t[0] in PROSE for t in open_tags)))
             run.clear()
 
     def close(upto: int) -> None:
-        nonlocal furniture, inside
+        nonlocal furniture, inside, around
         while len(open_tags) > upto:
-            _, f, m = open_tags.pop()
+            _, f, m, a = open_tags.pop()
             furniture -= f
             inside -= m
+            around -= a
 
     at, end = 0, len(page)
     while at < end:
@@ -117,7 +148,7 @@ def blocks(page: str) -> tuple[list[str], list[bool], list[str]]:
         if tag[1]:
             for i in range(len(open_tags) - 1, -1, -1):
                 if open_tags[i][0] == name:
-                    if name in BLOCK or any(t in BLOCK or f for t, f, _ in open_tags[i:]):
+                    if name in BLOCK or any(t in BLOCK or f or a for t, f, _, a in open_tags[i:]):
                         flush()
                     close(i)
                     break
@@ -131,7 +162,8 @@ def blocks(page: str) -> tuple[list[str], list[bool], list[str]]:
             elif name == "br":
                 run.append(" ")
             continue
-        f, m = _is_furniture(name, tag[3]), _is_main(name, tag[3])
+        (f, named), m = _is_furniture(name, tag[3]), _is_main(name, tag[3])
+        a = named and not inside
         if name in BLOCK or f or m:
             flush()
         if name in BLOCK:
@@ -155,16 +187,22 @@ def blocks(page: str) -> tuple[list[str], list[bool], list[str]]:
             if name in ("noscript", "textarea", "title") and stop:
                 text = " ".join(html.unescape(re.sub(r"<[^>]*>", " ", page[at : stop.start()])).split())
                 if text:
-                    out.append((text, True, inside > 0, True))
+                    out.append((text, True, False, inside > 0, True))
             at = stop.end() if stop else end
             continue
-        has_main |= m and not furniture and not f
-        open_tags.append((name, f, m))
+        f = f and not a
+        has_main |= m and not furniture and not around and not f
+        wrapped += m and not furniture and around > 0 and not inside and not f
+        open_tags.append((name, f, m, a))
         furniture += f
         inside += m
+        around += a
     flush()
-    text = [(t, loose or not has_main) for t, f, m, loose in out if not f and (m or not has_main)]
-    return [t for t, _ in text], [x for _, x in text], [t for t, f, m, _ in out if f or (has_main and not m)]
+    only = not has_main and wrapped == 1
+    has_main |= only
+    marked = [(t, f or (a and not (only and m)), m, loose) for t, f, a, m, loose in out]
+    text = [(t, loose or not has_main) for t, f, m, loose in marked if not f and (m or not has_main)]
+    return [t for t, _ in text], [x for _, x in text], [t for t, f, m, _ in marked if f or (has_main and not m)]
 
 
 def suffix_order(ids: np.ndarray, length: int) -> np.ndarray:

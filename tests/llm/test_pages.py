@@ -40,6 +40,29 @@ def test_odd_markup(page, want):
     assert html_text.blocks(page)[0] == want
 
 
+@pytest.mark.parametrize(
+    "page,want",
+    [
+        ("<main class='has-sidebar'><p>x</main><div class='sidebar'>s</div>", ["x"]),
+        ("<article class='post category-search'><h1 class='entry-header'>T</h1><p>x</article>", ["T", "x"]),
+        ("<article class=search><h2 class=header>T</h2><p>x</article>", ["T", "x"]),
+        ("<div class='widget'>side<article><p>x<div class=share>no</div></article></div><p>y", ["x"]),
+        ("<div class='related'><article>teaser</article></div><article>x</article>", ["x"]),
+        ("<div style='overflow:hidden'>a</div><p class='no-hidden'>b</p><p class='hidden'>c</p><p data-id=menu>d</p>", ["a", "b", "c", "d"]),
+        ("<article hidden>no</article><p aria-hidden=true>no</p><p style='color:red; display: none'>no</p>yes", ["yes"]),
+        ("<div class='site-header'>no</div><div id=main-menu>no</div><div class='cookie-banner'>no</div><div class='comment-list'>no</div>yes", ["yes"]),
+    ],
+)
+def test_article_text_is_not_furniture(page, want):
+    assert html_text.blocks(page)[0] == want
+
+
+def test_long_items_of_an_article_stay():
+    item = "stir the sauce until it is thick"
+    assert html_text.blocks(f"<article><ul><li>{item}</li></ul><div>{item}</div></article>")[1] == [False, True]
+    assert html_text.blocks(f"<ul><li>{item}</li></ul>")[1] == [True]
+
+
 @pytest.mark.parametrize("seed", range(40))
 def test_ranks_by_prefix(seed):
     r = np.random.default_rng(seed)
