@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from lakewarden.llm import html_text, line_quality, lm_scoring, mixing, nearest, packing, pii, quality_rules, repeated_text, shingle_join
+from lakewarden.llm import (
+    filter_audit,
+    html_text,
+    lexical_search,
+    line_quality,
+    lm_scoring,
+    mixing,
+    nearest,
+    packing,
+    pii,
+    quality_rules,
+    repeated_text,
+    shingle_join,
+    swap_packing,
+)
 
 QUERIES = {
     "op1_pii": pii.query,
@@ -15,8 +29,13 @@ QUERIES = {
     "op8_mixing": mixing.query,
     "op9_shingle_join": shingle_join.query,
     "op10_html_text": html_text.query,
+    "op11_filter_audit": filter_audit.query,
+    "op12_swap_packing": swap_packing.query,
+    "op13_lexical_search": lexical_search.query,
 }
 ORACLES = {
     "op7_quality_rules": quality_rules.SQL,
     "op8_mixing": mixing.SQL,
+    "op11_filter_audit": filter_audit.SQL,
+    "op13_lexical_search": lexical_search.SQL,
 }
