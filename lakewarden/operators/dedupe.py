@@ -54,20 +54,24 @@ def mark_duplicates(
         first = keyed.groupBy(key).agg(F.min(F.struct("__at", tie)).alias("f"))
         accepted = first.select(F.col(f"f.{tie}").alias("__ok"))
     else:
-        ttl_us = ttl_seconds * 1_000_000
-        instants = keyed.groupBy(key, "__at").agg(F.min(tie).alias(tie))
-        spans = instants.groupBy(key).agg(
-            F.min(F.struct("__at", tie)).alias("f"),
-            F.max("__at").alias("last"),
-            F.count(F.lit(1)).alias("__n"),
-        )
-        whole = F.col("last") - F.col("f.__at")
-        short = (whole <= ttl_us) if strict else (whole < ttl_us)
-        settled = spans.where(short).select(F.col(f"f.{tie}").alias("__ok"))
-        lasting = instants.join(spans.where(~short).select(key, "__n"), key)
-        chain = chain_anchors(lasting, [key], "__at", "__n", ttl_us, strict=strict)
-        followed = chain.where(F.col("__at") == F.col("anchor")).select(F.col(tie).alias("__ok"))
-        accepted = settled.unionByName(followed)
+        accepted = accepted_in_time(keyed, key, tie, ttl_seconds * 1_000_000, strict)
     flagged = deliveries.join(accepted, F.col(tie) == F.col("__ok"), "left")
     duplicate = F.col(key).isNotNull() & F.col("__ok").isNull()
     return flagged.select(*deliveries.columns, duplicate.alias("is_duplicate"))
+
+
+def accepted_in_time(keyed: DataFrame, key: str, tie: str, ttl_us: int, strict: bool) -> DataFrame:
+    """`__ok`, the ties of accepted rows of `(key, __at, tie)`, times in microseconds."""
+    instants = keyed.groupBy(key, "__at").agg(F.min(tie).alias(tie))
+    spans = instants.groupBy(key).agg(
+        F.min(F.struct("__at", tie)).alias("f"),
+        F.max("__at").alias("last"),
+        F.count(F.lit(1)).alias("__n"),
+    )
+    whole = F.col("last") - F.col("f.__at")
+    short = (whole <= ttl_us) if strict else (whole < ttl_us)
+    settled = spans.where(short).select(F.col(f"f.{tie}").alias("__ok"))
+    lasting = instants.join(spans.where(~short).select(key, "__n"), key)
+    chain = chain_anchors(lasting, [key], "__at", "__n", ttl_us, strict=strict)
+    followed = chain.where(F.col("__at") == F.col("anchor")).select(F.col(tie).alias("__ok"))
+    return settled.unionByName(followed)

@@ -16,6 +16,7 @@ from lakewarden.functions.crypto import key_table
 from lakewarden.operators.cdc_apply import activity_windows, apply_changes
 from lakewarden.operators.dedupe import mark_duplicates
 from lakewarden.operators.rate_limit import limit_calls
+from lakewarden.operators.replay import mark_joint_replays
 from lakewarden.operators.routing import (
     affected_tables,
     policy_events,
@@ -557,6 +558,46 @@ def ticket_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _two_key_deliveries(d) -> str:
+    """Deliveries with an event key, a signature key or both; keys of a user cross each other."""
+    user = "CAST(user_id AS STRING)"
+    return f"""
+      SELECT event_id, user_id, {d.micros("ts")} AS received_us,
+        CASE WHEN event_type <> 'error' THEN {user} || ':' || event_type END AS event_key,
+        CASE WHEN value < 40 THEN {user} || ':' || CAST(event_id % 3 AS STRING) END AS signature_key
+      FROM {d.table("events")}"""
+
+
+_REPLAY_SECONDS = 259_200
+
+
+@query(
+    f"""
+    WITH RECURSIVE src AS (
+      SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY received_us, event_id) AS n
+      FROM ({_two_key_deliveries(PLAIN)}) d),
+    -- one delivery after the other; `held` has the keys taken so far with the time they are free again
+    walk AS (
+      SELECT user_id, 0::BIGINT AS n, NULL::BIGINT AS event_id, false AS accepted,
+        []::STRUCT(k VARCHAR, free BIGINT)[] AS held
+      FROM src GROUP BY user_id
+      UNION ALL
+      SELECT w.user_id, s.n, s.event_id, x.ok,
+        CASE WHEN x.ok THEN list_concat(w.held, list_filter([
+            {{'k': 'e' || s.event_key, 'free': s.received_us + {_REPLAY_SECONDS}000000}},
+            {{'k': 's' || s.signature_key, 'free': s.received_us + {_REPLAY_SECONDS}000000}}],
+            lambda h: h.k IS NOT NULL)) ELSE w.held END
+      FROM walk w JOIN src s ON s.user_id = w.user_id AND s.n = w.n + 1,
+      LATERAL (SELECT len(list_filter(w.held, lambda h: h.free > s.received_us
+        AND (h.k = 'e' || s.event_key OR h.k = 's' || s.signature_key))) = 0 AS ok) x)
+    SELECT event_id, NOT accepted AS is_duplicate FROM walk WHERE n > 0"""
+)
+def joint_replays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = derive(spark, sf_dir, _two_key_deliveries(SPARK)).withColumn("received_at", _at("received_us"))
+    marked = mark_joint_replays(raw, "event_key", "signature_key", "received_at", "event_id", _REPLAY_SECONDS)
+    return marked.select("event_id", "is_duplicate")
+
+
 # --- rate limit and triage
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lakewarden.fixed_values import EVENT_DEDUPE_SECONDS
 from lakewarden.operators.dedupe import dedupe_key, mark_duplicates
 from lakewarden.operators.rate_limit import limit_calls
+from lakewarden.operators.replay import mark_joint_replays
 from lakewarden.operators.routing import (
     affected_tables,
     delivery_status,
@@ -95,6 +96,8 @@ def process_ticket_events(
 ) -> DataFrame:
     """Outcome of every ticket delivery; replays by event id or signature have no effect.
 
+    A delivery counts only if both of its keys are free, and takes both or none.
+
     Deliveries that cannot take effect are sorted out before replays are looked for, so a
     failed one may be sent again. The bound deliveries are stored once without payload.
     """
@@ -117,20 +120,16 @@ def process_ticket_events(
             "reject_reason",
         )
     )
-    for key in ("replay_event", "replay_signature"):
-        usable = F.when(F.col("reject_reason").isNull(), F.col(key))
-        marked = mark_duplicates(
-            bound.withColumn("__key", usable),
-            "__key",
-            "received_at",
-            delivery_id,
-            ttl_seconds,
-            strict=False,  # a ticket event counts again at exactly the end of its time to live
-        )
-        replay = F.when(F.col("is_duplicate"), F.lit("REPLAY"))
-        bound = marked.withColumn("reject_reason", F.coalesce("reject_reason", replay)).drop(
-            "__key", "is_duplicate"
-        )
+    usable = F.col("reject_reason").isNull()
+    keyed = bound.withColumns({f"__{k}": F.when(usable, F.col(k)) for k in ("replay_event", "replay_signature")})
+    # a ticket event counts again at exactly the end of its time to live
+    marked = mark_joint_replays(
+        keyed, "__replay_event", "__replay_signature", "received_at", delivery_id, ttl_seconds, strict=False
+    )
+    replay = F.when(F.col("is_duplicate"), F.lit("REPLAY"))
+    bound = marked.withColumn("reject_reason", F.coalesce("reject_reason", replay)).drop(
+        "__replay_event", "__replay_signature", "is_duplicate"
+    )
     return decide_requests(bound, delivery_id)
 
 
