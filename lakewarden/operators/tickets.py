@@ -172,6 +172,29 @@ def bind_requests(checked: DataFrame, instances: DataFrame, requests: DataFrame)
     )
 
 
+def bound_status_changes(
+    deliveries: DataFrame, keys: DataFrame, instances: DataFrame, requests: DataFrame, delivery_id: str
+) -> DataFrame:
+    """Checked and bound deliveries with their replay keys, without payload, as batch or stream."""
+    checked = replay_keys(check_status_changes(parse_status_changes(deliveries), keys))
+    return bind_requests(checked.drop("payload", "signature"), instances, requests).select(
+        delivery_id,
+        "received_at",
+        "replay_event",
+        "replay_signature",
+        "tenant_id",
+        "request_id",
+        "request_status",
+        "ticket_id",
+        "instance_id",
+        "action",
+        "reason",
+        "system",
+        "approver",
+        "reject_reason",
+    )
+
+
 def decide_requests(bound: DataFrame, delivery_id: str) -> DataFrame:
     """Outcome of every delivery and the new state of the request it changes.
 

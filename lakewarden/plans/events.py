@@ -16,13 +16,7 @@ from lakewarden.operators.routing import (
     invalidations,
     with_parsed_payload,
 )
-from lakewarden.operators.tickets import (
-    bind_requests,
-    check_status_changes,
-    decide_requests,
-    parse_status_changes,
-    replay_keys,
-)
+from lakewarden.operators.tickets import bound_status_changes, decide_requests
 from lakewarden.operators.triage import triage
 from lakewarden.operators.verify import rejection, verify_timestamped
 from lakewarden.session import checkpoint
@@ -101,25 +95,7 @@ def process_ticket_events(
     Deliveries that cannot take effect are sorted out before replays are looked for, so a
     failed one may be sent again. The bound deliveries are stored once without payload.
     """
-    checked = replay_keys(check_status_changes(parse_status_changes(deliveries), keys))
-    bound = checkpoint(
-        bind_requests(checked.drop("payload", "signature"), instances, requests).select(
-            delivery_id,
-            "received_at",
-            "replay_event",
-            "replay_signature",
-            "tenant_id",
-            "request_id",
-            "request_status",
-            "ticket_id",
-            "instance_id",
-            "action",
-            "reason",
-            "system",
-            "approver",
-            "reject_reason",
-        )
-    )
+    bound = checkpoint(bound_status_changes(deliveries, keys, instances, requests, delivery_id))
     usable = F.col("reject_reason").isNull()
     keyed = bound.withColumns({f"__{k}": F.when(usable, F.col(k)) for k in ("replay_event", "replay_signature")})
     # a ticket event counts again at exactly the end of its time to live

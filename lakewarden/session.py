@@ -22,6 +22,8 @@ def build_session(app: str = "lakewarden", master: str | None = None, **conf: st
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        # keyed streams keep rows of hot keys in the state store, so it has to be on disk
+        "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }
     defaults.update({k.replace("__", "."): v for k, v in conf.items()})
     for key, value in defaults.items():

@@ -10,17 +10,18 @@ from lakewarden.operators.dedupe import dedupe_key
 from lakewarden.operators.routing import affected_tables, with_parsed_payload
 from lakewarden.operators.tickets import check_status_changes, parse_status_changes, replay_keys
 from lakewarden.operators.verify import rejection, verify_timestamped
+from lakewarden.streaming.ordered import first_in_time, in_time_order
 
 
-def first_deliveries(accepted: DataFrame, key: str, ttl_seconds: int) -> DataFrame:
-    """One delivery per key within the time to live, by receive time.
+def first_deliveries(accepted: DataFrame, key: str, ttl_seconds: int, strict: bool = True) -> DataFrame:
+    """One delivery per key and time to live, by receive time, as `mark_duplicates` has it.
 
-    State holds the keys of one time to live only. De-duplication comes after the checks, so a
-    rejected delivery can be sent again.
+    State is the time of the last accepted delivery of a key, forgotten by a timer. A delivery
+    that comes again after its time to live counts again. De-duplication comes after the checks,
+    so a rejected delivery can be sent again.
     """
-    return accepted.withWatermark("received_at", f"{ttl_seconds} seconds").dropDuplicatesWithinWatermark(
-        [key]
-    )
+    step = first_in_time(ttl_seconds * 1_000_000, "received_at", strict)
+    return in_time_order(accepted, key, "received_at", step, "allowed bigint", accepted.schema)
 
 
 def catalog_event_stream(
@@ -56,11 +57,10 @@ def epoch_stream(invalidated: DataFrame, width: str = "1 minute") -> DataFrame:
 def ticket_event_stream(
     deliveries: DataFrame, keys: DataFrame, ttl_seconds: int = EVENT_DEDUPE_SECONDS
 ) -> DataFrame:
-    """Checked status changes of a stream, each signature once.
+    """Checked status changes of a stream, each signature once, without requests.
 
-    Joining them with the requests (`bind_requests`, `decide_requests`) belongs in `foreachBatch`, where the
-    transition and the request table change together.
+    `streaming.tickets` also binds and decides them.
     """
     checked = replay_keys(check_status_changes(parse_status_changes(deliveries), keys))
     accepted = checked.where(F.col("reject_reason").isNull())
-    return first_deliveries(accepted, "replay_signature", ttl_seconds)
+    return first_deliveries(accepted, "replay_signature", ttl_seconds, strict=False)

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from lakewarden.fixed_values import BUCKET_SECONDS, BUCKET_TOKENS
 from lakewarden.operators.rate_limit import refill
 from lakewarden.operators.triage import triage
+from lakewarden.streaming.ordered import in_time_order
 
 
 def limit_stream(
@@ -19,29 +19,27 @@ def limit_stream(
     at: str,
     size: int = BUCKET_TOKENS,
     seconds: int = BUCKET_SECONDS,
+    late: str = "1 day",
+    chunk_seconds: int = 60,
 ) -> DataFrame:
     """Adds `is_limited`. A caller's state is its tokens and refill clock.
 
-    A caller's calls of one micro-batch are taken in time order, however they are cut into Arrow
-    batches; a call older than the refill clock finds the bucket as it is.
+    A caller's calls are taken in time order, one time chunk after the other, so a caller with
+    very many calls takes no more memory. A call older than the refill clock finds the bucket as
+    it is. A bucket that has filled up again is forgotten.
     """
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in calls.schema)
 
-    def step(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        held = state.get if state.exists else None
-        pdf = pd.concat(list(batches), ignore_index=True).sort_values(at, kind="stable")
+    def step(held: tuple | None, pdf: pd.DataFrame) -> tuple[tuple, pd.DataFrame, int]:
         flags = []
-        for now in pdf[at].astype("datetime64[us]").astype("int64"):
-            tokens, last = held if held else (size, int(now))
-            tokens, last = refill(tokens, last, int(now), size, seconds)
+        for now in pdf[at].astype("datetime64[us]").astype("int64").tolist():
+            tokens, last = held if held else (size, now)
+            tokens, last = refill(tokens, last, now, size, seconds)
             flags.append(tokens < 1)
             held = (max(tokens - 1, 0), last)
-        yield pdf.assign(is_limited=flags)
-        state.update(held)
+        return held, pdf.assign(is_limited=flags), held[1] + seconds * 1_000_000
 
-    return calls.groupBy(caller).applyInPandasWithState(
-        step, f"{fields}, is_limited boolean", "tokens int, last bigint", "append", "NoTimeout"
-    )
+    schema = StructType([*calls.schema.fields, StructField("is_limited", BooleanType())])
+    return in_time_order(calls, caller, at, step, "tokens int, last bigint", schema, late=late, chunk_seconds=chunk_seconds)
 
 
 def triage_stream(requests: DataFrame, caller: str, at: str, text: str, **options) -> DataFrame:
