@@ -12,104 +12,22 @@ length are ordered by (document id, start, checksum); an empty table gives no ro
 
 from __future__ import annotations
 
-import os
-import re
 import zlib
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakewarden.llm.common import pieces, stored, texts_of
+from lakewarden.llm.common import pieces, stored
+from lakewarden.llm.word_ids import WordIds
 
 CAPACITY = 2048
 END_ID = 1
 #: Pieces per bucket when ranks are counted.
 BUCKET = 20_000
-#: Words whose ids a worker remembers at a time.
-REMEMBERED = 800_000
-#: Signs that end words, and the end of the Latin letters, whose lower case has no exceptions.
-SIGNS = ".,;:!?#$%&*+=|~^-"
-LATIN_END = "\u0250"
-_ODD_SPACE = re.compile("[\x1c-\x1f\x85]")
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _CACHES: dict[str, WordIds] = {}
 
-
-class WordIds:
-    """Token ids of white-space separated words; the tokenizer drops white space, so a text's ids are those of its words."""
-
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.forget()
-
-    def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.flat = np.zeros(1 << 16, np.uint32)
-        self.start = np.zeros(1 << 16, np.int64)
-        self.used = 0
-
-    def learn(self, words: list[str]) -> None:
-        """Ids of new words. Letters, in lower case, and the signs after them are tokens apart, so they are looked up apart."""
-        parts = {}
-        for w in words:
-            core = w.rstrip(SIGNS)
-            if core.isalpha() and max(core) < LATIN_END:
-                low = core.lower()
-                if low != w and low.isalpha():
-                    parts[w] = (low, w[len(core) :])
-        whole = {p for pair in parts.values() for p in pair if p}
-        whole.update(w for w in words if w not in parts)
-        new = list(whole.difference(self.known))
-        for at in range(0, len(new), 20_000):
-            some = new[at : at + 20_000]
-            made = [m.ids for m in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
-            self._keep(some, np.fromiter(map(len, made), np.int64, len(made)), np.fromiter(chain.from_iterable(made), np.uint32))
-        if parts:
-            known = self.known
-            both = np.fromiter((known[p] for pair in parts.values() for p in pair if p), np.int64)
-            ids, size = self._ids(both)
-            first = np.cumsum([0, *(1 + bool(tail) for _, tail in parts.values())])[:-1]
-            self._keep(parts, np.add.reduceat(size, first), ids)
-
-    def _ids(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the words of these numbers one after the other, and how many each has."""
-        first, size = self.start[index], self.start[index + 1] - self.start[index]
-        before = np.cumsum(size) - size
-        return self.flat[np.repeat(first - before, size) + np.arange(int(size.sum()))], size
-
-    def _keep(self, words, sizes: np.ndarray, ids: np.ndarray) -> None:
-        n, end = len(self.known), self.used + len(ids)
-        if end > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros(max(end, len(self.flat)), np.uint32)])
-        if n + len(sizes) + 1 > len(self.start):
-            self.start = np.concatenate([self.start, np.zeros(n + len(sizes) + 1, np.int64)])
-        self.flat[self.used : end] = ids
-        self.start[n + 1 : n + 1 + len(sizes)] = self.used + np.cumsum(sizes)
-        self.known.update(zip(words, range(n, n + len(sizes)), strict=True))
-        self.used = end
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts, and each text's number of ids, without end ids."""
-        split = [_WORD.findall(t) if _ODD_SPACE.search(t) else t.split() for t in texts]
-        words = [w for ws in split for w in ws]
-        if len(self.known) > REMEMBERED:
-            self.forget()
-        new = set(words).difference(self.known)
-        if new:
-            self.learn(list(new))
-        index = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        ids, size = self._ids(index)
-        before = np.concatenate([[0], np.cumsum(size)])
-        ends = np.cumsum([len(ws) for ws in split])
-        return ids, np.diff(np.concatenate([[0], before[ends]])) if len(texts) else np.zeros(0, np.int64)
-
-
 PIECE = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64())])
 
 
@@ -119,12 +37,12 @@ def cut(docs: DataFrame, path: str, text: str = "text", capacity: int = CAPACITY
     def tokens(batches):
         words = _CACHES.get(path) or _CACHES.setdefault(path, WordIds(path))
         for batch in pieces(batches):
-            ids, sizes = words.encode(texts_of(batch))
+            ids, sizes = words.encode(batch.column("text"))
+            own = np.insert(ids, np.cumsum(sizes), END_ID).astype("<u4")
             rows, at = [], 0
-            for doc, n in zip(batch.column("doc_id").to_pylist(), sizes.tolist(), strict=True):
-                own = np.append(ids[at : at + n], END_ID).astype("<u4")
+            for doc, n in zip(batch.column("doc_id").to_pylist(), (sizes + 1).tolist(), strict=True):
+                rows += [(doc, s, min(capacity, n - s), zlib.crc32(own[at + s : at + min(n, s + capacity)]), n) for s in range(0, n, capacity)]
                 at += n
-                rows += [(doc, s, min(capacity, n + 1 - s), zlib.crc32(own[s : s + capacity].tobytes()), n + 1) for s in range(0, n + 1, capacity)]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], schema=PIECE)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(tokens, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
