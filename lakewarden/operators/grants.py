@@ -19,6 +19,7 @@ from lakewarden.fixed_values import (
     HIGH_SENSITIVITY,
 )
 from lakewarden.operators.identity import ID
+from lakewarden.session import checkpoint
 
 GRANT_KEY = ["tenant_id", *ID, "grantee_type", "grantee", "effect"]
 
@@ -123,10 +124,14 @@ def role_refs(roles: DataFrame) -> DataFrame:
     )
 
 
-def role_grantees(roles: DataFrame, policies: DataFrame, allowed: Mapping[str, str]) -> DataFrame:
-    """`(grantee_type, grantee, policy_id)` of roles on the allow-list."""
-    rows = [(k.lower(), v.strip()) for k, v in allowed.items() if v and v.strip()]
-    names = roles.sparkSession.createDataFrame(rows, "__role string, grantee string")
+def role_grantees(
+    roles: DataFrame, policies: DataFrame, allowed: Mapping[str, str] | DataFrame
+) -> DataFrame:
+    """`(grantee_type, grantee, policy_id)` of roles on the allow-list, a mapping or `(role, grantee)`."""
+    if not isinstance(allowed, DataFrame):
+        allowed = roles.sparkSession.createDataFrame(list(allowed.items()), "role string, grantee string")
+    names = allowed.select(F.lower("role").alias("__role"), F.btrim("grantee").alias("grantee"))
+    names = names.where(F.coalesce("grantee", F.lit("")) != "")
     refs = role_refs(roles).join(names, F.lower("role_name") == F.col("__role"))
     resolved = resolve_policy_refs(refs.select("grantee", "ref_id", "ref_name"), policies)
     return resolved.select(F.lit("Role").alias("grantee_type"), "grantee", "policy_id")
@@ -226,13 +231,16 @@ def reconcile_grants(
     the smallest id stays; it is found by a combined minimum, never by gathering the copies.
     Both sides of the one comparison join then hold a grant once, so no key is hot in it.
     """
-    at = F.lit(now).cast("timestamp")
-    minutes = 2 * max(1, config.interval_minutes)
-    allow_to = at + F.make_interval(mins=F.lit(minutes))
-    deny_to = at + F.make_interval(days=F.lit(DENY_VALID_DAYS))
-    refresh = at + F.make_interval(days=F.lit(DENY_REFRESH_DAYS))
-    from_time = at - F.make_interval(mins=F.lit(GRANT_BACKDATE_MINUTES))
+    keepers, copies = _held_once(held, managed_tenants, config, now)
+    wanted = effective.select(*GRANT_KEY, F.lit(True).alias("wanted"))
+    return _actions(keepers.join(wanted, GRANT_KEY, "full_outer"), copies, config, now)
+
 
+def _held_once(
+    held: DataFrame, managed_tenants: DataFrame, config: GrantConfig, now: datetime
+) -> tuple[DataFrame, DataFrame]:
+    """Held grants that the sync may touch: each once, and further copies of them."""
+    at = F.lit(now).cast("timestamp")
     scoped = (
         held.where((F.col("marker") == config.marker) & (F.col("valid_to") > at))
         .join(managed_tenants.select("tenant_id").distinct(), "tenant_id", "left_semi")
@@ -240,9 +248,17 @@ def reconcile_grants(
     )
     keepers = scoped.groupBy(*GRANT_KEY).agg(F.min(F.struct("id", "valid_to")).alias("held"))
     copies = scoped.join(keepers.select(F.col("held.id").alias("id")), "id", "left_anti")
-    wanted = effective.select(*GRANT_KEY, F.lit(True).alias("wanted"))
-    compared = keepers.join(wanted, GRANT_KEY, "full_outer")
+    return keepers, copies
+
 
+def _actions(compared: DataFrame, copies: DataFrame, config: GrantConfig, now: datetime) -> DataFrame:
+    """Actions for `(GRANT_KEY, held, wanted)`, and the copies revoked."""
+    at = F.lit(now).cast("timestamp")
+    minutes = 2 * max(1, config.interval_minutes)
+    allow_to = at + F.make_interval(mins=F.lit(minutes))
+    deny_to = at + F.make_interval(days=F.lit(DENY_VALID_DAYS))
+    refresh = at + F.make_interval(days=F.lit(DENY_REFRESH_DAYS))
+    from_time = at - F.make_interval(mins=F.lit(GRANT_BACKDATE_MINUTES))
     refreshed = (F.col("effect") == "Allow") | (F.col("held.valid_to") < refresh)
     action = (
         F.when(F.col("held").isNull(), F.lit("create"))
@@ -271,6 +287,108 @@ def reconcile_grants(
     return decided.unionByName(revoked)
 
 
+def _set_name(*parts: str) -> Column:
+    """Name of a set of distinct rows: its size and two sums of hashes, combined per task, never a list."""
+    sums = [F.sum(F.xxhash64(F.lit(salt), *parts).cast("decimal(38,0)")).cast("string") for salt in (1, 2)]
+    return F.concat_ws(":", F.count(F.lit(1)).cast("string"), *sums)
+
+
+@dataclass(frozen=True)
+class GrantClasses:
+    """Wanted grants, unexpanded: grantees of a class hold the same policies, tables of a class have the same rules.
+
+    `grantees` is `(grantee_type, grantee, gclass)`, `tables` is `(tenant_id, identity, tclass)`, and
+    `pairs` is `(gclass, tclass, effect)`: every grantee of the one wants every table of the other.
+    """
+
+    grantees: DataFrame
+    tables: DataFrame
+    pairs: DataFrame
+
+
+def grant_classes(
+    grantees: DataFrame, rules: DataFrame, tables: DataFrame, grantable: DataFrame, config: GrantConfig
+) -> GrantClasses:
+    """Classes of grantees and of tables, and the pairs of classes that grants are wanted for.
+
+    `rules` are effective rules. Those on the resource `table` hold for all tables, so they are
+    the same for every class and are never joined to tables. Allows count only for grantable
+    tables and with automatic creation on, denies always.
+    """
+    asked = checkpoint(
+        grantees.select("grantee_type", F.upper("grantee").alias("grantee"), "policy_id").distinct()
+    )
+    who = checkpoint(asked.groupBy("grantee_type", "grantee").agg(_set_name("policy_id").alias("gclass")))
+    one = who.groupBy("gclass").agg(F.min(F.struct("grantee_type", "grantee")).alias("r"))
+    policies_of = one.select("gclass", "r.*").join(asked, ["grantee_type", "grantee"]).select("gclass", "policy_id")
+
+    everywhere = F.col("resource") == "table"
+    named = tables.select("tenant_id", *ID).distinct()
+    own = checkpoint(rule_tables(rules.where(~everywhere), named))
+    open_ids = grantable.select(*ID).distinct().withColumn("__open", F.lit(True))
+    sets = own.groupBy("tenant_id", *ID).agg(_set_name("policy_id", "effect").alias("__set"))
+    what = checkpoint(
+        named.join(sets, ["tenant_id", *ID], "left")
+        .join(open_ids, ID, "left")
+        .select(
+            "tenant_id",
+            *ID,
+            F.coalesce("__open", F.lit(False)).alias("__open"),
+            F.concat_ws("|", F.coalesce("__set", F.lit("0")), F.coalesce("__open", F.lit(False)).cast("string")).alias("tclass"),
+        )
+    )
+    first = what.groupBy("tclass", "__open").agg(F.min(F.struct("tenant_id", *ID)).alias("r"))
+    own_rules = first.select("tclass", "__open", "r.*").join(own, ["tenant_id", *ID])
+    common = rules.where(everywhere).select("policy_id", "effect").distinct()
+    classes = first.select("tclass", "__open", F.lit(1).alias("__all"))
+    of_all = classes.join(common.withColumn("__all", F.lit(1)), "__all")
+    rules_of = own_rules.select("tclass", "__open", "policy_id", "effect").unionByName(
+        of_all.select("tclass", "__open", "policy_id", "effect")
+    )
+    counts = (F.col("effect") == "Deny") | (F.col("__open") & F.lit(config.auto_create))
+    pairs = policies_of.join(rules_of.where(counts).distinct(), "policy_id").select("gclass", "tclass", "effect").distinct()
+    return GrantClasses(who, what.drop("__open"), checkpoint(pairs))
+
+
+def expand_classes(classes: GrantClasses, pairs: DataFrame) -> DataFrame:
+    """GRANT_KEY of every grant in these pairs of classes."""
+    return pairs.join(classes.grantees, "gclass").join(classes.tables, "tclass").select(*GRANT_KEY)
+
+
+def reconcile_classes(
+    classes: GrantClasses, held: DataFrame, managed_tenants: DataFrame, config: GrantConfig, now: datetime
+) -> DataFrame:
+    """`reconcile_grants` by classes: the cost follows the held grants and the changes.
+
+    A held grant is wanted if the classes of its grantee and table are a pair. A pair of classes
+    of which as many grants are held as it has members lacks none; only the others are expanded
+    and compared, so nothing grows with grantees times tables but the grants to create.
+    """
+    keepers, copies = _held_once(held, managed_tenants, config, now)
+    placed = checkpoint(
+        keepers.join(classes.grantees, ["grantee_type", "grantee"], "left")
+        .join(classes.tables, ["tenant_id", *ID], "left")
+        .join(classes.pairs.withColumn("wanted", F.lit(True)), ["gclass", "tclass", "effect"], "left")
+    )
+    has = placed.where("wanted").groupBy("gclass", "tclass", "effect").agg(F.count(F.lit(1)).alias("has"))
+    sizes = {
+        name: frame.groupBy(name).agg(F.count(F.lit(1)).alias(f"{name}_n"))
+        for name, frame in (("gclass", classes.grantees), ("tclass", classes.tables))
+    }
+    lacking = (
+        classes.pairs.join(has, ["gclass", "tclass", "effect"], "left")
+        .join(sizes["gclass"], "gclass")
+        .join(sizes["tclass"], "tclass")
+        .where(F.coalesce("has", F.lit(0)) < F.col("gclass_n") * F.col("tclass_n"))
+        .select("gclass", "tclass", "effect")
+    )
+    missing = expand_classes(classes, lacking).join(placed.select(*GRANT_KEY), GRANT_KEY, "left_anti")
+    compared = placed.select(*GRANT_KEY, "held", "wanted").unionByName(
+        missing.withColumn("wanted", F.lit(True)), allowMissingColumns=True
+    )
+    return _actions(compared, copies, config, now)
+
+
 def affected_tables(actions: DataFrame) -> DataFrame:
     """Distinct tables whose grants were created or revoked."""
     return actions.where(F.col("action").isin("create", "revoke")).select(*ID).distinct()

@@ -12,10 +12,10 @@ from lakewarden.operators.grants import (
     affected_tables,
     auto_grantable,
     desired_grants,
-    effective_grants,
     effective_rules,
-    reconcile_grants,
-    resolve_policy_refs,
+    grant_classes,
+    reconcile_classes,
+    role_grantees,
     rule_tables,
     team_grantees,
     user_grantees,
@@ -546,7 +546,8 @@ _GRANTS = f"""
       WHERE d.effect = 'Deny' OR g.domain IS NOT NULL)"""
 
 
-def _desired(spark: SparkSession, sf_dir: str, tables: DataFrame) -> DataFrame:
+def _grantees(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Grantees with their policies, and the effective rules."""
     rules = checkpoint(_rules(spark, sf_dir))
     policies = rules.select(
         F.col("policy_id").alias("id"), F.col("policy_name").alias("name")
@@ -559,31 +560,22 @@ def _desired(spark: SparkSession, sf_dir: str, tables: DataFrame) -> DataFrame:
         )
     )
     teams = _teams(spark, sf_dir).withColumn("policies", refs)
-    held_roles = derive(spark, sf_dir, inputs.user_roles(SPARK))
     held = derive(spark, sf_dir, inputs.user_roles(SPARK)).join(
         _users(spark, sf_dir).select("id", "sid"), F.col("id") == F.col("user_id")
     )
-    named = roles.select(
-        F.lit("Role").alias("grantee_type"),
-        F.col("gateway_role").alias("grantee"),
-        F.explode("policies").alias("p"),
-    )
-    of_roles = resolve_policy_refs(
-        named.select(
-            "grantee_type", "grantee", F.col("p.id").alias("ref_id"), F.col("p.name").alias("ref_name")
-        ),
-        policies,
-    )
+    allowed = roles.select(F.col("name").alias("role"), F.col("gateway_role").alias("grantee"))
+    of_roles = role_grantees(roles, policies, allowed)
     grantees = of_roles.unionByName(team_grantees(teams, policies)).unionByName(
         user_grantees(held, roles, policies)
     )
-    return desired_grants(grantees, rule_tables(effective_rules(rules), tables))
+    return grantees, effective_rules(rules)
 
 
 @query(_GRANTS + " SELECT * FROM desired")
 def grants_desired(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = _mapped_tables(spark, sf_dir).select("tenant_id", *ID)
-    return _desired(spark, sf_dir, tables).drop("grantee_name")
+    grantees, rules = _grantees(spark, sf_dir)
+    return desired_grants(grantees, rule_tables(rules, tables)).drop("grantee_name")
 
 
 def _grantable(spark: SparkSession, sf_dir: str, tables: DataFrame) -> DataFrame:
@@ -600,12 +592,12 @@ def auto_grantable_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = checkpoint(_mapped_tables(spark, sf_dir))
     config = GrantConfig(auto_create=True, interval_minutes=30)
-    desired = _desired(spark, sf_dir, tables)
-    effective = effective_grants(desired, _grantable(spark, sf_dir, tables), config)
+    grantees, rules = _grantees(spark, sf_dir)
+    classes = grant_classes(grantees, rules, tables, _grantable(spark, sf_dir, tables), config)
     held = derive(spark, sf_dir, inputs.held_grants(SPARK)).withColumn(
         "valid_to", F.timestamp_micros("valid_to_us")
     )
-    return reconcile_grants(effective, held, tables, config, _NOW)
+    return reconcile_classes(classes, held, tables, config, _NOW)
 
 
 _RECONCILE = f"""

@@ -21,13 +21,11 @@ from lakewarden.operators.grants import (
     GrantConfig,
     affected_tables,
     auto_grantable,
-    desired_grants,
-    effective_grants,
     effective_rules,
-    reconcile_grants,
+    grant_classes,
+    reconcile_classes,
     role_grantees,
     rule_rows,
-    rule_tables,
     team_grantees,
     user_grantees,
     user_role_rows,
@@ -154,9 +152,8 @@ def sync_policies(
             .unionByName(user_grantees(user_role_rows(users), roles, policies))
         )
         rules = effective_rules(rule_rows(policies))
-        desired = desired_grants(grantees, rule_tables(rules, tables))
-        effective = effective_grants(desired, auto_grantable(tables, columns), grants)
-        actions = reconcile_grants(effective, held, tables.select("tenant_id"), grants, now)
+        classes = grant_classes(grantees, rules, tables, auto_grantable(tables, columns), grants)
+        actions = reconcile_classes(classes, held, tables.select("tenant_id"), grants, now)
         affected = affected.unionByName(affected_tables(actions)).distinct()
     raised = None if epochs is None else bump_epochs(epochs, affected)
     result = PolicySync(tables, columns, reject_rows, actions, affected, complete, raised)

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -237,3 +238,29 @@ def test_unknown_read_changes_no_grant_and_epochs_rise(spark, rows):
     result = world(spark, [rule()], epochs=epochs, write=lambda n, df: written.update({n: df}))
     assert result.success and list(written)[-1] == "epochs"
     assert rows(written["epochs"]) == [("d", "s", "other", 1), ("sales_svc", "dbo", "orders", 5)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_classes_plan_the_same_actions(spark, rows, seed):
+    from lakewarden.operators.grants import desired_grants, effective_grants, grant_classes, reconcile_classes
+
+    r = random.Random(seed)
+    policies, effects = [f"p{i}" for i in range(6)], ["Allow", "Deny"]
+    rules = {(r.choice(policies), r.choice(effects), r.choice(["table", "d.s.t1", "d.s.t2", "t3", "s.t4", "d.s.t5"])) for _ in range(r.randint(0, 9))}
+    grantees = {(r.choice(["Role", "User"]), r.choice(["ann", "Ann", "bob", "eve", "dan"]), r.choice(policies)) for _ in range(r.randint(0, 14))}
+    tables = [(f"tenant{i % 2}", "d", "s", f"t{i}") for i in range(7)]
+    held = [
+        (f"h{i}", "policy-sync" if r.random() < 0.9 else "manual", f"tenant{r.randint(0, 2)}", "d", "s", f"t{r.randint(0, 7)}", r.choice(["Role", "User"]), r.choice(["ANN", "bob", "eve"]), r.choice(effects), NOW + timedelta(days=r.choice([-1, 5, 200])))
+        for i in range(r.randint(0, 60))
+    ]
+    rule_rows = spark.createDataFrame(sorted(rules), "policy_id string, effect string, resource string")
+    grantee_rows = spark.createDataFrame(sorted(grantees), "grantee_type string, grantee string, policy_id string")
+    table_rows = spark.createDataFrame(tables, "tenant_id string, domain string, schema_name string, table_name string")
+    held_rows = spark.createDataFrame(held, "id string, marker string, tenant_id string, domain string, schema_name string, table_name string, grantee_type string, grantee string, effect string, valid_to timestamp")
+    grantable = table_rows.where("table_name in ('t1', 't3', 't4')").select("domain", "schema_name", "table_name")
+    config = GrantConfig(auto_create=seed % 3 > 0)
+    desired = desired_grants(grantee_rows, rule_tables(rule_rows, table_rows))
+    want = reconcile_grants(effective_grants(desired, grantable, config), held_rows, table_rows, config, NOW)
+    classes = grant_classes(grantee_rows, rule_rows, table_rows, grantable, config)
+    got = reconcile_classes(classes, held_rows, table_rows, config, NOW)
+    assert got.columns == want.columns and rows(got) == rows(want)
