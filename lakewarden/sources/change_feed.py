@@ -61,7 +61,16 @@ def change_batch(
     cutoff = (
         pending.select(version).orderBy(version).limit(n).agg(F.max(version).alias("v")).scalar()
     )
-    picked = pending.where(F.col(version) <= cutoff).select(
+    return with_base_rows(pending.where(F.col(version) <= cutoff), base, keys, version, op)
+
+
+def with_base_rows(
+    changes: DataFrame, base: DataFrame, keys: Sequence[str], version: str = "version", op: str = "op"
+) -> DataFrame:
+    """`version`, `operation` and the base row of each change; a deleted row has its key only."""
+    for k in keys:
+        require_identifier(k)
+    picked = changes.select(
         F.col(version).alias("__version"),
         operation_name(F.col(op)).alias("operation"),
         *[F.col(k).alias(f"__pk_{k}") for k in keys],

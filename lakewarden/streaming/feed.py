@@ -1,49 +1,38 @@
-"""Polling a version-ordered change feed with a stored watermark."""
+"""Publishing a version-ordered change feed as events."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from lakewarden.sources.change_feed import (
-    change_batch,
-    feed_events,
-    feed_versions,
-    next_watermark,
-    resume_version,
-)
-from lakewarden.streaming.snapshots import SnapshotTable
+from lakewarden.sources.change_feed import feed_events, with_base_rows
 
-WATERMARK_SCHEMA = "watermark bigint"
 
-
-def poll_once(
+def publish_feed(
     changes: DataFrame,
     base: DataFrame,
     keys: Sequence[str],
-    watermark: SnapshotTable,
     domain: str,
     table_name: str,
-    batch_size: int | None = None,
-    publish=None,
-) -> tuple[DataFrame, bool]:
-    """One poll: events since the stored version, and whether a full resync is needed.
-
-    `publish` receives the events before the watermark moves, so a failed poll is repeated and
-    delivers the same event ids again.
+    publish: Callable[[DataFrame, int], None],
+    checkpoint_location: str,
+    **trigger,
+) -> StreamingQuery:
+    """Hands the events of every micro-batch of a feed (`sources.feed_source`) to `publish(events, batch_id)`.
+
+    The last version is in the checkpoint and moves only after `publish` returned. A stream that is
+    stopped in between runs the same versions again, whose events have the same ids. Rows that land
+    meanwhile have later versions and wait for the next micro-batch.
     """
-    stored = watermark.read().first()
-    last = int(stored["watermark"]) if stored else 0
-    oldest = feed_versions(changes).first()["min_valid_version"]
-    start, resync = resume_version(last, oldest)
-    # the end of the batch is fixed once: rows that arrive meanwhile belong to the next poll
-    planned = change_batch(changes, base, keys, start, batch_size)
-    cutoff = next_watermark(planned, start).first()["watermark"]
-    batch = change_batch(changes.where(F.col("version") <= F.lit(cutoff)), base, keys, start, batch_size)
-    events = feed_events(batch, domain, table_name, keys)
-    if publish is not None:
-        publish(events)
-    watermark.write(changes.sparkSession.createDataFrame([(cutoff,)], WATERMARK_SCHEMA))
-    return events, resync
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        publish(feed_events(with_base_rows(batch, base, keys), domain, table_name, keys), batch_id)
+
+    return (
+        changes.writeStream.foreachBatch(apply)
+        .option("checkpointLocation", checkpoint_location)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )

@@ -1,10 +1,12 @@
 from __future__ import annotations
 
 import json
+from datetime import datetime
 from itertools import permutations
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lakewarden.operators.cdc_apply import activity_windows, apply_changes, latest_changes
 from lakewarden.sources.change_feed import (
@@ -16,9 +18,18 @@ from lakewarden.sources.change_feed import (
     resume_version,
 )
 from lakewarden.sources.debezium import parse_envelopes
-from lakewarden.streaming.cdc import activity_stream, cdc_events, keep_snapshot, typed_changes
-from lakewarden.streaming.feed import WATERMARK_SCHEMA, poll_once
-from lakewarden.streaming.snapshots import SnapshotTable
+from lakewarden.sources.feed_source import ChangeFeed
+from lakewarden.streaming import tables
+from lakewarden.streaming.cdc import (
+    activity_stream,
+    cdc_events,
+    keep_activity,
+    keep_snapshot,
+    read_activity,
+    read_snapshot,
+    typed_changes,
+)
+from lakewarden.streaming.feed import publish_feed
 
 
 def envelope(op, after=None, before=None, wrap=True, **source):
@@ -113,18 +124,60 @@ def test_feed_events(spark):
     assert resume_version(5, None) == (5, False) and resume_version(-1, 0) == (0, True)
 
 
-def test_polling_keeps_a_watermark(spark, tmp_path):
+FEED = "version long, op string, k1 int, k2 int"
+
+
+def published(spark, tmp_path, base, publish):
+    spark.dataSource.register(ChangeFeed)
+    stream = spark.readStream.format("change_feed").schema(FEED).load(str(tmp_path / "feed"))
+    query = publish_feed(stream, base, ["k1", "k2"], "d", "t", publish, str(tmp_path / "cp"))
+    query.awaitTermination()
+
+
+def test_the_checkpoint_keeps_the_version(spark, tmp_path):
     changes, base = feed(spark)
-    watermark = SnapshotTable(spark, str(tmp_path / "wm"), WATERMARK_SCHEMA)
-    published = []
-    first, resync = poll_once(
-        changes, base, ["k1", "k2"], watermark, "d", "t", 1, lambda e: published.extend(e.collect())
-    )
-    assert resync and len(published) == 1 and watermark.read().first().watermark == 1
-    poll_once(changes, base, ["k1", "k2"], watermark, "d", "t", 2, lambda e: published.extend(e.collect()))
-    assert watermark.read().first().watermark == 3 and len(published) == 5
-    _, resync = poll_once(changes.where("version > 7"), base, ["k1", "k2"], watermark, "d", "t")
-    assert not resync and watermark.read().first().watermark == 3
+    land = lambda condition: changes.where(condition).coalesce(1).write.mode("append").parquet(str(tmp_path / "feed"))
+    seen = []
+    land("version = 1")
+    published(spark, tmp_path, base, lambda e, n: seen.append({r.event_id for r in e.collect()}))
+    assert seen == [{"d_t_1_1_1"}]
+    land("version in (2, 3)")
+    published(spark, tmp_path, base, lambda e, n: seen.append({r.event_id for r in e.collect()}))
+    assert len(seen) == 2 and len(seen[1]) == 4 and not seen[0] & seen[1]
+    published(spark, tmp_path, base, lambda e, n: seen.append({r.event_id for r in e.collect()}))
+    assert len(seen) == 2
+
+
+def test_stopped_between_publish_and_commit(spark, tmp_path):
+    """The same event ids come again and none is lost, also when later versions land meanwhile."""
+    changes, base = feed(spark)
+    changes.where("version <= 3").coalesce(2).write.parquet(str(tmp_path / "feed"))
+    seen = []
+
+    def stopped(events, batch_id):
+        seen.append({r.event_id for r in events.collect()})
+        changes.where("version > 3").write.mode("append").parquet(str(tmp_path / "feed"))
+        raise RuntimeError("stopped")
+
+    with pytest.raises(Exception, match="stopped"):
+        published(spark, tmp_path, base, stopped)
+    for _ in range(2):  # a run finishes the open micro-batch; what landed meanwhile may wait for the next run
+        published(spark, tmp_path, base, lambda e, n: seen.append({r.event_id for r in e.collect()}))
+    assert len(seen[0]) == 5 and seen[1] == seen[0]
+    assert seen[2:] == [{"d_t_4_2_1"}]
+
+
+def test_a_feed_that_dropped_versions_needs_a_resync(spark, tmp_path):
+    from lakewarden.sources.feed_source import FeedReader
+
+    changes, _ = feed(spark)
+    path = str(tmp_path / "feed")
+    changes.where("version = 4").write.parquet(path)
+    reader = FeedReader({"path": path}, changes.schema)
+    assert (reader.initialOffset(), reader.latestOffset()) == ({"version": 3}, {"version": 4})
+    with pytest.raises(RuntimeError, match="resync"):
+        reader.partitions({"version": 1}, {"version": 4})
+    assert FeedReader({"path": str(tmp_path / "none")}, changes.schema).latestOffset() == {"version": -1}
 
 
 ROW = "id bigint, name string"
@@ -140,15 +193,14 @@ def test_stream_equals_batch(spark, rows, tmp_path):
     now = F.timestamp_seconds(F.lit(1_700_000_000))
     stream = spark.readStream.option("maxFilesPerTrigger", 1).text(str(landed)).withColumn("received_at", now)
     changes = typed_changes(cdc_events(stream), ROW)
-    table = SnapshotTable(spark, str(tmp_path / "snap"), ROW + ", ts_ms bigint", ["id"], 4, deleted="gone")
+    root, kept = str(tmp_path / "snap"), ROW + ", ts_ms bigint"
     for _ in range(2):
-        query = keep_snapshot(changes, table, ["id"], ["ts_ms"], str(tmp_path / "cp"), version="ts_ms")
+        query = keep_snapshot(changes, root, kept, ["id"], ["ts_ms"], str(tmp_path / "cp"), version="ts_ms", buckets=4)
         query.awaitTermination()
     batch = typed_changes(cdc_events(raw(spark, messages)), ROW)
     empty = spark.createDataFrame([], ROW + ", ts_ms bigint")
     want = apply_changes(empty, batch, ["id"], ["ts_ms"], version="ts_ms")
-    assert rows(table.read()) == rows(want) and want.count() == 4
-    assert table.version() == 3 and table.applied(0) and not table.applied(9)
+    assert rows(read_snapshot(spark, root, kept), *want.columns) == rows(want) and want.count() == 4
     windows = activity_stream(cdc_events(stream)).writeStream.format("memory").queryName("activity")
     windows.outputMode("complete").trigger(availableNow=True).start().awaitTermination()
     counted = activity_windows(
@@ -172,41 +224,75 @@ def test_any_order_of_batches_gives_the_same_snapshot(spark, rows, order):
     assert rows(kept.where("not gone"), "id", "name", "ts_ms") == [(2, "y", 4), (4, "b", 2)]
 
 
-def test_snapshot_rewrites_touched_buckets_only(spark, rows, tmp_path):
-    table = SnapshotTable(spark, str(tmp_path / "t"), "id bigint, v string", ["id"], 8, deleted="gone")
-    first = spark.range(40).selectExpr("id", "'a' AS v", "id = 7 AS gone")
-    table.write(first, 0)
-    assert table.read().count() == 39 and table.read().columns == ["id", "v"]
-    one = spark.createDataFrame([(3, "b", False)], "id bigint, v string, gone boolean")
-    touched = table.touched(one)
-    before = {b: v for b, v in table._current()}
-    table.write(table.read_all(touched).where("id <> 3").unionByName(one), 1, touched)
-    after = {b: v for b, v in table._current()}
-    assert len(touched) == 1 and {b for b in after if after[b] != before[b]} == set(touched)
-    assert rows(table.read().where("id in (3, 4)")) == [(3, "b"), (4, "a")] and table.read().count() == 39
-    table.write(table.read_all(touched).where("false"), 2, touched)
-    assert table.vacuum(keep=1) == 2 and table.read().where("id = 3").isEmpty()
-    with pytest.raises(ValueError):
-        plain = SnapshotTable(spark, str(tmp_path / "p"), "id bigint")
-        keep_snapshot(None, plain, ["id"], ["ts_ms"], str(tmp_path / "c"), version="ts_ms")
+def test_snapshot_rewrites_touched_partitions_only(spark, rows, tmp_path):
+    root, kept = str(tmp_path / "t"), StructType.fromDDL("id bigint, v string, deleted boolean")
 
+    def put(frame, batch_id):
+        def merge(old, batch):
+            return old.join(batch, "id", "left_anti").unionByName(batch)
 
-def test_rows_that_arrive_while_polling_wait_for_the_next_poll(spark, tmp_path):
-    landed = str(tmp_path / "feed")
-    changes, base = feed(spark)
-    changes.where("version <= 2").write.parquet(landed)
-    live = spark.read.schema(changes.schema).parquet(landed)
-    watermark = SnapshotTable(spark, str(tmp_path / "wm"), WATERMARK_SCHEMA)
-    watermark.write(spark.createDataFrame([(0,)], WATERMARK_SCHEMA))
-    seen = []
+        tables.upsert_batch(frame, batch_id, root, kept, ["id"], merge, buckets=8)
+
+    def files():
+        return {p.parent.name: p.name for p in (tmp_path / "t").rglob("*.parquet")}
+
+    put(spark.range(40).selectExpr("id", "'a' AS v", "id = 7 AS deleted"), 0)
+    assert read_snapshot(spark, root, "id bigint, v string").count() == 39
+    before = files()
+    put(spark.createDataFrame([(3, "b", False)], kept), 1)
+    after = files()
+    assert len(before) == 8 and sum(after[b] != before[b] for b in after) == 1
+    now = read_snapshot(spark, root, "id bigint, v string")
+    assert rows(now.where("id in (3, 4)")) == [(3, "b"), (4, "a")] and now.count() == 39
+
+
+def test_stopped_while_partitions_are_replaced(spark, rows, tmp_path, monkeypatch):
+    """A partition was removed and its new rows not moved in: the micro-batch brings them back."""
+    import shutil
 
-    def publish(events):
-        seen.extend(r.event_id for r in events.collect())
-        changes.where("version > 2").write.mode("append").parquet(landed)
+    root, kept = str(tmp_path / "t"), StructType.fromDDL("id bigint, v string, deleted boolean")
 
-    poll_once(live, base, ["k1", "k2"], watermark, "d", "t", None, publish)
-    assert watermark.read().first().watermark == 2
-    again = []
-    fresh = spark.read.schema(changes.schema).parquet(landed)
-    poll_once(fresh, base, ["k1", "k2"], watermark, "d", "t", None, lambda e: again.extend(r.event_id for r in e.collect()))
-    assert again and not set(again) & set(seen)
+    def merge(old, batch):
+        return old.join(batch, "id", "left_anti").unionByName(batch)
+
+    def put(v, batch_id):
+        frame = spark.range(3).selectExpr("id", f"'{v}' AS v", "false AS deleted")
+        tables.upsert_batch(frame, batch_id, root, kept, ["id"], merge, buckets=2)
+
+    first = spark.range(20).selectExpr("id", "'a' AS v", "false AS deleted")
+    tables.upsert_batch(first, 0, root, kept, ["id"], merge, buckets=2)
+    replace = tables.overwrite_partitions
+
+    def stop(df, path, *by):
+        shutil.rmtree(next((tmp_path / "t").glob("bucket=*")))
+        raise RuntimeError("stopped")
+
+    monkeypatch.setattr(tables, "overwrite_partitions", stop)
+    with pytest.raises(RuntimeError):
+        put("b", 1)
+    monkeypatch.setattr(tables, "overwrite_partitions", replace)
+    assert read_snapshot(spark, root, "id bigint, v string").count() < 20
+    put("b", 1)
+    now = read_snapshot(spark, root, "id bigint, v string")
+    assert now.count() == 20 and rows(now.where("v = 'b'"), "id") == [(0,), (1,), (2,)]
+
+
+def test_on_time_and_late_rows_are_all(spark, rows, tmp_path):
+    schema = "n int, event_time timestamp, domain string, schema_name string, table_name string, operation string"
+    minutes = [[0, 1, 2, 30], [25, 26, 3, 31, None], [60, 30, 54, 55, 56], [1, 100]]
+    n = 0
+    for i, part in enumerate(minutes):
+        items = []
+        for m in part:
+            at = None if m is None else datetime(2026, 1, 1, m // 60, m % 60, 30)
+            items.append((n, at, "d", "s", "t", "Update"))
+            n += 1
+        spark.createDataFrame(items, schema).coalesce(1).write.parquet(str(tmp_path / "in" / f"part={i}"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in" / "*"))
+    for _ in range(2):
+        keep_activity(stream, str(tmp_path / "out"), str(tmp_path / "cp"), late_seconds=300).awaitTermination()
+    counted = read_activity(spark, str(tmp_path / "out"))
+    late = tables.read_table(spark, str(tmp_path / "out" / "late"), schema + ", batch_id bigint")
+    # 5 minutes behind the greatest time of earlier batches: minute 3 after 30, none, minute 1 after 60
+    assert sorted(r.n for r in late.collect()) == [6, 8, 14]
+    assert counted.agg(F.sum("events")).first()[0] + late.count() == n
