@@ -23,7 +23,12 @@ from lakewarden.plans import inputs
 from lakewarden.plans.dialect import PLAIN, SPARK, derive, load
 from lakewarden.plans.registry import query
 from lakewarden.plans.scan import governed_scan, ungoverned_scan
-from lakewarden.sources.inventory import allowed_buckets, build_inventory, check_buckets
+from lakewarden.sources.inventory import (
+    allowed_buckets,
+    build_inventory,
+    check_buckets,
+    inventory_from_footers,
+)
 from lakewarden.sources.registry import LakeTable
 from lakewarden.sources.table_metadata import (
     current_snapshots,
@@ -139,7 +144,9 @@ def pruned_scan_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
         "R",
         {"where": {"l_quantity": {"gte": 45}}},
         columns=["l_orderkey", "l_linenumber", "l_returnflag", "l_quantity"],
-        inventory=build_inventory(table, ["l_returnflag", "l_quantity"]),
+        inventory=inventory_from_footers(
+            spark, f"{sf_dir}/lineitem.parquet", table.schema, ["l_returnflag", "l_quantity"]
+        ),
         source=LakeTable(f"{sf_dir}/lineitem.parquet"),
     )
     return scan.rows
@@ -161,6 +168,33 @@ def mandatory_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.where("keep").select("file_path", "record_count")
 
 
+@query(
+    " UNION ALL ".join(
+        f"""
+    SELECT '{t}' AS name, count(*) AS record_count, CAST(min({low}) AS VARCHAR) AS lower_bound,
+      CAST(max({low}) AS VARCHAR) AS upper_bound FROM {t}"""
+        for t, low in (("lineitem", "l_orderkey"), ("customer", "c_name"), ("documents", "doc_id"))
+    )
+)
+def footer_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and bounds of whole tables from the footers of their files."""
+    parts = []
+    for name, column in (("lineitem", "l_orderkey"), ("customer", "c_name"), ("documents", "doc_id")):
+        table = load(spark, sf_dir, name)
+        files = inventory_from_footers(spark, f"{sf_dir}/{name}.parquet", table.schema, [column])
+        kind = table.schema[column].dataType
+        low, high = (F.col(f"{side}_bounds")[column].cast(kind) for side in ("lower", "upper"))
+        parts.append(
+            files.agg(
+                F.lit(name).alias("name"),
+                F.sum("record_count").alias("record_count"),
+                F.min(low).cast("string").alias("lower_bound"),
+                F.max(high).cast("string").alias("upper_bound"),
+            )
+        )
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query(
     """
     SELECT file_path, flag AS l_returnflag,

@@ -21,11 +21,7 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPart
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-
-def _located(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
-    if "://" in path:
-        return pyarrow.fs.FileSystem.from_uri(path)
-    return pyarrow.fs.LocalFileSystem(), path.removeprefix("file:")
+from lakewarden.sources.inventory import located
 
 
 @dataclass
@@ -55,7 +51,7 @@ class FeedReader(DataSourceStreamReader):
 
     def _files(self) -> dict[str, tuple[int, int]]:
         """First and last version of every file, from row-group statistics."""
-        files, root = _located(self.path)
+        files, root = located(self.path)
         found = files.get_file_info(pyarrow.fs.FileSelector(root, recursive=True, allow_not_found=True))
         paths = [f.path for f in found if f.is_file and f.base_name.endswith(".parquet") and f.base_name[0] not in "._"]
         for path in paths:
@@ -98,7 +94,7 @@ class FeedReader(DataSourceStreamReader):
         return [VersionRange(p, after, upto) for p, (low, high) in sorted(files.items()) if high > after and low <= upto]
 
     def read(self, partition: VersionRange) -> Iterator[pa.RecordBatch]:
-        files, _ = _located(self.path)
+        files, _ = located(self.path)
         wanted = to_arrow_schema(self.schema)
         version = ds.field(self.version)
         rows = ds.dataset(partition.path, filesystem=files, format="parquet").scanner(

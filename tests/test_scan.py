@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import json
-from datetime import date
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -40,7 +40,8 @@ FILE = (
     "file_path string, partition map<string,string>, record_count bigint, "
     "lower_bounds map<string,string>, upper_bounds map<string,string>"
 )
-DATES = "2026-06-01 2026-06-15 2026-05-10 2026-04-20 2026-03-01 2026-02-15 2026-01-10 2025-12-01 2025-11-01 2025-10-01".split()
+#: One file a week, the two newest on or after 1 April.
+DATES = [str(date(2027, 4, 9) - timedelta(weeks=w)) for w in range(10)]
 
 
 def kept(marked):
@@ -51,7 +52,7 @@ def test_date_and_tenant_pruning(spark):
     files = spark.createDataFrame(
         [(f"f{i + 1}", {"orderdate": d}, 1, {}, {}) for i, d in enumerate(DATES)], FILE
     )
-    marked = mark_files(files, [Predicate("orderDate", ">=", "2026-06-01")], {"orderDate": T.DateType()})
+    marked = mark_files(files, [Predicate("orderDate", ">=", "2027-04-01")], {"orderDate": T.DateType()})
     assert kept(marked) == ["f1", "f2"]
     stats = scan_statistics(marked).first()
     assert (stats.scanned_files, stats.pruned_files, stats.pruned_percent) == (2, 8, 80.0)
