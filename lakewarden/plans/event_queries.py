@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,15 +34,18 @@ from lakewarden.plans.events import (
     catalog_epochs,
     process_catalog_events,
     process_ticket_events,
+    skip_repeated,
     triage_requests,
 )
 from lakewarden.plans.registry import query
+from lakewarden.session import shared_folder
 from lakewarden.sources.change_feed import (
     change_batch,
     feed_events,
     feed_versions,
     next_watermark,
 )
+from lakewarden.sources.deliveries import read_deliveries
 from lakewarden.streaming.cdc import cdc_events, typed_changes
 
 
@@ -365,12 +370,12 @@ def dedupe_first_only(spark: SparkSession, sf_dir: str) -> DataFrame:
 _POLICY_SECRET = "policy-store-secret"
 
 
-def _policy_deliveries(d) -> str:
+def _policy_deliveries(d, ident: str = "event_id") -> str:
     """Policy-store events; times in seconds or milliseconds, some skewed or without id."""
     us = d.micros("ts")
     base = f"""
       SELECT event_id, value, {us} AS received_us,
-        '{{"id":' || CASE WHEN value < 1 THEN 'null' ELSE '"p' || CAST(event_id AS STRING) || '"' END
+        '{{"id":' || CASE WHEN value < 1 THEN 'null' ELSE '"p' || CAST({ident} AS STRING) || '"' END
         || ',"timestamp":' || CASE WHEN value > 200 THEN CAST({d.idiv(us, "1000000")} - 400 AS STRING)
              WHEN value > 50 THEN CAST({d.idiv(us, "1000")} AS STRING)
              ELSE CAST({d.idiv(us, "1000000")} AS STRING) END
@@ -404,12 +409,44 @@ def policy_event_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return policy_events(checked).select(F.col("n").alias("event_id"), "reject_reason", "route")
 
 
-def _run_deliveries(d) -> str:
+#: Ids that come again and again, some within the time to live.
+_FEW_IDS = "(event_id % 3)"
+
+
+def _repeats_sql(fields: str, checked: str) -> str:
+    """`fields` of the checked events with those refused that come again within the time to live."""
+    return f"""
+    WITH RECURSIVE src AS (
+      SELECT c.*, CASE WHEN why IS NULL THEN event_id % 3 END AS key, epoch_us(ts) AS us FROM ({checked}) c),
+    {_accepted_sql("src", "key", "us", "event_id", 900_000_000)},
+    done AS (SELECT s.*, CASE WHEN key IS NOT NULL AND a.id IS NULL THEN 'IGNORED_DUPLICATE_EVENT' ELSE why END
+        AS reject_reason FROM src s LEFT JOIN accepted a ON a.id = s.event_id)
+    SELECT {fields} FROM done"""
+
+
+@query(
+    _repeats_sql(
+        """event_id, reject_reason, CASE WHEN reject_reason IS NULL THEN CASE event_type
+        WHEN 'click' THEN 'REFRESH_TABLE' WHEN 'view' THEN 'FULL_SYNC' WHEN 'signup' THEN 'FULL_SYNC'
+        ELSE 'ACKNOWLEDGE' END END AS route""",
+        """SELECT *, CASE WHEN value BETWEEN 10 AND 12 THEN 'INVALID_SIGNATURE'
+        WHEN value < 1 THEN 'MISSING_ID_OR_TIME' WHEN value > 200 THEN 'EXPIRED' END AS why FROM events""",
+    )
+)
+def policy_event_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = derive(spark, sf_dir, _policy_deliveries(SPARK, _FEW_IDS))
+    keyed = raw.withColumn("received_at", _at("received_us")).withColumnRenamed("event_id", "n")
+    checked = verify_payload(keyed, key_table(spark, {"policy": _POLICY_SECRET}), "policy")
+    done = skip_repeated(policy_events(checked), "n")
+    return done.select(F.col("n").alias("event_id"), "reject_reason", "route")
+
+
+def _run_deliveries(d, ident: str = "event_id") -> str:
     """Job-run events with ISO times; some malformed, some without type or status."""
     us = d.micros("ts")
     return f"""
       SELECT event_id AS n, {us} AS received_us, CASE WHEN value > 250 THEN '[broken' ELSE
-        '{{"eventId":"r' || CAST(event_id AS STRING) || '","timestamp":"'
+        '{{"eventId":"r' || CAST({ident} AS STRING) || '","timestamp":"'
         || substr(CAST(ts AS STRING), 1, 10) || 'T' || substr(CAST(ts AS STRING), 12, 8) || 'Z"'
         || CASE WHEN event_type = 'view' THEN ',"eventType":"job.run.started"' ELSE '' END
         || ',"data":{{"runId":"' || CAST(user_id AS STRING) || '"'
@@ -434,6 +471,27 @@ def job_run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_events(checked).select("n", "reject_reason", "event_type", "run_id", "run_status")
 
 
+@query(
+    _repeats_sql(
+        """event_id AS n, reject_reason, CASE WHEN value <= 250 AND event_type = 'error' THEN 'Error'
+        ELSE 'Unknown' END AS run_status""",
+        "SELECT *, CASE WHEN value > 250 THEN 'MALFORMED' END AS why FROM events",
+    )
+)
+def job_run_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = derive(spark, sf_dir, _run_deliveries(SPARK, _FEW_IDS))
+    checked = raw.withColumns({"received_at": _at("received_us"), "signature_valid": F.lit(True)})
+    return skip_repeated(run_events(checked), "n").select("n", "reject_reason", "run_status")
+
+
+@query(f"SELECT payload, signature FROM ({inputs.deliveries(PLAIN)}) d")
+def landed_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deliveries landed as JSON files and read again."""
+    path = f"{shared_folder(spark)}/deliveries-{uuid.uuid4().hex}"
+    _deliveries(spark, sf_dir).select("payload", "signature", "sent_at", "received_at").write.json(path)
+    return read_deliveries(spark, path).select("payload", "signature")
+
+
 # --- tickets
 
 

@@ -39,6 +39,7 @@ from lakewarden.operators.proposals import (
 from lakewarden.plans import inputs
 from lakewarden.plans.dialect import PLAIN, SPARK, derive, load
 from lakewarden.plans.registry import query
+from lakewarden.plans.sync import check_contract, ingest_dbt
 from lakewarden.session import checkpoint
 from lakewarden.sources.dbt_manifest import model_columns, model_dependencies, parse_models
 
@@ -346,6 +347,21 @@ def contract_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contract_report(models, changes, new_contracts(models, active))
 
 
+@query(
+    _CONTRACT
+    + f"""
+    SELECT (SELECT count(*) FROM m) AS validated_models, (SELECT count(*) FROM changes)
+        AS breaking_changes,
+      (SELECT count(*) FROM m WHERE table_id NOT IN (SELECT lower(table_id)
+        FROM ({_active_tables(PLAIN)}) t)) AS new_models,
+      (SELECT count(*) FROM changes) = 0 AS compatible"""
+)
+def contract_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole contract check of manifests against the active tables and columns."""
+    tables, columns = derive(spark, sf_dir, _active_tables(SPARK)), derive(spark, sf_dir, _active_columns(SPARK))
+    return check_contract(derive(spark, sf_dir, _documents(SPARK)), tables, columns)[1]
+
+
 # --- lineage
 
 
@@ -379,6 +395,14 @@ _NODES = f"""
       ON e.parent = m.table_id"""
 
 
+@query(_NODES)
+def dbt_ingest_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of a whole ingestion of the manifests."""
+    manifests, pending = derive(spark, sf_dir, _documents(SPARK)), derive(spark, sf_dir, _pending(SPARK))
+    done = ingest_dbt(manifests, pending, _NOW)
+    return done.nodes.drop("owner_email")
+
+
 @query(_NODES)
 def dbt_lineage_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lineage_nodes(*_edges(spark, sf_dir)).drop("owner_email")

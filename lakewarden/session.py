@@ -31,21 +31,31 @@ def build_session(app: str = "lakewarden", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage of `df` with a reliable checkpoint.
+_OWN: dict[str, str] = {}
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in `spark.checkpoint.dir`.
 
-    The folder is the one the cluster names in `spark.checkpoint.dir`. Only a local master
-    without that setting gets a folder of its own, since no other machine has to read it.
+    Only a local master without that setting gets a folder of its own, since no other machine has
+    to read it.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+    if sc.applicationId not in _OWN:
+        _OWN[sc.applicationId] = tempfile.mkdtemp(prefix="lakewarden-")
+    return _OWN[sc.applicationId]
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cut the lineage of `df` with a reliable checkpoint in the shared folder."""
+    sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-            folder = tempfile.mkdtemp(prefix="lakewarden-checkpoint-")
-        sc.setCheckpointDir(folder)
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
