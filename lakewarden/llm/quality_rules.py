@@ -4,8 +4,8 @@ Base rules look at one document: too few words, or too many words inside repeate
 looks across documents: lines are normalised and hashed, the documents that hold a line are counted per host, lines
 above the limit are removed, and a document with too little left is rejected.
 
-Documents are told apart by what stands around the line (the line before and after), so a group of copies counts once and
-copies of a clean text are not taken for boilerplate.
+Documents are told apart by a hash of their whole text, so copies of a text count once and are not taken for boilerplate,
+and a document counts once for a line, however often and wherever it holds it.
 
 Defined results: a null text has no words and fails the base rules; a null host is a host of its own; rows that repeat,
 also with the same id, are judged each; ids may be null; other columns are ignored.
@@ -53,7 +53,7 @@ def normalised(line: Column) -> Column:
 
 
 def measured(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
-    """Row id, host and base measures of every document, with its lines as (hash, hash of surroundings, words)."""
+    """Row id, host and base measures of every document, with its lines as (hash, words)."""
     t = F.coalesce(F.col(text), F.lit(""))
     split = docs.select(
         F.monotonically_increasing_id().alias("row"),
@@ -65,18 +65,7 @@ def measured(docs: DataFrame, text: str = "text", host: str = "source") -> DataF
         F.regexp_count(t, F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
         F.md5(t).alias("text_key"),
     )
-    hashed = F.transform(F.col("lines"), lambda x: F.struct(F.xxhash64(normalised(x)).alias("h"), F.size(words_of(x)).alias("w")))
-    around = let(
-        hashed,
-        lambda a: F.transform(
-            a,
-            lambda x, i: F.struct(
-                x["h"].alias("h"),
-                F.xxhash64(F.when(i > 0, F.get(a, i - 1)["h"]), F.get(a, i + 1)["h"]).alias("around"),
-                x["w"].alias("w"),
-            ),
-        ),
-    )
+    marks = F.transform(F.col("lines"), lambda x: F.struct(F.xxhash64(normalised(x)).alias("h"), F.size(words_of(x)).alias("w")))
     return split.select(
         "row",
         "doc_id",
@@ -87,27 +76,27 @@ def measured(docs: DataFrame, text: str = "text", host: str = "source") -> DataF
         "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         repeat_words(F.col("words")).alias("n_repeat_words"),
-        around.alias("marks"),
+        marks.alias("marks"),
     ).withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
 
 
 def frequent_lines(rows: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
     """(host, h) of lines that more than `max_docs` distinct documents of the host hold."""
-    lines = rows.select("host", F.explode("marks").alias("m")).select("host", "m.h", "m.around")
+    lines = rows.select("host", F.xxhash64("text_key").alias("document"), F.explode(F.array_distinct("marks.h")).alias("h"))
     return (
-        lines.groupBy("host", "h", "around").agg(F.lit(1).alias("one")).groupBy("host", "h").agg(F.count("*").alias("docs"))
+        lines.groupBy("host", "h", "document").agg(F.lit(1).alias("one")).groupBy("host", "h").agg(F.count("*").alias("docs"))
         .filter(F.col("docs") > max_docs).select("host", "h")
     )
 
 
 def judged(docs: DataFrame, text: str = "text", host: str = "source", max_docs: int = MAX_DOCS) -> DataFrame:
-    """One row per document: measures, `removed_words` (in lines above the limit), `base_failed` and `kept`."""
+    """One row per document: measures, `removed_words` and `removed` (lines above the limit, as hashes), `base_failed` and `kept`."""
     rows = stored(measured(docs, text, host), "quality-lines")
     lines = rows.select("row", "host", F.explode("marks").alias("m")).select("row", "host", "m.h", "m.w")
     limits = frequent_lines(rows, max_docs).withColumnRenamed("host", "of").withColumnRenamed("h", "of_h")
     removed = (
         lines.join(limits, lines["host"].eqNullSafe(limits["of"]) & (lines["h"] == limits["of_h"]))
-        .groupBy(F.col("row").alias("of_row")).agg(F.sum("w").alias("removed_words"))
+        .groupBy(F.col("row").alias("of_row")).agg(F.sum("w").alias("removed_words"), F.collect_set("h").alias("removed"))
     )
     left = F.col("n_words") - F.col("removed_words")
     depleted = (F.col("removed_words") > 0) & ((left < MIN_WORDS) | (left < MIN_SHARE * F.col("n_words")))
@@ -118,14 +107,25 @@ def judged(docs: DataFrame, text: str = "text", host: str = "source", max_docs:
     )
 
 
-def keep_good(docs: DataFrame, text: str = "text", host: str = "source", max_docs: int = MAX_DOCS) -> DataFrame:
-    """The documents that no rule rejects, with all their columns.
+def keep_good(docs: DataFrame, text: str = "text", host: str = "source", max_docs: int = MAX_DOCS, chars: str = "n_chars") -> DataFrame:
+    """The documents that no rule rejects, with all their columns, without the lines above the limit.
 
-    The verdict depends on host and text alone, so it is joined back by both.
+    Verdict and lines depend on host and text alone, so they are joined back by both. A text that loses lines has its
+    characters counted anew, if there is a column for them.
     """
-    bad = judged(docs, text, host, max_docs).filter(~F.col("kept")).select(F.col("host").alias("__host"), F.col("text_key").alias("__key")).distinct()
+    found = judged(docs, text, host, max_docs)
+    changed = found.filter(~F.col("kept") | (F.col("removed_words") > 0))
+    changed = changed.groupBy(F.col("host").alias("__host"), F.col("text_key").alias("__key")).agg(
+        F.first("kept").alias("__kept"), F.first("removed").alias("__gone")
+    )
     key = F.md5(F.coalesce(docs[text], F.lit("")))
-    return docs.join(bad, docs[host].eqNullSafe(bad["__host"]) & (key == bad["__key"]), "left_anti")
+    joined = docs.join(changed, docs[host].eqNullSafe(changed["__host"]) & (key == changed["__key"]), "left").filter(F.coalesce("__kept", F.lit(True)))
+    lines = F.filter(F.split(docs[text], "\n", -1), lambda x: ~F.array_contains("__gone", F.xxhash64(normalised(x))) | ~x.rlike(r"[^\x20\x09-\x0D]"))
+    left = F.when(F.col("__gone").isNull(), docs[text]).otherwise(F.array_join(lines, "\n"))
+    new = {text: left}
+    if chars in docs.columns:
+        new[chars] = F.when(F.col("__gone").isNull(), docs[chars]).otherwise(F.length(left).cast(docs.schema[chars].dataType))
+    return joined.select(*[new[c].alias(c) if c in new else docs[f"`{c}`"] for c in docs.columns])
 
 
 def query(spark, sf_dir: str) -> DataFrame:
@@ -144,9 +144,8 @@ covered AS (SELECT r, sum(least(5, coalesce(lead(p) OVER (PARTITION BY r ORDER B
 rep AS (SELECT r, sum(n) AS n FROM (SELECT r, least(5, coalesce(lead(p) OVER (PARTITION BY r ORDER BY p) - p, 5)) AS n FROM again) GROUP BY r),
 line AS (SELECT r, source, i, lines[i] AS raw, trim(lower(regexp_replace(regexp_replace(lines[i], '[0-9]+', '0', 'g'), '{SPACE}+', ' ', 'g'))) AS line
          FROM (SELECT r, source, lines, unnest(range(1, len(lines) + 1)) AS i FROM w)),
-placed AS (SELECT r, source, line, raw, lag(line) OVER (PARTITION BY r ORDER BY i) AS a, lead(line) OVER (PARTITION BY r ORDER BY i) AS b FROM line),
-often AS (SELECT source, line FROM (SELECT DISTINCT source, line, a, b FROM placed) GROUP BY source, line HAVING count(*) > {MAX_DOCS}),
-removed AS (SELECT r, sum(len(list_filter(string_split_regex(raw, '{SPACE}+'), lambda x: x <> ''))) AS n FROM placed p
+often AS (SELECT source, line FROM (SELECT DISTINCT l.source, line, text FROM line l JOIN t USING (r)) GROUP BY source, line HAVING count(*) > {MAX_DOCS}),
+removed AS (SELECT r, sum(len(list_filter(string_split_regex(raw, '{SPACE}+'), lambda x: x <> ''))) AS n FROM line p
             JOIN often o ON p.source IS NOT DISTINCT FROM o.source AND p.line = o.line GROUP BY r),
 m AS (SELECT doc_id, len(words) AS n_words, length(regexp_replace(text, '{SPACE}+', '', 'g')) AS word_chars,
       length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,

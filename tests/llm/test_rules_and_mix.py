@@ -34,9 +34,9 @@ def test_base_measures_and_verdict(odd, odd_rows):
     places = defaultdict(set)
     norm = lambda x: SPACE.sub(" ", re.sub("[0-9]+", "0", x)).strip(" ").lower()
     for r in odd_rows:
-        own = [x for x in (r[1] or "").split("\n") if words(x)]
-        for i, x in enumerate(own):
-            places[r[3], norm(x)].add((norm(own[i - 1]) if i else None, norm(own[i + 1]) if i + 1 < len(own) else None))
+        for x in (r[1] or "").split("\n"):
+            if words(x):
+                places[r[3], norm(x)].add(r[1])
     want = []
     for r in odd_rows:
         m = measures(r[1])
@@ -60,6 +60,27 @@ def test_frequent_lines_are_removed_and_copies_count_once(spark, rows):
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == sorted(i for i, v in got.items() if v[1])
 
 
+def test_documents_are_counted_not_neighbours(spark):
+    name = lambda *n: "".join(chr(97 + d) for x in n for d in (x // 26, x % 26))  # noqa: E731  digits are all alike in a line
+    notice = "\n".join(" ".join(name(0, i, j) for j in range(8)) for i in range(6))
+    held = [(i, f"{notice}\n" + " ".join(name(1, i, j) for j in range(11)), "h") for i in range(200)]
+    # one document with a line sixty times, each time between other lines, and another document that has it once
+    twice = [(500, "\n".join(f"between line {'x' * i} stands\nthe line that comes again" for i in range(60)), "g"), (501, "the line that comes again\n" + " ".join(f"v{j}" for j in range(12)), "g")]
+    docs = spark.createDataFrame(held + twice, "doc_id long, text string, source string")
+    got = {r["doc_id"]: (r["removed_words"], r["base_failed"], r["kept"]) for r in quality_rules.judged(docs).collect()}
+    assert all(got[i] == (48, False, False) for i in range(200))
+    assert got[501] == (0, False, True) and got[500][0] == 0
+
+
+def test_lines_above_the_limit_leave_the_text(spark):
+    texts = [f"Shared  line 7\n\n" + " ".join(chr(97 + i) + chr(97 + j) for j in range(20)) + "\nshared line 8\n tail" for i in range(6)]
+    docs = spark.createDataFrame([(i, t, None, len(t)) for i, t in enumerate(texts)], "doc_id long, text string, source string, n_chars long")
+    got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in quality_rules.keep_good(docs, max_docs=5).collect()}
+    # all have the last line too, in white space other than this
+    want = {i: "\n" + t.split("\n")[2] for i, t in enumerate(texts)}
+    assert got == {i: (t, len(t)) for i, t in want.items()}
+
+
 def brute_mix(rows):
     """(id, size, source size, target, taken) with targets by repeated resharing, thresholds by sorting."""
     size = [len(words(r[1])) for r in rows]
@@ -115,6 +136,14 @@ def test_mix_repeats_whole_rows(odd):
     assert all(n[k] == want[k] * times[k] for k in times)
 
 
+def test_the_mix_takes_what_was_planned(spark):
+    """Ids that repeat with texts of other lengths: each size is taken as the plan says."""
+    rows = [(i % 40, "w " * (1 + (i * 7) % 23), f"s{i % 3}") for i in range(240)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    planned = mixing.mixed(docs).agg(F.sum("taken")).first()[0]
+    assert sum(len(words(r["text"])) for r in mixing.mix(docs).collect()) == planned
+
+
 def test_many_sources_against_sql(spark, rows):
     docs = spark.range(400).select(
         F.col("id").alias("doc_id"),
