@@ -222,6 +222,15 @@ def mask_all_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ungoverned_scan(load(spark, sf_dir, "customer"), "MACHINERY", "c_mktsegment").rows
 
 
+@query("SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer WHERE c_mktsegment = 'BUILDING'")
+def dropped_column_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A masked column whose rule is to drop it is denied, so it is not in the scan."""
+    policy = TablePolicy(
+        columns={"c_acctbal": ColumnPolicy(sensitive=True, rule=MaskRule("DROP_COLUMN"))}, tenant_column="c_mktsegment"
+    )
+    return governed_scan(load(spark, sf_dir, "customer"), policy, "BUILDING", {}).rows
+
+
 _EMAIL = "[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+"
 
 
