@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -11,24 +10,15 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakewarden.session import shared_folder
+
 #: ASCII white space, as the contracts state it.
 SPACE = r"[\x20\x09-\x0D]"
-_OWN: dict[str, str] = {}
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder in `spark.checkpoint.dir`; only where that is unset, a temporary one of this session."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        app = spark.sparkContext.applicationId
-        folder = _OWN.setdefault(app, "") or tempfile.mkdtemp(prefix="lakewarden-llm-")
-        _OWN[app] = folder
-    return folder
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write `df` as a table in the shared folder and read it again, which cuts lineage and survives lost executors."""
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
