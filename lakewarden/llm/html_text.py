@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -60,7 +61,9 @@ MAIN = frozenset(["article", "main"])
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre table caption th td dl dt dd figcaption summary".split())
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
+_START = re.compile(r"<(?=!|\?|/?[a-zA-Z])")
+_ELEMENT = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""")
+_UNQUOTED = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _NOT_SHOWN = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 
@@ -105,6 +108,39 @@ def _is_main(tag: str, attributes: str) -> bool:
     return tag in MAIN or ("role" in attributes.lower() and _attributes(attributes).get("role", "").lower() == "main")
 
 
+class Tags:
+    """Tags of a page, in time linear in its length however broken it is.
+
+    A tag ends at the first > outside quotes. Once quotes leave a tag without an end they count no more, here and in all tags
+    after it. What follows a < of a tag that has no > at all is cut off, to the end of the page.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.quotes = page, True
+
+    def find(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """Start and end of the next tag, a slash for an end tag, its name (none for comments and the like) and attributes."""
+        found = _START.search(self.page, at)
+        if found is None:
+            return None
+        start, page = found.start(), self.page
+        if page[start + 1] in "!?":
+            end = page.find("-->", start + 4) + 2 if page.startswith("<!--", start) else page.find(">", start)
+            return start, end + 1 if end > start else len(page), "", "", ""
+        tag = _ELEMENT.match(page, start) if self.quotes else None
+        if tag is None:
+            self.quotes = False
+            tag = _UNQUOTED.match(page, start)
+        if tag is None:
+            return start, len(page), "", "", ""
+        return start, tag.end(), tag[1], tag[2].lower(), tag[3]
+
+
+def _without_tags(text: str) -> str:
+    closed = text.rfind(">") + 1
+    return re.sub(r"<[^>]*>", " ", text[:closed]) + text[closed:]
+
+
 def blocks(page: str) -> tuple[list[str], list[bool], list[str]]:
     """(text blocks, whether each is loose, furniture blocks).
 
@@ -113,7 +149,9 @@ def blocks(page: str) -> tuple[list[str], list[bool], list[str]]:
     open_tags: list[tuple[str, bool, bool, bool]] = []  # name, furniture, main, furniture by a name around the article
     out: list[tuple[str, bool, bool, bool, bool]] = []
     run: list[str] = []
-    furniture = inside = around = 0
+    opened: Counter[str] = Counter()
+    block_at: list[int] = []  # where in open_tags the blocks are
+    furniture = inside = around = prose = 0
     has_main = False
     wrapped = 0  # articles that only names of what is around them make furniture
 
@@ -121,40 +159,42 @@ def blocks(page: str) -> tuple[list[str], list[bool], list[str]]:
         if run:
             text = " ".join(html.unescape("".join(run)).split())
             if text:
-                item = inside > 0 and len(text.split()) >= RUN and any(t[0] == "li" for t in open_tags)
-                out.append((text, furniture > 0, around > 0, inside > 0, not item and not any(t[0] in PROSE for t in open_tags)))
+                item = inside > 0 and len(text.split()) >= RUN and opened["li"] > 0
+                out.append((text, furniture > 0, around > 0, inside > 0, not item and not prose))
             run.clear()
 
     def close(upto: int) -> None:
-        nonlocal furniture, inside, around
+        nonlocal furniture, inside, around, prose
         while len(open_tags) > upto:
-            _, f, m, a = open_tags.pop()
+            name, f, m, a = open_tags.pop()
+            opened[name] -= 1
+            prose -= name in PROSE
+            if name in BLOCK:
+                block_at.pop()
             furniture -= f
             inside -= m
             around -= a
 
-    at, end = 0, len(page)
+    at, end, tags = 0, len(page), Tags(page)
     while at < end:
-        tag = _TAG.search(page, at)
+        tag = tags.find(at)
         if tag is None:
             run.append(page[at:])
             break
-        if tag.start() > at:
-            run.append(page[at : tag.start()])
-        at = tag.end()
-        name = (tag[2] or "").lower()
+        start, after, slash, name, attributes = tag
+        if start > at:
+            run.append(page[at:start])
+        at = after
         if not name:
             continue
-        if tag[1]:
-            for i in range(len(open_tags) - 1, -1, -1):
-                if open_tags[i][0] == name:
-                    if name in BLOCK or any(t in BLOCK or f or a for t, f, _, a in open_tags[i:]):
-                        flush()
-                    close(i)
-                    break
-            else:
-                if name in BLOCK:
+        if slash:
+            if opened[name]:
+                i = next(i for i in range(len(open_tags) - 1, -1, -1) if open_tags[i][0] == name)
+                if name in BLOCK or any(t in BLOCK or f or a for t, f, _, a in open_tags[i:]):
                     flush()
+                close(i)
+            elif name in BLOCK:
+                flush()
             continue
         if name in VOID:
             if name in BLOCK:
@@ -162,30 +202,25 @@ def blocks(page: str) -> tuple[list[str], list[bool], list[str]]:
             elif name == "br":
                 run.append(" ")
             continue
-        (f, named), m = _is_furniture(name, tag[3]), _is_main(name, tag[3])
+        (f, named), m = _is_furniture(name, attributes), _is_main(name, attributes)
         a = named and not inside
         if name in BLOCK or f or m:
             flush()
-        if name in BLOCK:
-            for i in range(len(open_tags) - 1, -1, -1):
-                if open_tags[i][0] == "p":
-                    close(i)
-                    break
-                if open_tags[i][0] in BLOCK:
-                    break
-        if name == "li" or name in ("td", "th", "tr", "dt", "dd"):
-            for i in range(len(open_tags) - 1, -1, -1):
+        if name in BLOCK and block_at and open_tags[block_at[-1]][0] == "p":
+            close(block_at[-1])
+        if name in ("li", "td", "th", "tr", "dt", "dd") and opened[name]:
+            for i in reversed(block_at):
                 if open_tags[i][0] == name:
                     close(i)
                     break
                 if open_tags[i][0] in ("ul", "ol", "table", "dl"):
                     break
-        if tag[3].endswith("/") and name not in BLOCK and name not in RAW:
+        if attributes.endswith("/") and name not in BLOCK and name not in RAW:
             continue
         if name in RAW:
             stop = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
             if name in ("noscript", "textarea", "title") and stop:
-                text = " ".join(html.unescape(re.sub(r"<[^>]*>", " ", page[at : stop.start()])).split())
+                text = " ".join(html.unescape(_without_tags(page[at : stop.start()])).split())
                 if text:
                     out.append((text, True, False, inside > 0, True))
             at = stop.end() if stop else end
@@ -193,7 +228,11 @@ def blocks(page: str) -> tuple[list[str], list[bool], list[str]]:
         f = f and not a
         has_main |= m and not furniture and not around and not f
         wrapped += m and not furniture and around > 0 and not inside and not f
+        if name in BLOCK:
+            block_at.append(len(open_tags))
         open_tags.append((name, f, m, a))
+        opened[name] += 1
+        prose += name in PROSE
         furniture += f
         inside += m
         around += a

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -104,3 +106,22 @@ def test_runs_are_found_across_shards(spark, rows):
 
 def test_no_pages(spark):
     assert html_text.main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+@pytest.mark.parametrize("bad", ['<a "x ', "<!", "<div>", "</x>", "<b>x<p></p>", "<noscript><", "\"'> <a ", "<a '> ", "<div>x"])
+def test_broken_pages_take_time_in_proportion(bad):
+    seconds = []
+    for size in (100_000, 800_000):
+        start = time.process_time()
+        html_text.blocks(bad * (size // len(bad)))
+        seconds.append(time.process_time() - start)
+    assert seconds[1] < 24 * max(seconds[0], 0.05)  # the square would be 64 times as much
+
+
+def test_tags_cut_off_and_quotes_left_open():
+    assert html_text.blocks('<p>cut <b class="x')[0] == ["cut"]
+    assert html_text.blocks("<p>kept</p><!-- never closed <p>gone")[0] == ["kept"]
+    assert html_text.blocks("<p>kept</p><!doctype")[0] == ["kept"]
+    # an open quote: from this tag on a tag ends at the next >
+    assert html_text.blocks('<article><p>one <a href="x>two</a> three <i title=y>four</i></p></article>')[0] == ["one two three four"]
+    assert html_text.blocks("<p>3 < 4 and a<3</p>")[0] == ["3 < 4 and a<3"]
