@@ -58,7 +58,7 @@ def sync(spark, assets, columns, known=(), known_columns=(), config=TAGS, **opti
     )
 
 
-HEALTH = ("healthcare", "dbo", "patient_health_records")
+HEALTH = ("clinic_lake", "dbo", "visit_files")
 
 
 def health(spark, **options):
@@ -66,8 +66,8 @@ def health(spark, **options):
         spark,
         [(*HEALTH, None, None, "Collibra", ["gdpr_art9", "clinical"], [])],
         [
-            (*HEALTH, "genetic_markers", "text", None, ["biometric"]),
-            (*HEALTH, "patient_email", "text", None, ["PII.Email"]),
+            (*HEALTH, "scan_marks", "text", None, ["biometric"]),
+            (*HEALTH, "guest_email", "text", None, ["PII.Email"]),
         ],
         **options,
     )
@@ -78,9 +78,9 @@ def test_special_category_table(spark):
     got = health(spark, write=lambda name, df: written.update({name: df.count()}))
     table = got.tables.first()
     assert (table.sensitivity, table.requires_four_eyes, table.is_active) == ("HIGH", True, True)
-    assert table.display_name == "patient_health_records"
+    assert table.display_name == "visit_files"
     rules = {r.column_name: (r.is_sensitive, r.rule_type) for r in got.columns.collect()}
-    assert rules == {"genetic_markers": (False, None), "patient_email": (True, "MASK_EMAIL")}
+    assert rules == {"scan_marks": (False, None), "guest_email": (True, "MASK_EMAIL")}
     counters = got.counters.first().asDict()
     assert counters == {
         "synced_tables": 1,

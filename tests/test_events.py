@@ -73,7 +73,7 @@ def test_catalog_event_checks(spark):
             delivery(3, {**CHANGE, "id": 2}, sent=late),
             delivery(4, {**CHANGE, "id": 3}, sent=None, signature="ab" * 32),
             delivery(5, {**CHANGE, "id": 4}, signature=" "),
-            delivery(6, [{"eventType": "e", "data": {"qualifiedName": "finance_db/accounts"}}]),
+            delivery(6, [{"eventType": "e", "data": {"qualifiedName": "ledger/books"}}]),
             delivery(7, {"entityType": "dashboard"}),
             delivery(8, "not json"),
             delivery(9, text, received=T0 + timedelta(minutes=1)),
@@ -93,7 +93,7 @@ def test_catalog_event_checks(spark):
         10: "REJECTED_INVALID_SIGNATURE",
     }
     epochs = {(r.domain, r.schema_name, r.table_name): r.increments for r in catalog_epochs(done).collect()}
-    assert epochs == {("sales_dw", "public", "orders"): 1, ("finance_db", "public", "accounts"): 1}
+    assert epochs == {("sales_dw", "public", "orders"): 1, ("ledger", "public", "books"): 1}
 
 
 def test_base64_and_legacy_signatures(spark):
