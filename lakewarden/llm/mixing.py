@@ -8,7 +8,7 @@ the bucket in which the budget ends, then that bucket alone by the next bits, un
 sorted by document.
 
 Defined results: null and empty texts have size 0 and take nothing; a null source is a source of its own, last; documents of
-equal id share a hash and are taken alike; the very last hash is taken when that brings the source nearer to its budget (a
+equal id share a hash, and those of equal size too are taken alike; the very last hash is taken when that brings the source nearer to its budget (a
 tie leaves it out); an empty table gives no rows; extra columns are kept out of the result.
 """
 
@@ -112,9 +112,12 @@ def mixed(docs: DataFrame, text: str = "text", source: str = "source", key: str
 def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id") -> DataFrame:
     """The mix itself: each document as many times as it is taken, with all its columns."""
     plan = mixed(docs, text, source, key)
-    picks = plan.groupBy("source", "hash").agg(F.max("copies").alias("__copies")).filter("__copies > 0")
-    picks = picks.select(F.col("source").alias("__source"), F.col("hash").alias("__hash"), "__copies")
-    joined = docs.join(picks, docs[source].eqNullSafe(picks["__source"]) & (hash60(docs[key]) == picks["__hash"]))
+    # rows of equal source, id and size are taken alike
+    picks = plan.groupBy("source", "hash", "size").agg(F.max("copies").alias("__copies")).filter("__copies > 0")
+    picks = picks.select(F.col("source").alias("__source"), F.col("hash").alias("__hash"), F.col("size").alias("__size"), "__copies")
+    size = F.size(words_of(docs[text])).cast("long")
+    same = docs[source].eqNullSafe(picks["__source"]) & (hash60(docs[key]) == picks["__hash"]) & (size == picks["__size"])
+    joined = docs.join(picks, same)
     doc = F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("doc")
     return joined.select(doc, F.explode(F.sequence(F.lit(1), picks["__copies"].cast("int")))).select("doc.*")
 
