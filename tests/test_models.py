@@ -17,7 +17,7 @@ PENDING = "table_id string, column_name string, rule_type string, status string"
 
 def manifest(**more):
     customers = {
-        "name": "base_clients",
+        "name": "raw_clients",
         "database": "postgres",
         "schema": "raw",
         "description": "All customers",
@@ -40,9 +40,9 @@ def manifest(**more):
         "database": "postgres",
         "schema": "analytics",
         "meta": {"casbin_roles": "analyst", "rls_filter": "x = 1"},
-        "depends_on": {"nodes": ["MODEL.shop.base_clients", "source.other", ""]},
+        "depends_on": {"nodes": ["MODEL.shop.raw_clients", "source.other", ""]},
     }
-    return {"nodes": {"model.shop.base_clients": customers, "Seed.shop.mart_sales": orders, "macro.shop.m": {"name": "m"}}}
+    return {"nodes": {"model.shop.raw_clients": customers, "Seed.shop.mart_sales": orders, "macro.shop.m": {"name": "m"}}}
 
 
 def documents(spark, *manifests):
@@ -57,7 +57,7 @@ def test_ingest(spark, rows):
     got = ingest(spark)
     assert rows(got.models, "table_id", "materialization", "contract_enforced", "tags") == [
         ("postgres.analytics.mart_sales", "table", False, []),
-        ("postgres.raw.base_clients", "view", True, ["x"]),
+        ("postgres.raw.raw_clients", "view", True, ["x"]),
     ]
     assert rows(got.proposals, "column_name", "rule_type", "source_tag", "owner") == sorted([
         ("*", "CASBIN_ROLES:analyst", "meta.casbin_roles", None),
@@ -68,10 +68,10 @@ def test_ingest(spark, rows):
         ("region", "RLS_FILTER:region = 'EU'", "meta.rls_filter", "crm"),
         ("tax_id", "REDACT", "ssn", "crm"),
     ], key=repr)
-    assert rows(got.edges) == [("postgres.raw.base_clients", "postgres.analytics.mart_sales")]
-    assert rows(got.nodes, "name", "downstream", "owner_team") == [("mart_sales", 0, None), ("base_clients", 1, "crm")]
+    assert rows(got.edges) == [("postgres.raw.raw_clients", "postgres.analytics.mart_sales")]
+    assert rows(got.nodes, "name", "downstream", "owner_team") == [("mart_sales", 0, None), ("raw_clients", 1, "crm")]
     assert rows(child_lists(got.edges), "parent", "children") == [
-        ("postgres.raw.base_clients", ["postgres.analytics.mart_sales"])
+        ("postgres.raw.raw_clients", ["postgres.analytics.mart_sales"])
     ]
     wide = spark.range(100).selectExpr("'p' AS parent", "CAST(id AS STRING) AS child")
     spread = child_lists(wide, per_row=10)
@@ -81,9 +81,9 @@ def test_ingest(spark, rows):
 
 def test_pending_proposals_are_not_repeated(spark, rows):
     waiting = [
-        ("POSTGRES.raw.base_clients", "EMAIL_address", "REDACT", "PendingReview"),
-        ("postgres.raw.base_clients", "region", "REDACT", "PendingReview"),
-        ("postgres.raw.base_clients", "tax_id", "REDACT", "Rejected"),
+        ("POSTGRES.raw.raw_clients", "EMAIL_address", "REDACT", "PendingReview"),
+        ("postgres.raw.raw_clients", "region", "REDACT", "PendingReview"),
+        ("postgres.raw.raw_clients", "tax_id", "REDACT", "Rejected"),
         ("postgres.analytics.mart_sales", "*", "CASBIN_ROLES:old", "PendingReview"),
     ]
     names = {(r.column_name, r.rule_type[:4]) for r in ingest(spark, waiting).proposals.collect()}
@@ -119,17 +119,17 @@ def test_review(spark, rows):
     settled = updated.select(*proposals.columns)
     _, again = review(settled, decisions.where("decision = 'reject'"))
     assert {r.reason for r in again.collect()} == {"NOT_PENDING"}
-    assert pending_proposals(settled, "POSTGRES.raw.base_clients").count() == 2
+    assert pending_proposals(settled, "POSTGRES.raw.raw_clients").count() == 2
 
 
 def test_descriptions(spark, rows):
     got = ingest(spark)
     tables = spark.createDataFrame(
-        [("postgres.raw.STG_customers", "old", None), ("a.b.c", "kept", "long")],
+        [("postgres.raw.RAW_clients", "old", None), ("a.b.c", "kept", "long")],
         "table_id string, description string, long_description string",
     )
     columns = spark.createDataFrame(
-        [("postgres.raw.base_clients", "Email_Address", "old", None), ("postgres.raw.base_clients", "tax_id", "old", None)],
+        [("postgres.raw.raw_clients", "Email_Address", "old", None), ("postgres.raw.raw_clients", "tax_id", "old", None)],
         "table_id string, column_name string, description string, long_description string",
     )
     t, c = sync_descriptions(tables, columns, got.models, got.columns)
@@ -138,7 +138,7 @@ def test_descriptions(spark, rows):
 
 
 def contract(spark, active, **more):
-    columns = [("postgres.raw.base_clients", n, t) for n, t in active]
+    columns = [("postgres.raw.raw_clients", n, t) for n, t in active]
     active_columns = spark.createDataFrame(columns, "table_id string, column_name string, data_type string")
     return check_contract(documents(spark, manifest(**more)), active_columns.select("table_id"), active_columns)
 
@@ -149,8 +149,8 @@ def test_contract(spark, rows):
     assert changes.count() == 0 and report.first().compatible
     changes, report = contract(spark, [*same, ("phone_number", "varchar"), ("ref", "bigint")])
     assert rows(changes) == [
-        ("postgres.raw.base_clients", "phone_number", "DROPPED_COLUMN", "varchar", None),
-        ("postgres.raw.base_clients", "ref", "DATA_TYPE_MISMATCH", "bigint", "text"),
+        ("postgres.raw.raw_clients", "phone_number", "DROPPED_COLUMN", "varchar", None),
+        ("postgres.raw.raw_clients", "ref", "DATA_TYPE_MISMATCH", "bigint", "text"),
     ]
     assert report.first().asDict() == {"validated_models": 1, "breaking_changes": 2, "new_models": 0, "compatible": False}
     changes, report = contract(spark, [("gone", "int")], contract={"enforced": False})
@@ -221,7 +221,7 @@ def test_lineage_event(spark):
     nodes = ingest(spark).nodes
     events = export.lineage_events(export.lineage_datasets(nodes, "t"), "t", "job", "https://example.org", NOW)
     (event,) = [json.loads(r.event) for r in events.collect()]
-    assert [i["name"] for i in event["inputs"]] == ["postgres.raw.base_clients"]
+    assert [i["name"] for i in event["inputs"]] == ["postgres.raw.raw_clients"]
     assert [o["name"] for o in event["outputs"]] == ["postgres.analytics.mart_sales"]
     assert event["eventType"] == "COMPLETE" and json.loads(event["inputs"][0]["facets"])["type"] == "Table"
     many = spark.range(100).select(
