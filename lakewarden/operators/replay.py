@@ -4,7 +4,7 @@ A delivery is taken if neither its event key nor its signature key was taken wit
 live; if the second key is not free, the first is given back. So whether one key is free depends
 on the other keys of earlier deliveries. In most data it does not come to that: if all deliveries
 with a signature name the same event, a taken signature means a taken event, and the signature
-decides nothing (and the other way round). Such keys are dropped by counts per pair of keys, and
+decides nothing (and the other way round). Such keys are dropped by counts per key, and
 what is left with one key follows its own time chain, which is safe for hot keys. Only deliveries
 whose keys cross are walked together, one component of crossing keys at a time, in time order.
 """
@@ -50,23 +50,23 @@ class KeysHeld:
         return True
 
 
-def deciding_keys(pairs: DataFrame) -> DataFrame:
-    """Of distinct `(k1, k2)`, nulls allowed, the keys that decide: adds `use1` and `use2`.
+def deciding_keys(rows: DataFrame) -> DataFrame:
+    """Adds `key1` and `key2`, of the keys `k1` and `k2` (nulls allowed) those that decide.
 
     k2 is dropped where it always comes with the same k1, and k1 where it always comes with the
     same k2 that is not dropped itself.
     """
-    of_second = pairs.where("k2 is not null").groupBy(F.col("k2").alias("__k2")).agg(
-        ((F.count("k1") == 1) & (F.count(F.lit(1)) == 1)).alias("__same1")
-    )
-    marked = pairs.join(of_second, F.col("k2") == F.col("__k2"), "left").select(
-        "k1", "k2", (F.col("k2").isNotNull() & ~F.coalesce("__same1", F.lit(False))).alias("use2")
-    )
-    of_first = marked.where("k1 is not null").groupBy(F.col("k1").alias("__k1")).agg(
-        ((F.count(F.lit(1)) == 1) & F.bool_and("use2")).alias("__same2")
+    one_first = (F.min("k1") == F.max("k1")) & (F.count("k1") == F.count(F.lit(1)))
+    of_second = rows.where("k2 is not null").groupBy(F.col("k2").alias("__k2")).agg(one_first.alias("__same1"))
+    marked = rows.join(of_second, F.col("k2") == F.col("__k2"), "left").withColumn(
+        "key2", F.when(~F.coalesce("__same1", F.lit(False)), F.col("k2"))
     )
+    one_second = (F.min("key2") == F.max("key2")) & (F.count("key2") == F.count(F.lit(1)))
+    of_first = marked.where("k1 is not null").groupBy(F.col("k1").alias("__k1")).agg(one_second.alias("__same2"))
     joined = marked.join(of_first, F.col("k1") == F.col("__k1"), "left")
-    return joined.select("k1", "k2", (F.col("k1").isNotNull() & ~F.coalesce("__same2", F.lit(False))).alias("use1"), "use2")
+    return joined.withColumn("key1", F.when(~F.coalesce("__same2", F.lit(False)), F.col("k1"))).drop(
+        "__k1", "__k2", "__same1", "__same2"
+    )
 
 
 def _walked(crossing: DataFrame, tie: str, ttl_us: int, step: int) -> DataFrame:
@@ -135,23 +135,14 @@ def mark_joint_replays(
         F.unix_micros(F.col(at).cast("timestamp")).alias("__at"),
         tie,
     )
-    instants = checkpoint(keyed.groupBy("k1", "k2", "__at").agg(F.min(tie).alias(tie)))
-    pairs = checkpoint(deciding_keys(instants.select("k1", "k2").distinct()))
-    both = F.col("use1") & F.col("use2")
-    cross = pairs.where(both)
-    named = pairs.select(
-        F.col("k1").alias("p1"),
-        F.col("k2").alias("p2"),
-        F.when(F.col("use1"), F.col("k1")).alias("key1"),
-        F.when(F.col("use2"), F.col("k2")).alias("key2"),
-    )
-    same = F.col("k1").eqNullSafe(F.col("p1")) & F.col("k2").eqNullSafe(F.col("p2"))
-    placed = instants.join(named, same).select("key1", "key2", "__at", tie)
+    instants = keyed.groupBy("k1", "k2", "__at").agg(F.min(tie).alias(tie))
+    placed = checkpoint(deciding_keys(instants).select("key1", "key2", "__at", tie))
+    cross = placed.where("key1 is not null and key2 is not null")
     key = F.coalesce("key1", "key2").alias("__key")
     if cross.isEmpty():
         accepted = accepted_in_time(placed.select(key, "__at", tie), "__key", tie, ttl_us, strict)
     else:
-        crossed = cross.select(F.explode(F.array("k1", "k2")).alias("crossed")).distinct()
+        crossed = cross.select(F.explode(F.array("key1", "key2")).alias("crossed")).distinct()
         marked = placed.join(crossed, F.coalesce("key1", "key2") == F.col("crossed"), "left")
         alone = marked.where("crossed is null").select(key, "__at", tie)
         together = marked.where("crossed is not null").drop("crossed")
