@@ -191,9 +191,10 @@ def sync_descriptions(
     """Descriptions of known tables and columns, replaced where a model documents them.
 
     `tables`: `table_id`, `description`, `long_description`; `columns` likewise with
-    `column_name`. Tables without a model stay as they are.
+    `column_name`. Tables without a model stay as they are. Both sides grow with the catalogue, and
+    rows parsed from JSON are estimated far too small, so they meet by shuffles.
     """
-    m = models.select(
+    m = models.hint("merge").select(
         F.lower("table_id").alias("__t"),
         F.col("description").alias("__d"),
         _meta("long_description").alias("__l"),
@@ -203,7 +204,7 @@ def sync_descriptions(
         F.coalesce("__d", "description").alias("description"),
         F.coalesce("__l", "long_description").alias("long_description"),
     )
-    c = model_cols.select(
+    c = model_cols.hint("merge").select(
         F.lower("table_id").alias("__t"),
         F.lower("column_name").alias("__c"),
         F.col("description").alias("__d"),
