@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from lakewarden.operators.proposals import sync_descriptions
+from lakewarden.plans.queries import QUERIES
 
 
 def plan_of(df) -> str:
@@ -17,3 +18,16 @@ def test_descriptions_meet_by_shuffles(spark):
     for df in sync_descriptions(tables, columns, models, model_cols):
         assert "BroadcastHashJoin" not in plan_of(df)
         assert [r.description for r in df.collect()] == ["new"]
+
+
+def test_a_million_parts_are_not_broadcast(spark, tmp_path):
+    part = spark.range(1_200_000).selectExpr("id AS p_partkey", "concat('hot bolt', id % 9) AS p_name")
+    part.write.parquet(f"{tmp_path}/part.parquet")
+    before = spark.conf.get("spark.sql.sources.fileCompressionFactor")
+    try:
+        QUERIES["team_identifiers"](spark, "/root/testdata/sf0.001")
+        parts = spark.read.parquet(f"{tmp_path}/part.parquet")
+        plan = plan_of(parts.join(parts.select("p_partkey"), "p_partkey"))
+    finally:
+        spark.conf.set("spark.sql.sources.fileCompressionFactor", before)
+    assert "BroadcastHashJoin" not in plan
