@@ -51,19 +51,21 @@ class KeysHeld:
 
 
 def deciding_keys(rows: DataFrame) -> DataFrame:
-    """Adds `key1` and `key2`, of the keys `k1` and `k2` (nulls allowed) those that decide.
+    """Adds `key1` and `key2`, of the keys `k1` and `k2` (`1:…`, `2:…`, nulls allowed) those that decide.
 
     k2 is dropped where it always comes with the same k1, and k1 where it always comes with the
-    same k2 that is not dropped itself.
+    same k2 that is not dropped itself. Rows without a key are dealt by their own values, as names
+    that no key has; as nulls they would all meet in one task.
     """
+    lone = F.concat(F.lit("0:"), F.xxhash64(*rows.columns).cast("string"))
     one_first = (F.min("k1") == F.max("k1")) & (F.count("k1") == F.count(F.lit(1)))
     of_second = rows.where("k2 is not null").groupBy(F.col("k2").alias("__k2")).agg(one_first.alias("__same1"))
-    marked = rows.join(of_second, F.col("k2") == F.col("__k2"), "left").withColumn(
+    marked = rows.join(of_second, F.coalesce("k2", lone) == F.col("__k2"), "left").withColumn(
         "key2", F.when(~F.coalesce("__same1", F.lit(False)), F.col("k2"))
     )
     one_second = (F.min("key2") == F.max("key2")) & (F.count("key2") == F.count(F.lit(1)))
     of_first = marked.where("k1 is not null").groupBy(F.col("k1").alias("__k1")).agg(one_second.alias("__same2"))
-    joined = marked.join(of_first, F.col("k1") == F.col("__k1"), "left")
+    joined = marked.join(of_first, F.coalesce("k1", lone) == F.col("__k1"), "left")
     return joined.withColumn("key1", F.when(~F.coalesce("__same2", F.lit(False)), F.col("k1"))).drop(
         "__k1", "__k2", "__same1", "__same2"
     )

@@ -6,10 +6,11 @@ import random
 from datetime import datetime, timedelta, timezone
 
 import pytest
+from pyspark.sql import functions as F
 
 from lakewarden.operators import chains
 from lakewarden.operators.components import connected_components
-from lakewarden.operators.replay import mark_joint_replays
+from lakewarden.operators.replay import deciding_keys, mark_joint_replays
 
 T0 = datetime(2026, 3, 1, tzinfo=timezone.utc)
 SCHEMA = "n int, e string, s string, at timestamp"
@@ -81,3 +82,14 @@ def test_components(spark, seed):
             name[a] = name[b] = low
     got = connected_components(spark.createDataFrame(edges, "a string, b string"), "a", "b")
     assert {x.node: x.component for x in got.collect()} == name
+
+
+def test_deliveries_without_an_event_are_spread(spark):
+    rows = spark.createDataFrame([(None, f"2:s{n}", n, n) for n in range(200)], "k1 string, k2 string, __at bigint, n int")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = deciding_keys(rows).select("key1", "key2", F.spark_partition_id().alias("part")).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert {r.part for r in found} == {0, 1}
+    assert {(r.key1, r.key2) for r in found} == {(None, f"2:s{n}") for n in range(200)}
