@@ -13,7 +13,9 @@ slot, so common passages come last. Equal sets are one node. Nodes with equal pr
    pairs that shorter lists left over in 1., members in different components meet too. So no link is lost, and a large group
    of near copies costs pairs with its pivots, not all pairs.
 
-Sets are made from whole texts wherever they are needed; only prefixes are stored. Lists of frequent shingles are dealt to
+Sets are made from whole texts wherever they are needed; only prefixes and sketches are stored. A sketch has the parity of the
+set's hashes per slot, so two sketches differ in no more slots than their sets in shingles; pairs whose sketches differ in too
+many cannot link and never meet their texts. Lists of frequent shingles are dealt to
 several tasks. Pairs, links and components stay in tables.
 
 Defined results: null and blank texts have an empty set and are linked with nothing; with fewer than three words the whole
@@ -46,6 +48,8 @@ LIST = 50_000
 #: Hash slots that shingle counts are kept in; their number bounds what is shipped. Parts that they are added up in.
 SLOTS = 1 << 22
 PARTS = 256
+#: Slots of the smallest sketch; larger sets have half as many slots as shingles, or up to as many.
+SKETCH = 256
 #: Pivots of a long list's size band, one for each class of shingles.
 PIVOTS = 8
 REMEMBERED = 800_000
@@ -95,6 +99,24 @@ def similar(a: int, b: int, common: int) -> bool:
     return 100 * common >= SHARE * (a + b - common)
 
 
+def sketch(hashes: np.ndarray) -> bytes:
+    """Parity of the number of hashes in each slot; the number of slots is a power of two."""
+    slots = max(SKETCH, 1 << (len(hashes) // 2).bit_length())
+    odd = np.bincount((hashes >> np.uint64(20) & np.uint64(slots - 1)).astype(np.int64), minlength=slots) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def differing(x: bytes, y: bytes) -> int:
+    """Slots in which two sketches differ, after folding the longer one: at most the shingles that only one of the sets has."""
+    if len(x) < len(y):
+        x, y = y, x
+    a, n = int.from_bytes(x, "big"), 8 * len(x)
+    while n > 8 * len(y):
+        n //= 2
+        a = (a >> n) ^ (a & ((1 << n) - 1))
+    return (a ^ int.from_bytes(y, "big")).bit_count()
+
+
 def _texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     return [t or b"" for t in batch.column(name).cast(pa.binary()).to_pylist()]
 
@@ -131,26 +153,27 @@ def frequency_classes(docs: DataFrame) -> np.ndarray:
 
 
 def nodes_of(docs: DataFrame, classes: np.ndarray) -> DataFrame:
-    """Of (row, id, text, doc): the text packed, digests of its set (`node`) and of prefix and size (`group`), size and prefix."""
+    """Of (row, id, text, doc): the text packed, digests of its set (`node`) and of prefix and size (`group`), size, prefix and sketch."""
     shared = docs.sparkSession.sparkContext.broadcast(classes)
 
     def read(batches):
         press = zstandard.ZstdCompressor(level=1)
         for batch in pieces(batches):
-            node, group, size, prefix, packed = [], [], [], [], []
+            node, group, size, prefix, sketched, packed = [], [], [], [], [], []
             for t in _texts(batch):
                 own = shingles(t)
                 size.append(len(own))
                 node.append(hashlib.md5(own.tobytes()).digest())
                 prefix.append(ordered(own, shared.value)[: prefix_length(len(own))].astype(np.int64))
                 group.append(hashlib.md5(len(own).to_bytes(8, "little") + prefix[-1].tobytes()).digest())
+                sketched.append(sketch(own))
                 packed.append(press.compress(t))
-            made = [pa.array(packed, pa.binary()), pa.array(node, pa.binary()), pa.array(group, pa.binary()), pa.array(size, pa.int64()), pa.array(prefix, pa.list_(pa.int64()))]
-            names = ["packed", "node", "group", "size", "prefix"]
+            made = [pa.array(packed, pa.binary()), pa.array(node, pa.binary()), pa.array(group, pa.binary()), pa.array(size, pa.int64()), pa.array(prefix, pa.list_(pa.int64())), pa.array(sketched, pa.binary())]
+            names = ["packed", "node", "group", "size", "prefix", "sketch"]
             yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("id"), batch.column("no_text"), batch.column("doc"), *made], names=["row", "id", "no_text", "doc", *names])
 
     schema = T.StructType([docs.schema["row"], docs.schema["id"], docs.schema["no_text"], docs.schema["doc"]])
-    for name, kind in (("packed", T.BinaryType()), ("node", T.BinaryType()), ("group", T.BinaryType()), ("size", T.LongType()), ("prefix", T.ArrayType(T.LongType()))):
+    for name, kind in (("packed", T.BinaryType()), ("node", T.BinaryType()), ("group", T.BinaryType()), ("size", T.LongType()), ("prefix", T.ArrayType(T.LongType())), ("sketch", T.BinaryType())):
         schema = schema.add(name, kind)
     return docs.mapInArrow(read, schema)
 
@@ -159,13 +182,28 @@ def _enough(common, a: str, b: str):
     """Whether sets of sizes `a`, `b` may link if their prefixes share `common` shingles, or at most as many.
 
     A shingle of both sets that comes no later than the end of the prefix that ends first is in both prefixes; what comes
-    after it can be shared at most as a whole.
+    after it can be shared at most as a whole, and never more than the smaller set holds.
     """
     beyond = [F.floor((SHARE * F.col(x) + 99) / 100) - 1 for x in (a, b)]
-    upto = common + F.greatest(*beyond)
+    upto = F.least(common + F.greatest(*beyond), a, b)
     return 100 * upto >= SHARE * (F.col(a) + F.col(b) - upto)
 
 
+def near_enough(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sketches do not rule a link out."""
+
+    def keep(batches):
+        for batch in batches:
+            sides = zip(*(batch.column(c).to_pylist() for c in ("size_a", "size_b", "sketch_a", "sketch_b")), strict=True)
+            # sets of m and n shingles of which d are in one only share (m + n - d) / 2
+            kept = batch.filter(pa.array([100 * (m + n - (d := differing(x, y))) >= SHARE * (m + n + d) for m, n, x, y in sides], pa.bool_()))
+            yield pa.RecordBatch.from_arrays([kept.column("a"), kept.column("b")], names=["a", "b"])
+
+    side = [rows.select(F.col("row").alias(f"row_{x}"), F.col("size").alias(f"size_{x}"), F.col("sketch").alias(f"sketch_{x}")) for x in "ab"]
+    both = pairs.join(side[0].hint("merge"), F.col("a") == F.col("row_a")).join(side[1].hint("merge"), F.col("b") == F.col("row_b"))
+    return both.select("a", "b", "size_a", "size_b", "sketch_a", "sketch_b").mapInArrow(keep, "a long, b long")
+
+
 def verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     """Links among the pairs (a, b), by the sets of their whole texts."""
 
@@ -185,7 +223,7 @@ def verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
             kept = batch.filter(pa.array(keep, pa.bool_()))
             yield pa.RecordBatch.from_arrays([kept.column("a"), kept.column("b")], names=["a", "b"])
 
-    pairs = stored(pairs, "join-pairs")
+    pairs = stored(near_enough(pairs, rows), "join-pairs")
     needed = pairs.select(F.col("a").alias("n")).union(pairs.select("b")).distinct()
     texts = stored(rows.select("row", "packed").join(needed.hint("merge"), F.col("row") == F.col("n"), "left_semi"), "join-texts")
     text = [texts.select(F.col("row").alias(f"row_{x}"), F.col("packed").alias(f"text_{x}")) for x in "ab"]
@@ -345,8 +383,13 @@ def later_pairs(nodes: DataFrame, lists: DataFrame, roots: DataFrame, met: DataF
     return pairs.join(seen, (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")), "left_anti")
 
 
-def joined(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(row, id, no_text, packed, doc, size, root): every document with its set's size and its component (null if empty)."""
+def _with_roots(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows with the component of their set, null if it is empty."""
+    return rows.join(roots, (F.col("node") == F.col("of")) & (F.col("size") > 0), "left").drop("of")
+
+
+def _rows_and_roots(docs: DataFrame, text: str, key: str) -> tuple[DataFrame, DataFrame]:
+    """All documents as `nodes_of` gives them, and (of, root): the component of every set that is not empty."""
     named = docs.select(
         F.monotonically_increasing_id().alias("row"),
         F.col(key).alias("id"),
@@ -367,7 +410,13 @@ def joined(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFram
     if not more.isEmpty():
         roots = stored(components(links.union(more)), "join-roots")
     named_roots = nodes.join(roots.withColumnRenamed("node", "r"), F.col("n") == F.col("r"), "left").select(F.col("node").alias("of"), F.coalesce("root", "n").alias("root"))
-    return rows.join(named_roots, (F.col("node") == F.col("of")) & (F.col("size") > 0), "left").select("row", "id", "no_text", "packed", "doc", "size", "root")
+    return rows, named_roots
+
+
+def joined(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """(row, id, no_text, packed, doc, size, root): every document with its set's size and its component (null if empty)."""
+    rows, roots = _rows_and_roots(docs, text, key)
+    return _with_roots(rows, roots).select("row", "id", "no_text", "packed", "doc", "size", "root")
 
 
 def with_components(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -379,9 +428,11 @@ def with_components(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
 
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The documents without those that another of their component stands for; the smallest id stays, of repeated rows one."""
-    rows = joined(docs, text, key)
-    chosen = rows.filter("root is not null").groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("n"), "id", "row")).alias("m")).select(F.col("m.row").alias("stays"))
-    kept = rows.join(chosen, F.col("row") == F.col("stays"), "left").filter("root is null or stays is not null")
+    rows, roots = _rows_and_roots(docs, text, key)
+    chosen = _with_roots(rows.select("row", "id", "node", "size"), roots).filter("root is not null").groupBy("root")
+    chosen = chosen.agg(F.min(F.struct(F.col("id").isNull().alias("n"), "id", "row")).alias("m")).select(F.col("m.row").alias("stays"))
+    # texts are dealt once, by their row
+    kept = rows.join(chosen, F.col("row") == F.col("stays"), "left").filter("size = 0 or stays is not null")
 
     def unpacked(batches):
         unpack = zstandard.ZstdDecompressor()

@@ -190,3 +190,38 @@ def test_suffix_array(seed):
 def test_empty(empty):
     assert shingle_join.with_components(empty).count() == 0 and shingle_join.keep_one(empty).count() == 0
     assert repeated_text.removed(empty).count() == 0
+
+
+def test_sketches_and_sizes_never_rule_out_a_link():
+    r = np.random.default_rng(5)
+    linked = 0
+    for _ in range(400):
+        n = int(r.integers(1, 1500))
+        a = np.unique(r.integers(0, 1 << 60, n).astype(np.uint64))
+        b = np.unique(np.concatenate([a[r.random(len(a)) < 0.95], r.integers(0, 1 << 60, int(r.integers(0, 1 + n // 10))).astype(np.uint64)]))
+        common = len(np.intersect1d(a, b))
+        apart = shingle_join.differing(shingle_join.sketch(a), shingle_join.sketch(b))
+        assert apart <= len(a) + len(b) - 2 * common
+        linked += shingle_join.similar(len(a), len(b), common)
+    assert linked > 50
+    x, y = (r.integers(0, 1 << 60, 600).astype(np.uint64) for _ in "ab")
+    assert 19 * shingle_join.differing(shingle_join.sketch(x), shingle_join.sketch(y)) > 1200
+
+
+def test_texts_meet_only_for_pairs_that_may_link(spark, rows, monkeypatch):
+    """Sets that share rare shingles, but are too unlike or of too unlike sizes, never meet their texts."""
+    met = {}
+    real = shingle_join.stored
+
+    def stored(frame, name):
+        out = real(frame, name)
+        met.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(shingle_join, "stored", stored)
+    docs = [(i, f"here is a rare line {i // 3} " + " ".join(f"w{i % 3}x{i}x{k}" for k in range([300, 300, 90][i % 3]))) for i in range(30)]
+    docs += [(100, docs[0][1]), (101, docs[0][1] + " more")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert rows(shingle_join.with_components(frame)) == brute_components(docs)
+    assert met["join-first"][0] < 20  # each with its own group of three, without the third, whose size is too small
+    assert met["join-pairs"] == [1, 0]
