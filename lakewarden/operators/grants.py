@@ -19,7 +19,7 @@ from lakewarden.fixed_values import (
     HIGH_SENSITIVITY,
 )
 from lakewarden.operators.identity import ID
-from lakewarden.session import checkpoint
+from lakewarden.session import checkpoint, stored
 
 GRANT_KEY = ["tenant_id", *ID, "grantee_type", "grantee", "effect"]
 
@@ -231,24 +231,26 @@ def reconcile_grants(
     the smallest id stays; it is found by a combined minimum, never by gathering the copies.
     Both sides of the one comparison join then hold a grant once, so no key is hot in it.
     """
-    keepers, copies = _held_once(held, managed_tenants, config, now)
+    scoped = _in_scope(held, managed_tenants, config, now)
+    keepers = _held_once(scoped)
+    copies = scoped.join(keepers.select(F.col("held.id").alias("id")), "id", "left_anti")
     wanted = effective.select(*GRANT_KEY, F.lit(True).alias("wanted"))
     return _actions(keepers.join(wanted, GRANT_KEY, "full_outer"), copies, config, now)
 
 
-def _held_once(
-    held: DataFrame, managed_tenants: DataFrame, config: GrantConfig, now: datetime
-) -> tuple[DataFrame, DataFrame]:
-    """Held grants that the sync may touch: each once, and further copies of them."""
+def _in_scope(held: DataFrame, managed_tenants: DataFrame, config: GrantConfig, now: datetime) -> DataFrame:
+    """Held grants that the sync may touch."""
     at = F.lit(now).cast("timestamp")
-    scoped = (
+    return (
         held.where((F.col("marker") == config.marker) & (F.col("valid_to") > at))
         .join(managed_tenants.select("tenant_id").distinct(), "tenant_id", "left_semi")
         .select("id", *GRANT_KEY[:-2], F.upper("grantee").alias("grantee"), "effect", "valid_to")
     )
-    keepers = scoped.groupBy(*GRANT_KEY).agg(F.min(F.struct("id", "valid_to")).alias("held"))
-    copies = scoped.join(keepers.select(F.col("held.id").alias("id")), "id", "left_anti")
-    return keepers, copies
+
+
+def _held_once(scoped: DataFrame) -> DataFrame:
+    """Each grant once, with the copy that stays as `held`."""
+    return scoped.groupBy(*GRANT_KEY).agg(F.min(F.struct("id", "valid_to")).alias("held"))
 
 
 def _actions(compared: DataFrame, copies: DataFrame, config: GrantConfig, now: datetime) -> DataFrame:
@@ -362,14 +364,17 @@ def reconcile_classes(
 
     A held grant is wanted if the classes of its grantee and table are a pair. A pair of classes
     of which as many grants are held as it has members lacks none; only the others are expanded
-    and compared, so nothing grows with grantees times tables but the grants to create.
+    and compared, so nothing grows with grantees times tables but the grants to create. Held
+    grants are stored once, since finding the copies reads them again.
     """
-    keepers, copies = _held_once(held, managed_tenants, config, now)
+    scoped = stored(_in_scope(held, managed_tenants, config, now), "held-grants")
+    keepers = _held_once(scoped)
     placed = checkpoint(
         keepers.join(classes.grantees, ["grantee_type", "grantee"], "left")
         .join(classes.tables, ["tenant_id", *ID], "left")
         .join(classes.pairs.withColumn("wanted", F.lit(True)), ["gclass", "tclass", "effect"], "left")
     )
+    copies = scoped.join(placed.select(F.col("held.id").alias("id")), "id", "left_anti")
     has = placed.where("wanted").groupBy("gclass", "tclass", "effect").agg(F.count(F.lit(1)).alias("has"))
     sizes = {
         name: frame.groupBy(name).agg(F.count(F.lit(1)).alias(f"{name}_n"))

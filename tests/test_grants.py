@@ -264,3 +264,19 @@ def test_classes_plan_the_same_actions(spark, rows, seed):
     classes = grant_classes(grantee_rows, rule_rows, table_rows, grantable, config)
     got = reconcile_classes(classes, held_rows, table_rows, config, NOW)
     assert got.columns == want.columns and rows(got) == rows(want)
+
+
+def test_held_grants_are_read_once(spark, rows, tmp_path):
+    """Finding the further copies takes the held grants as stored, not as they are made, once more."""
+    from lakewarden.operators.grants import grant_classes, reconcile_classes
+
+    table_rows = spark.createDataFrame([("t", "d", "s", "a")], "tenant_id string, domain string, schema_name string, table_name string")
+    rule_rows = spark.createDataFrame([("p", "Deny", "a")], "policy_id string, effect string, resource string")
+    grantee_rows = spark.createDataFrame([("Role", "ann", "p")], "grantee_type string, grantee string, policy_id string")
+    held = [(i, "policy-sync", "t", "d", "s", "a", "Role", "Ann", "Deny", NOW + timedelta(days=200)) for i in range(3)]
+    spark.createDataFrame(held, HELD).write.parquet(str(tmp_path / "held"))
+    held_rows = spark.read.parquet(str(tmp_path / "held"))
+    classes = grant_classes(grantee_rows, rule_rows, table_rows, table_rows.select("domain", "schema_name", "table_name"), GrantConfig())
+    got = reconcile_classes(classes, held_rows, table_rows, GrantConfig(), NOW)
+    assert not [f for f in got.inputFiles() if str(tmp_path) in f]
+    assert rows(got, "action", "id") == [("keep", 0), ("revoke", 1), ("revoke", 2)]
