@@ -50,6 +50,8 @@ SLOTS = 1 << 22
 PARTS = 256
 #: Slots of the smallest sketch; larger sets have half as many slots as shingles, or up to as many.
 SKETCH = 256
+#: Numbers of 64 bits of the sketch of one length that all sets have, which joins compare.
+FOLDED = 8
 #: Pivots of a long list's size band, one for each class of shingles.
 PIVOTS = 8
 REMEMBERED = 800_000
@@ -106,6 +108,12 @@ def sketch(hashes: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
+def folded(hashes: np.ndarray) -> np.ndarray:
+    """The same parity in `64 * FOLDED` slots, whatever the set's size."""
+    odd = np.bincount((hashes >> np.uint64(20) & np.uint64(64 * FOLDED - 1)).astype(np.int64), minlength=64 * FOLDED) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def differing(x: bytes, y: bytes) -> int:
     """Slots in which two sketches differ, after folding the longer one: at most the shingles that only one of the sets has."""
     if len(x) < len(y):
@@ -159,7 +167,7 @@ def nodes_of(docs: DataFrame, classes: np.ndarray) -> DataFrame:
     def read(batches):
         press = zstandard.ZstdCompressor(level=1)
         for batch in pieces(batches):
-            node, group, size, prefix, sketched, packed = [], [], [], [], [], []
+            node, group, size, prefix, sketched, parity, packed = [], [], [], [], [], [], []
             for t in _texts(batch):
                 own = shingles(t)
                 size.append(len(own))
@@ -167,13 +175,14 @@ def nodes_of(docs: DataFrame, classes: np.ndarray) -> DataFrame:
                 prefix.append(ordered(own, shared.value)[: prefix_length(len(own))].astype(np.int64))
                 group.append(hashlib.md5(len(own).to_bytes(8, "little") + prefix[-1].tobytes()).digest())
                 sketched.append(sketch(own))
+                parity.append(folded(own))
                 packed.append(press.compress(t))
-            made = [pa.array(packed, pa.binary()), pa.array(node, pa.binary()), pa.array(group, pa.binary()), pa.array(size, pa.int64()), pa.array(prefix, pa.list_(pa.int64())), pa.array(sketched, pa.binary())]
-            names = ["packed", "node", "group", "size", "prefix", "sketch"]
+            made = [pa.array(packed, pa.binary()), pa.array(node, pa.binary()), pa.array(group, pa.binary()), pa.array(size, pa.int64()), pa.array(prefix, pa.list_(pa.int64())), pa.array(sketched, pa.binary()), pa.array(parity, pa.list_(pa.int64()))]
+            names = ["packed", "node", "group", "size", "prefix", "sketch", "folded"]
             yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("id"), batch.column("no_text"), batch.column("doc"), *made], names=["row", "id", "no_text", "doc", *names])
 
     schema = T.StructType([docs.schema["row"], docs.schema["id"], docs.schema["no_text"], docs.schema["doc"]])
-    for name, kind in (("packed", T.BinaryType()), ("node", T.BinaryType()), ("group", T.BinaryType()), ("size", T.LongType()), ("prefix", T.ArrayType(T.LongType())), ("sketch", T.BinaryType())):
+    for name, kind in (("packed", T.BinaryType()), ("node", T.BinaryType()), ("group", T.BinaryType()), ("size", T.LongType()), ("prefix", T.ArrayType(T.LongType())), ("sketch", T.BinaryType()), ("folded", T.ArrayType(T.LongType()))):
         schema = schema.add(name, kind)
     return docs.mapInArrow(read, schema)
 
@@ -189,6 +198,13 @@ def _enough(common, a: str, b: str):
     return 100 * upto >= SHARE * (F.col(a) + F.col(b) - upto)
 
 
+def _alike(a: str, b: str, size_a: str, size_b: str):
+    """Whether the folded sketches do not rule a link out: of `d` shingles in one set only, at most `d` slots differ."""
+    differ = sum((F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(FOLDED)), F.lit(0))
+    both = F.col(size_a) + F.col(size_b)
+    return 100 * (both - differ) >= SHARE * (both + differ)
+
+
 def near_enough(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sketches do not rule a link out."""
 
@@ -339,13 +355,17 @@ def first_pairs(nodes: DataFrame, lists: DataFrame) -> DataFrame:
 
 
 def _across(labelled: DataFrame, key: str) -> DataFrame:
-    """(a, b, sizes) for nodes of one key in different components, of which one is outside of the key's largest component."""
+    """(a, b, sizes) for nodes of one key in different components, of which one is outside of the key's largest component.
+
+    Pairs whose sketches rule a link out are not made.
+    """
     per_root = labelled.groupBy(key, "root").agg(F.count("*").alias("n"))
     mixed = per_root.groupBy(F.col(key).alias("k")).agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots")).filter("roots > 1").drop("roots")
     found = stored(labelled.join(mixed, F.col(key) == F.col("k")).drop("k"), "join-mixed")
-    aside = found.filter("root <> main").select(key, "node", "size", "most", "root")
-    other = found.select(F.col(key).alias("k"), F.col("node").alias("o"), F.col("size").alias("size_o"), F.col("most").alias("most_o"), F.col("root").alias("root_o"), (F.col("root") == F.col("main")).alias("in_main"))
-    pairs = aside.join(other, (F.col(key) == F.col("k")) & (F.col("root") != F.col("root_o")) & _enough(F.least("most", "most_o"), "size", "size_o") & (F.col("in_main") | (F.col("node") < F.col("o"))))
+    aside = found.filter("root <> main").select(key, "node", "size", "most", "root", "folded")
+    other = found.select(F.col(key).alias("k"), F.col("node").alias("o"), F.col("size").alias("size_o"), F.col("most").alias("most_o"), F.col("root").alias("root_o"), (F.col("root") == F.col("main")).alias("in_main"), F.col("folded").alias("folded_o"))
+    apart = (F.col("root") != F.col("root_o")) & (F.col("in_main") | (F.col("node") < F.col("o")))
+    pairs = aside.join(other, (F.col(key) == F.col("k")) & apart & _enough(F.least("most", "most_o"), "size", "size_o") & _alike("folded", "folded_o", "size", "size_o"))
     first = F.col("node") < F.col("o")
     return pairs.select(F.least("node", "o").alias("a"), F.greatest("node", "o").alias("b"), F.when(first, F.col("size")).otherwise(F.col("size_o")).alias("size"), F.when(first, F.col("size_o")).otherwise(F.col("size")).alias("size_b"))
 
@@ -373,9 +393,9 @@ def later_pairs(nodes: DataFrame, lists: DataFrame, roots: DataFrame, met: DataF
     Groups that share a shorter list have met by their pivots, or cannot link, and their members are expanded; the others
     share shingles with long lists only.
     """
-    labelled = stored(nodes.join(roots.withColumnRenamed("node", "r"), F.col("n") == F.col("r"), "left").select(F.col("n").alias("node"), "size", "pivot", F.coalesce("root", "n").alias("root")), "join-labelled")
+    labelled = stored(nodes.join(roots.withColumnRenamed("node", "r"), F.col("n") == F.col("r"), "left").select(F.col("n").alias("node"), "size", "pivot", "folded", F.coalesce("root", "n").alias("root")), "join-labelled")
     many = lists.filter("many").select("token", F.col("shared_many").alias("most"), F.col("pivot").alias("p"))
-    by_token = many.join(labelled, F.col("p") == F.col("pivot")).select("token", "node", "size", "most", "root")
+    by_token = many.join(labelled, F.col("p") == F.col("pivot")).select("token", "node", "size", "most", "root", "folded")
     counted = _across(by_token, "token").groupBy("a", "b").agg(F.min("size").alias("size"), F.min("size_b").alias("size_b"), F.count("*").alias("common"))
     pairs = counted.filter(_enough(F.col("common"), "size", "size_b")).select("a", "b").union(_across(labelled.withColumn("most", F.col("size")), "pivot").select("a", "b"))
     pairs = pairs.union(_members(labelled, met)).distinct()
@@ -398,10 +418,10 @@ def _rows_and_roots(docs: DataFrame, text: str, key: str) -> tuple[DataFrame, Da
         F.struct(*([docs[f"`{c}`"] for c in docs.columns if c != text] or [F.lit(0)])).alias("doc"),
     )
     rows = stored(nodes_of(named, frequency_classes(docs.select(F.col(text).cast("string").alias("text")))), "join-documents")
-    sets = rows.filter("size > 0").groupBy("node").agg(F.min("row").alias("n"), F.min("group").alias("group"), F.min("size").alias("size"))
+    sets = rows.filter("size > 0").groupBy("node").agg(F.min("row").alias("n"), F.min("group").alias("group"), F.min("size").alias("size"), F.min("folded").alias("folded"))
     sets = stored(sets, "join-nodes")
     groups = stored(sets.groupBy("group").agg(F.min("n").alias("pivot"), F.min("size").alias("size")), "join-groups")
-    nodes = stored(sets.join(groups.select(F.col("group").alias("g"), "pivot"), F.col("group") == F.col("g")).select("node", "n", "size", "pivot"), "join-members")
+    nodes = stored(sets.join(groups.select(F.col("group").alias("g"), "pivot"), F.col("group") == F.col("g")).select("node", "n", "size", "pivot", "folded"), "join-members")
     lists = shingle_lists(rows, groups.select("pivot", "size"))
     pairs = stored(first_pairs(nodes, lists), "join-first")
     links = verified(pairs.select("a", "b"), rows)

@@ -130,6 +130,27 @@ def test_lists_over_batches(spark, rows, monkeypatch, rows_per_batch):
     assert sorted((r["token"], r["pivot"], r["many"]) for r in got) == want
 
 
+def test_sketches_never_rule_a_link_out():
+    r = np.random.default_rng(3)
+    for _ in range(300):
+        a = np.unique(r.integers(0, 1 << 60, int(r.integers(1, 900))).astype(np.uint64))
+        b = np.unique(np.concatenate([a[r.random(len(a)) < r.random()], r.integers(0, 1 << 60, int(r.integers(0, 40))).astype(np.uint64)]))
+        x, y = (shingle_join.folded(s).view(np.uint64) for s in (a, b))
+        assert len(x) == shingle_join.FOLDED
+        assert int(np.bitwise_count(x ^ y).sum()) <= len(np.setxor1d(a, b))
+
+
+def test_frequent_shingles_make_no_pairs_that_cannot_link(spark):
+    """Sets of one size that share the same frequent shingle and differ elsewhere come out of the join on it only if alike."""
+    base = np.arange(200, dtype=np.uint64) << np.uint64(20)
+    other = [np.concatenate([base[:150], (np.arange(50, dtype=np.uint64) + np.uint64(200 + 50 * i)) << np.uint64(20)]) for i in range(6)]
+    sets = [base, np.append(base[:198], other[0][-2:]), *other]
+    assert shingle_join.similar(200, 200, 198)
+    found = [(7, i, 200, 200, i, shingle_join.folded(s).tolist()) for i, s in enumerate(sets)]
+    labelled = spark.createDataFrame(found, "token long, node long, size long, most long, root long, folded array<long>")
+    assert [(p["a"], p["b"]) for p in shingle_join._across(labelled, "token").collect()] == [(0, 1)]
+
+
 def test_one_of_each_component_stays(odd, odd_rows):
     kept = shingle_join.keep_one(odd)
     assert kept.columns == odd.columns
