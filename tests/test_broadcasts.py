@@ -5,6 +5,7 @@ from __future__ import annotations
 from lakewarden.operators.proposals import sync_descriptions
 from lakewarden.operators.tickets import bind_requests
 from lakewarden.plans.queries import QUERIES
+from lakewarden.plans.registry import TASK_BYTES
 
 
 def plan_of(df) -> str:
@@ -34,6 +35,20 @@ def test_a_million_parts_are_not_broadcast(spark, tmp_path):
     assert "BroadcastHashJoin" not in plan
 
 
+def test_tasks_of_registered_queries_read_little(spark):
+    """Whatever the tables' size, a task of a registered query reads few bytes of a file or a shuffle."""
+    before = {limit: spark.conf.get(limit) for limit in TASK_BYTES}
+    try:
+        for limit in TASK_BYTES:
+            spark.conf.unset(limit)
+        QUERIES["contract_changes"](spark, "/root/testdata/sf0.001")
+        assert {limit: spark.conf.get(limit) for limit in TASK_BYTES} == TASK_BYTES
+        assert all(int(size.removesuffix("m")) <= 32 for size in TASK_BYTES.values())
+    finally:
+        for limit, size in before.items():
+            spark.conf.set(limit, size)
+
+
 def test_deliveries_are_not_dealt_by_their_instance(spark):
     checked = [("i1", f"t{n}", "APPROVE", None) for n in range(4)] + [("i2", "t0", "APPROVE", None)]
     checked = spark.createDataFrame(checked, "instance_id string, ticket_id string, action string, reject_reason string")
