@@ -36,6 +36,8 @@ JOINED = frozenset(["email", "phone"])
 ADDED = frozenset(["email", "phone", "secret"])
 #: Words whose scores a worker remembers at a time.
 REMEMBERED = 400_000
+#: Bytes of text that are tagged at once.
+SLICE = 1 << 20
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
@@ -459,7 +461,7 @@ def find(docs: DataFrame, text: str = "text", field: Field | None = None) -> Dat
     shared = _Shared(docs.sparkSession, field or default_field())
 
     def read(batches):
-        for batch in pieces(batches):
+        for batch in pieces(batches, limit=SLICE):
             found = all_spans(texts_of(batch), _tagger(shared))
             columns = [batch.column("doc_id")]
             columns += [pa.array([sum(k == kind for _, k, _ in base) for base, _ in found], pa.int64()) for kind in range(4)]
@@ -488,7 +490,7 @@ def redact(docs: DataFrame, text: str = "text", length: str | None = "n_chars",
     kind = docs.schema[nth].dataType if nth is not None else None
 
     def read(batches):
-        for batch in pieces(batches, text):
+        for batch in pieces(batches, text, SLICE):
             raw = batch.column(place).to_pylist()
             found = all_spans([t or "" for t in raw], _tagger(shared))
             clean = [None if t is None else masked(t, every) for t, (_, every) in zip(raw, found, strict=True)]

@@ -14,9 +14,12 @@ import numpy as np
 import pyarrow as pa
 
 from lakewarden.llm.byte_words import Texts, classes, equal, hashes
+from lakewarden.llm.common import pieces
 
 #: Units that a worker remembers at a time.
 REMEMBERED = 1_000_000
+#: Bytes of text that are worked on at once; they take some fifty times that in positions, hashes and ids.
+SLICE = 1 << 20
 #: Signs that end words; the tokenizer makes one unit of a run of them.
 SIGNS = b".,;:!?#$%&*+=|~^-"
 _CLASS, _BIT = classes(
@@ -126,7 +129,14 @@ class WordIds:
 
     def encode(self, texts: pa.Array | list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts (null: none), and each text's number of ids, without end ids."""
-        texts = Texts(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        some = [self._encode(part.column("text")) for part in pieces([pa.RecordBatch.from_arrays([column], names=["text"])], limit=SLICE)]
+        if len(some) == 1:
+            return some[0]
+        return np.concatenate([i for i, _ in some] or [self.flat[:0]]), np.concatenate([n for _, n in some] or [np.zeros(0, np.int64)])
+
+    def _encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        texts = Texts(texts)
         kind = _CLASS[texts.data[: texts.size]]
         starts, ends = texts.words((kind & _BIT["space"]) == 0)
         per_text = texts.per_text(starts)

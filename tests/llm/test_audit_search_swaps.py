@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from itertools import permutations
@@ -13,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from lakewarden.llm import byte_words, filter_audit, lexical_search, packing, swap_packing
+from lakewarden.llm import byte_words, filter_audit, lexical_search, packing, swap_packing, word_ids
 from lakewarden.llm.word_ids import WordIds
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -166,6 +167,19 @@ def test_word_ids_are_the_tokenizers(seed):
     assert ids.tolist() == [i for w in want for i in w]
 
 
+def test_word_ids_of_much_text_take_bounded_memory():
+    """However much text comes at once, what is held beside it and its ids belongs to a slice of it."""
+    words = WordIds(packing.tokenizer_path())
+    texts = ["some words of a text, again and again. " * 500] * 300
+    words.encode(texts[:1])
+    tracemalloc.start()
+    ids, sizes = words.encode(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(set(sizes.tolist())) == 1 and len(ids) == 300 * sizes[0]
+    assert peak < 10 * sum(map(len, texts)) + 64 * word_ids.SLICE
+
+
 def lengths_of(bins):
     held = Counter()
     for kind, n in bins.items():
