@@ -31,7 +31,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakewarden.llm.common import pieces, stored, texts_of
@@ -365,17 +365,23 @@ def windows(dealt: DataFrame) -> DataFrame:
 
     def read(batches):
         for batch in batches:
-            digests, keys, shards, hosts = [], [], [], []
+            digests, keys, groups = [], [], []
+            names: dict[tuple[str, int], int] = {}
             for text, loose, other, host, shard in zip(*(batch.column(c).to_pylist() for c in ("text", "loose", "other", "host", "shard")), strict=True):
                 words = [w for block, counts in counted_blocks(text, loose, other) if counts for w in block.split()]
-                own = np.unique(window_digests(words, host))
-                digests.append(own.astype(np.int64))
+                own = np.unique(window_digests(words, host)).astype(np.int64)
+                digests.append(own)
                 keys.append(np.full(len(own), xxhash.xxh64_intdigest("\n".join(text)), np.uint64).astype(np.int64))
-                shards.append(np.full(len(own), shard, np.int64))
-                hosts += [host] * len(own)
-            if digests:
-                key = pa.array(np.concatenate(keys))
-                made = [pa.array(hosts, pa.string()), pa.array(np.concatenate(shards)), pa.array(np.concatenate(digests)), key, key]
+                groups.append(np.full(len(own), names.setdefault((host, shard), len(names)), np.int64))
+            if digests and sum(map(len, digests)):
+                digest, key, group = (np.concatenate(c) for c in (digests, keys, groups))
+                order = np.lexsort((key, digest, group))
+                digest, key, group = digest[order], key[order], group[order]
+                first = np.flatnonzero(np.concatenate([[True], (digest[1:] != digest[:-1]) | (group[1:] != group[:-1])]))
+                last = np.append(first[1:], len(digest)) - 1
+                of, which = list(names), group[first].tolist()
+                made = [pa.array([of[g][0] for g in which], pa.string()), pa.array([of[g][1] for g in which], pa.int64())]
+                made += [pa.array(c, pa.int64()) for c in (digest[first], key[first], key[last])]
                 yield pa.RecordBatch.from_arrays(made, names=["host", "shard", "digest", "least", "largest"])
 
     return dealt.mapInArrow(read, "host string, shard long, digest long, least long, largest long")
@@ -383,9 +389,11 @@ def windows(dealt: DataFrame) -> DataFrame:
 
 def repeated_windows(dealt: DataFrame) -> DataFrame:
     """(host, shard, digest) of the windows that two or more distinct pages of a host have, for each shard that has them."""
-    every = windows(dealt)
-    twice = every.groupBy(F.col("digest").alias("d")).agg(F.min("least").alias("least"), F.max("largest").alias("largest")).filter("least <> largest").select("d")
-    return every.select("host", "shard", "digest").distinct().join(twice, F.col("digest") == F.col("d"), "left_semi")
+    # dealt by the digest once, so that pages are parsed once for both steps
+    every = windows(dealt).repartition("digest").groupBy("host", "shard", "digest").agg(F.min("least").alias("least"), F.max("largest").alias("largest"))
+    same = Window.partitionBy("digest")
+    spread = every.select("host", "shard", "digest", F.min("least").over(same).alias("least"), F.max("largest").over(same).alias("largest"))
+    return spread.filter("least <> largest").select("host", "shard", "digest")
 
 
 def main_text(pages: DataFrame, per_shard: int = PAGES) -> DataFrame:

@@ -125,3 +125,9 @@ def test_tags_cut_off_and_quotes_left_open():
     # an open quote: from this tag on a tag ends at the next >
     assert html_text.blocks('<article><p>one <a href="x>two</a> three <i title=y>four</i></p></article>')[0] == ["one two three four"]
     assert html_text.blocks("<p>3 < 4 and a<3</p>")[0] == ["3 < 4 and a<3"]
+
+
+def test_pages_are_parsed_once_for_all_steps_of_a_host(spark):
+    """Pages are read for their own text, and once more, with their windows, for what shards of a host share."""
+    pages = spark.createDataFrame([(0, "http://a/b", "<p>x</p>")], "page_id long, url string, html string")
+    assert html_text.main_text(pages)._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 3
