@@ -381,19 +381,21 @@ def windows(dealt: DataFrame) -> DataFrame:
                 last = np.append(first[1:], len(digest)) - 1
                 of, which = list(names), group[first].tolist()
                 made = [pa.array([of[g][0] for g in which], pa.string()), pa.array([of[g][1] for g in which], pa.int64())]
-                made += [pa.array(c, pa.int64()) for c in (digest[first], key[first], key[last])]
+                # the largest key is left out where it is the least
+                made += [pa.array(digest[first]), pa.array(key[first]), pa.array(key[last], mask=key[first] == key[last])]
                 yield pa.RecordBatch.from_arrays(made, names=["host", "shard", "digest", "least", "largest"])
 
     return dealt.mapInArrow(read, "host string, shard long, digest long, least long, largest long")
 
 
 def repeated_windows(dealt: DataFrame) -> DataFrame:
-    """(host, shard, digest) of the windows that two or more distinct pages of a host have, for each shard that has them."""
+    """(host, shard, digests) of the windows that two or more distinct pages of a host have, for each shard that has them."""
     # dealt by the digest once, so that pages are parsed once for both steps
-    every = windows(dealt).repartition("digest").groupBy("host", "shard", "digest").agg(F.min("least").alias("least"), F.max("largest").alias("largest"))
+    every = windows(dealt).repartition("digest").groupBy("host", "shard", "digest").agg(F.min("least").alias("least"), F.max(F.coalesce("largest", "least")).alias("largest"))
     same = Window.partitionBy("digest")
     spread = every.select("host", "shard", "digest", F.min("least").over(same).alias("least"), F.max("largest").over(same).alias("largest"))
-    return spread.filter("least <> largest").select("host", "shard", "digest")
+    # a shard's digests go as few arrays, not as rows with its name
+    return spread.filter("least <> largest").groupBy("host", "shard").agg(F.collect_list("digest").alias("digests"))
 
 
 def main_text(pages: DataFrame, per_shard: int = PAGES) -> DataFrame:
@@ -410,7 +412,7 @@ def main_text(pages: DataFrame, per_shard: int = PAGES) -> DataFrame:
 
     def unique(key: tuple, group: pd.DataFrame, elsewhere: pd.DataFrame) -> pd.DataFrame:
         pages = [(list(t), list(x), list(o)) for t, x, o in zip(group["text"], group["loose"], group["other"], strict=True)]
-        gone = host_boilerplate(pages, host=key[0], elsewhere=elsewhere["digest"].to_numpy(np.int64).view(np.uint64))
+        gone = host_boilerplate(pages, host=key[0], elsewhere=np.concatenate([np.zeros(0, np.int64), *elsewhere["digests"]]).astype(np.int64).view(np.uint64))
         text = ["\n".join(t for t, g in zip(p[0], g, strict=True) if not g) for p, g in zip(pages, gone, strict=True)]
         return pd.DataFrame({"page_id": group["page_id"].astype("Int64"), "url": group["url"], "text": text, "n_chars": [len(t) for t in text]})
 
