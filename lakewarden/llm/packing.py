@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakewarden.llm.common import pieces, stored
+from lakewarden.llm.common import in_small_batches, pieces, stored
 from lakewarden.llm.word_ids import WordIds
 
 CAPACITY = 2048
@@ -45,7 +45,7 @@ def cut(docs: DataFrame, path: str, text: str = "text", capacity: int = CAPACITY
                 at += n
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], schema=PIECE)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(tokens, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
+    return in_small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(tokens, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
 
 
 class Capacities:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakewarden.llm.common import pieces, texts_of
+from lakewarden.llm.common import in_small_batches, pieces, texts_of
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 LABELS = ("", *KINDS)
@@ -35,7 +35,7 @@ JOINED = frozenset(["email", "phone"])
 #: Kinds that the field may add; addresses and card numbers have checks of their own that a learnt label would undercut.
 ADDED = frozenset(["email", "phone", "secret"])
 #: Words whose scores a worker remembers at a time.
-REMEMBERED = 400_000
+REMEMBERED = 100_000
 #: Bytes of text that are tagged at once.
 SLICE = 1 << 20
 
@@ -469,7 +469,7 @@ def find(docs: DataFrame, text: str = "text", field: Field | None = None) -> Dat
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"])
 
     schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(read, schema)
+    return in_small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(read, schema)
 
 
 def masked(text: str, spans: list[tuple[int, int, str]]) -> str:
@@ -500,7 +500,7 @@ def redact(docs: DataFrame, text: str = "text", length: str | None = "n_chars",
                 batch = batch.set_column(nth, batch.schema.field(nth), pa.array(sizes, batch.schema.field(nth).type))
             yield batch
 
-    return docs.mapInArrow(read, docs.schema)
+    return in_small_batches(docs).mapInArrow(read, docs.schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakewarden.llm.common import pieces, stored
+from lakewarden.llm.common import in_small_batches, pieces, stored
 
 WORDS = 3
 #: Similarity in hundredths, as 100 * intersection >= SHARE * union.
@@ -54,8 +54,6 @@ SKETCH = 256
 FOLDED = 8
 #: Pivots of a long list's size band, one for each class of shingles.
 PIVOTS = 8
-REMEMBERED = 800_000
-_KNOWN: dict[bytes, int] = {}
 
 
 def _mix(a: np.ndarray) -> np.ndarray:
@@ -66,15 +64,10 @@ def _mix(a: np.ndarray) -> np.ndarray:
 
 def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
     """Sorted distinct hashes of the shingles of a text."""
-    if len(_KNOWN) > REMEMBERED:
-        _KNOWN.clear()
     own = text.lower().split()
     if not own:
         return np.zeros(0, np.uint64)
-    for w in own:
-        if w not in _KNOWN:
-            _KNOWN[w] = xxhash.xxh64_intdigest(w)
-    h = np.fromiter(map(_KNOWN.__getitem__, own), np.uint64, len(own))
+    h = np.fromiter(map(xxhash.xxh64_intdigest, own), np.uint64, len(own))
     size = min(words, len(own))
     out = np.full(len(own) - size + 1, size, np.uint64)
     for i in range(size):
@@ -410,6 +403,7 @@ def _with_roots(rows: DataFrame, roots: DataFrame) -> DataFrame:
 
 def _rows_and_roots(docs: DataFrame, text: str, key: str) -> tuple[DataFrame, DataFrame]:
     """All documents as `nodes_of` gives them, and (of, root): the component of every set that is not empty."""
+    docs = in_small_batches(docs)
     named = docs.select(
         F.monotonically_increasing_id().alias("row"),
         F.col(key).alias("id"),

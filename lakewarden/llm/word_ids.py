@@ -16,8 +16,9 @@ import pyarrow as pa
 from lakewarden.llm.byte_words import Texts, classes, equal, hashes
 from lakewarden.llm.common import pieces
 
-#: Units that a worker remembers at a time.
-REMEMBERED = 1_000_000
+#: Units that a worker remembers at a time, and their bytes.
+REMEMBERED = 600_000
+REMEMBERED_BYTES = 32 << 20
 #: Bytes of text that are worked on at once; they take some fifty times that in positions, hashes and ids.
 SLICE = 1 << 20
 #: Signs that end words; the tokenizer makes one unit of a run of them.
@@ -52,7 +53,7 @@ class WordIds:
 
     def forget(self) -> None:
         self.n, self.bits = 0, 17
-        self.table = np.full(1 << self.bits, -1, np.int64)
+        self.table = np.full(1 << self.bits, -1, np.int32)
         self.code = np.zeros(1 << 16, np.uint64)
         self.at = np.zeros((1 << 16) + 1, np.int64)  # bytes of unit i are at[i] .. at[i + 1]
         self.bytes = np.zeros(1 << 18, np.uint8)
@@ -95,8 +96,8 @@ class WordIds:
         self.flat[self.start[n] : self.start[m]] = ids
         self.n = m
         if 2 * m > len(self.table):
-            self.bits = int(4 * m).bit_length()
-            self.table = np.full(1 << self.bits, -1, np.int64)
+            self.bits = int(2 * m).bit_length()
+            self.table = np.full(1 << self.bits, -1, np.int32)
             n = 0
         self._place(np.arange(n, m))
 
@@ -156,7 +157,7 @@ class WordIds:
         units, letters = units[real], letters[real]
         at, size = units[:, 0], units[:, 1] - units[:, 0]
         code = hashes(data, at, units[:, 1])
-        if self.n > REMEMBERED:
+        if self.n > REMEMBERED or self.at[self.n] > REMEMBERED_BYTES:
             self.forget()
         index = self._find(data, at, size, code)
         while len(new := np.flatnonzero(index < 0)):

@@ -13,8 +13,9 @@ from itertools import permutations
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from lakewarden.llm import byte_words, filter_audit, lexical_search, packing, swap_packing, word_ids
+from lakewarden.llm import byte_words, common, filter_audit, lexical_search, packing, pii, shingle_join, swap_packing, word_ids
 from lakewarden.llm.word_ids import WordIds
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -180,6 +181,51 @@ def test_word_ids_of_much_text_take_bounded_memory():
     assert peak < 10 * sum(map(len, texts)) + 64 * word_ids.SLICE
 
 
+def test_long_units_are_not_remembered_without_end(monkeypatch):
+    """What a worker remembers is bounded by its bytes as well, not by the number of units alone."""
+    monkeypatch.setattr(word_ids, "REMEMBERED_BYTES", 1 << 16)
+    words = WordIds(packing.tokenizer_path())
+    for i in range(12):
+        text = " ".join(f"{i}x{j}" + "é7" * 200 for j in range(20))
+        ids, _ = words.encode([text])
+        assert ids.tolist() == words.tokenizer.encode(text, add_special_tokens=False).ids
+    assert words.at[words.n] < (1 << 16) + 2 * len(text.encode())
+
+
+def _largest_batch(docs):
+    def size(batches):
+        yield pa.RecordBatch.from_arrays([pa.array([max(b.nbytes for b in batches)])], names=["n"])
+
+    return docs.mapInArrow(size, "n long").first()[0]
+
+
+@pytest.mark.parametrize(
+    "use",
+    [lambda d: packing.cut(d, packing.tokenizer_path()), pii.find, pii.redact, shingle_join.joined],
+    ids=["cut", "find", "redact", "joined"],
+)
+def test_texts_go_to_workers_in_small_batches(spark, use):
+    """A worker gets some 2 MB of text at a time, not 10 000 rows whatever their size."""
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(limit)
+    docs = spark.range(600, numPartitions=1).select(F.col("id").alias("doc_id"), F.repeat(F.concat(F.lit("word "), "id", F.lit(" ")), 2_000).alias("text"))
+    use(docs if use is not shingle_join.joined else docs.limit(2))
+    try:
+        assert _largest_batch(docs) < 2 * common.BATCH
+    finally:
+        spark.conf.unset(limit)
+
+
+def test_words_of_shingles_are_not_kept():
+    """A worker holds nothing of the texts it has seen."""
+    tracemalloc.start()
+    for i in range(20):
+        shingle_join.shingles(" ".join(f"w{i}x{j}" for j in range(5_000)).encode())
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 2 << 20
+
+
 def lengths_of(bins):
     held = Counter()
     for kind, n in bins.items():
