@@ -176,6 +176,17 @@ def brute_removed(rows, length):
     return sorted(out, key=repr)
 
 
+def test_windows_of_cut_anchors_are_no_rows(odd, odd_rows, rows, monkeypatch):
+    """Shards of one anchor meet by arrays of digests in several ranges; no row is made for a window."""
+    monkeypatch.setattr(repeated_text, "PER_RANGE", 50)
+    got = repeated_text.removed(odd, per_anchor=1, shard=2000)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "posexplode" not in plan and "FlatMapGroupsInPandas" in plan
+    want = repeated_text.removed(odd)
+    columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    assert rows(got.select(columns)) == rows(want.select(columns))
+
+
 @pytest.mark.parametrize("per_anchor,shard", [(1500, 1 << 20), (1, 2000)])
 def test_repeated_strings(odd, odd_rows, rows, per_anchor, shard):
     got = repeated_text.removed(odd, per_anchor=per_anchor, shard=shard)
