@@ -16,7 +16,7 @@ from lakewarden.operators.routing import (
     invalidations,
     with_parsed_payload,
 )
-from lakewarden.operators.tickets import bound_status_changes, decide_requests
+from lakewarden.operators.tickets import decide_requests, stored_status_changes
 from lakewarden.operators.triage import triage
 from lakewarden.operators.verify import rejection, verify_timestamped
 from lakewarden.session import checkpoint
@@ -95,7 +95,7 @@ def process_ticket_events(
     Deliveries that cannot take effect are sorted out before replays are looked for, so a
     failed one may be sent again. The bound deliveries are stored once without payload.
     """
-    bound = checkpoint(bound_status_changes(deliveries, keys, instances, requests, delivery_id))
+    bound = stored_status_changes(deliveries, keys, instances, requests, delivery_id)
     usable = F.col("reject_reason").isNull()
     keyed = bound.withColumns({f"__{k}": F.when(usable, F.col(k)) for k in ("replay_event", "replay_signature")})
     # a ticket event counts again at exactly the end of its time to live
@@ -104,7 +104,7 @@ def process_ticket_events(
     )
     replay = F.when(F.col("is_duplicate"), F.lit("REPLAY"))
     bound = marked.withColumn("reject_reason", F.coalesce("reject_reason", replay)).drop(
-        "__replay_event", "__replay_signature", "is_duplicate"
+        "__replay_event", "__replay_signature", "replay_event", "replay_signature", "is_duplicate"
     )
     return decide_requests(bound, delivery_id)
 

@@ -5,6 +5,7 @@ import hashlib
 import hmac
 import json
 from datetime import datetime, timedelta, timezone
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +13,12 @@ from pyspark.sql import functions as F
 from lakewarden.fixed_values import TRIAGE_MAX_CHARS
 from lakewarden.functions.crypto import key_table
 from lakewarden.operators.routing import epoch_increments, policy_events, run_events
-from lakewarden.operators.tickets import parse_status_changes, tenant_epochs
+from lakewarden.operators.tickets import (
+    bound_status_changes,
+    parse_status_changes,
+    stored_status_changes,
+    tenant_epochs,
+)
 from lakewarden.operators.triage import triage
 from lakewarden.operators.verify import iso_timestamp, rejection, verify_payload, verify_timestamped
 from lakewarden.plans.events import (
@@ -273,6 +279,28 @@ def test_ticket_transitions(spark):
     assert [tuple(r) for r in tenant_epochs(done).collect()] == [("A", 2)]
 
 
+def test_stored_tickets_equal_bound_ones(spark, rows):
+    payloads = [{"ticketId": f"T{n % 5}", "instanceId": "sn1", "action": "APPROVE", "eventId": f"e{n}"} for n in range(12)]
+    items = [ticket(n, p, secret="k1" if n % 4 else "wrong") for n, p in enumerate([*payloads, {"instanceId": "sn1"}])]
+    keys = key_table(spark, {"sn1": "k1"})
+    instances = spark.createDataFrame([("SN1", "A")], "instance_id string, tenant_id string")
+    open_ones = [(n, f"T{n}", "A", "pending_external_approval") for n in range(4)]
+    requests = spark.createDataFrame([*open_ones, (9, "T1", "A", "ACTIVE")], "request_id int, ticket_id string, tenant_id string, status string")
+
+    def scratch():
+        return set(Path(spark.conf.get("spark.checkpoint.dir")).glob("scratch-*"))
+
+    before = scratch()
+    given = frame(spark, items), keys, instances, requests, "n"
+    got, bound = stored_status_changes(*given), bound_status_changes(*given)
+    assert scratch() == before
+    same = ("n", "received_at", "tenant_id", "request_id", "request_status", "ticket_id", "reject_reason")
+    assert rows(got, *same) == rows(bound, *same)
+    assert got.columns == bound.columns
+    told = {(r.n, r.request_id): (r.action, r.reject_reason, r.request_status) for r in got.collect()}
+    assert told[1, 1][0] == "APPROVE" and told[1, 9][0] is None and told[4, None] == (None, "INVALID_SIGNATURE", None)
+
+
 def test_iso_timestamp(spark):
     df = spark.createDataFrame([(T0 + timedelta(microseconds=1),)], "t timestamp")
     assert df.select(iso_timestamp(F.col("t"))).first()[0] == "2026-03-01T12:00:00.0000010+00:00"

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lakewarden.operators import chains
 from lakewarden.operators.components import connected_components
-from lakewarden.operators.replay import deciding_keys, mark_joint_replays
+from lakewarden.operators.replay import deciding_keys, mark_joint_replays, shared_keys
 
 T0 = datetime(2026, 3, 1, tzinfo=timezone.utc)
 SCHEMA = "n int, e string, s string, at timestamp"
@@ -93,3 +93,35 @@ def test_deliveries_without_an_event_are_spread(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert {r.part for r in found} == {0, 1}
     assert {(r.key1, r.key2) for r in found} == {(None, f"2:s{n}") for n in range(200)}
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_digests_as_keys_equal_a_walk(spark, seed):
+    rows = random_rows(seed + 7)
+    given = spark.createDataFrame(rows, SCHEMA)
+    digests = {k: F.when(F.col(k).isNotNull(), F.unhex(F.sha2(k, 256))) for k in ("e", "s")}
+    got = mark_joint_replays(given.withColumns(digests), "e", "s", "at", "n", 20)
+    assert {r.n: r.is_duplicate for r in got.collect()} == walked(rows, 20, False)
+
+
+def test_keys_of_one_delivery_are_dropped(spark):
+    # keys on two deliveries stay, and those of rows without a time
+    rows = [("1:a", "2:x", 1, 0), ("1:a", "2:y", 2, 1), ("1:b", "2:z", 3, 2), (None, "2:z", 4, 3), ("1:c", None, 5, 4), ("1:d", None, None, 5)]
+    kept = shared_keys(spark.createDataFrame(rows, "k1 string, k2 string, __at bigint, n int"), "n").collect()
+    assert {r.n: (r.k1, r.k2) for r in kept} == {
+        0: ("1:a", None), 1: ("1:a", None), 2: (None, "2:z"), 3: (None, "2:z"), 4: (None, None), 5: ("1:d", None),
+    }
+
+
+def test_no_shuffle_is_left_behind(spark):
+    def shuffles():
+        files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        names = (files.apply(i).getName() for i in range(files.size()))
+        return {n for n in names if n.startswith("shuffle_")}
+
+    before = shuffles()
+    rows = random_rows(3)
+    given = spark.createDataFrame(rows, SCHEMA)
+    marked_rows = mark_joint_replays(given, "e", "s", "at", "n", 20)
+    assert shuffles() <= before
+    assert {r.n: r.is_duplicate for r in marked_rows.collect()} == walked(rows, 20, False)
